@@ -31,4 +31,5 @@ def load_all() -> None:
         importlib.import_module(f"strata.plans.{mod}")
 
 
-PLAN_MODULES = ["events", "songs", "employees", "ingest", "versions", "streams", "quality"]
+PLAN_MODULES = ["events", "songs", "employees", "ingest", "versions", "streams", "quality",
+                "kpi", "modeling"]
