@@ -91,8 +91,19 @@ class ChangeLog:
         self.columns = list(df.columns)
         return self._commit(df, UPSERT, "CREATE TABLE AS SELECT", first=True)
 
+    def _schema(self):
+        """Column types of the table (from the log when opened on an
+        existing path)."""
+        log = self.spark.read.parquet(f"{self.path}/log")
+        if self.columns is None:
+            self.columns = [c for c in log.columns if c not in META]
+        return log.schema
+
     def insert(self, df: DataFrame) -> int | None:
-        aligned = df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c)
+        """``INSERT INTO t (cols) VALUES ...``: omitted columns become NULL."""
+        schema = self._schema()
+        aligned = df.select(*[F.col(c).cast(schema[c].dataType) if c in df.columns
+                              else F.lit(None).cast(schema[c].dataType).alias(c)
                               for c in self.columns])
         return self._commit(aligned, UPSERT, "WRITE")
 
