@@ -113,3 +113,22 @@ def gold_exact_incremental(spark: SparkSession, bronze_path: str, gold_path: str
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("event_date").parquet(gold_path))
     return run
+
+
+def replay_silver(spark: SparkSession, bronze_path: str, silver_path: str,
+                  partition_by: list[str] | None = ("event_date",)) -> None:
+    """Rebuild Silver from the full Bronze history after a rule change (batch
+    recompute + overwrite). Streams restarted afterwards need a new
+    checkpoint, since their old offsets describe the replaced output."""
+    silver = ev.silver_events(spark.read.parquet(bronze_path))
+    w = silver.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(silver_path)
+
+
+def stream_rule_metrics(query) -> dict:
+    """Observed per-rule counts of the last micro-batch (stream form of
+    ``Observation``); empty when the flow attached no observation."""
+    progress = query.lastProgress or {}
+    return progress.get("observedMetrics", {}) or {}
