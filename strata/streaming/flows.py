@@ -55,8 +55,11 @@ def bronze_stream(landed: DataFrame, clock: Column | None = None) -> DataFrame:
 def silver_stream(bronze: DataFrame, watermark: str | None = None,
                   drop_rules: bool = True) -> DataFrame:
     if watermark:
-        deduped = (bronze.withWatermark("event_timestamp", watermark)
-                   .dropDuplicatesWithinWatermark(["event_id"]))
+        # event-time watermarks need TIMESTAMP (session time zone, UTC here)
+        deduped = (bronze.withColumn("_event_time", F.col("event_timestamp").cast("timestamp"))
+                   .withWatermark("_event_time", watermark)
+                   .dropDuplicatesWithinWatermark(["event_id"])
+                   .drop("_event_time"))
     else:
         deduped = bronze.dropDuplicates(["event_id"])
     derived = deduped.withColumns(event_derivations())
