@@ -109,14 +109,12 @@ class ChangeLog:
 
     def update(self, where: str, assignments: dict[str, str | Column]) -> int | None:
         """``UPDATE t SET c = expr WHERE pred``: only rows where pred is TRUE."""
-        cur = self.snapshot()
         sets = {c: (F.expr(e) if isinstance(e, str) else e) for c, e in assignments.items()}
-        changed = cur.filter(F.coalesce(F.expr(where), F.lit(False))).withColumns(sets)
+        changed = self._current_where(where).withColumns(sets)
         return self._commit(changed, UPSERT, "UPDATE")
 
     def delete(self, where: str) -> int | None:
-        cur = self.snapshot()
-        gone = cur.filter(F.coalesce(F.expr(where), F.lit(False)))
+        gone = self._current_where(where)
         return self._commit(gone, DELETE, "DELETE")
 
     def merge(self, source: DataFrame, delete_not_matched_by_source: bool = False) -> int | None:
@@ -150,6 +148,20 @@ class ChangeLog:
         # only committed versions are visible; the commit list is tiny
         return log.join(F.broadcast(committed), "_version", "left_semi")
 
+    def _current_where(self, where: str) -> DataFrame:
+        """Current rows matching ``where``, without resolving every key.
+
+        A key whose current row matches has at least one matching log entry
+        (that row), so the latest-per-key step runs only for keys with a
+        matching entry (a semi join AQE can broadcast when the set is small),
+        and the predicate is re-checked on the resolved rows."""
+        pred = F.coalesce(F.expr(where), F.lit(False))
+        entries = self._entries()
+        candidates = entries.filter(pred).select(*self.keys).distinct()
+        latest = keep_latest(entries.join(candidates, self.keys, "left_semi"),
+                             self.keys, ["_version"])
+        return latest.filter((F.col("_change") == UPSERT) & pred).select(*self.columns)
+
     def snapshot(self, version: int | None = None) -> DataFrame:
         """``SELECT * FROM t VERSION AS OF version`` (latest when None)."""
         latest = keep_latest(self._entries(version), self.keys, ["_version"])
