@@ -80,6 +80,9 @@ GOLD_KEYS = ["event_date", "event_type", "is_weekend"]
 def gold_daily_base(silver: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """Daily metrics per (date, type, weekend).
 
+    Values are money-like (two decimals): the total is an exact decimal sum
+    and the mean is that total over the non-NULL count.
+
     The exact distinct count is planned apart from the other measures: mixed
     in one aggregate, Spark's distinct rewrite would keep a percentile sketch
     per (group, user) pair. Here the measures use one sketch per group, the
@@ -88,9 +91,13 @@ def gold_daily_base(silver: DataFrame, approx_distinct: bool = False) -> DataFra
     per-group results are joined on the group keys; the Silver exchange
     feeding both is shared.
     """
+    cents = F.col("event_value").cast("decimal(18,2)")
     measures = [F.count(F.lit(1)).alias("event_count"),
-                F.round(F.sum("event_value"), 2).alias("total_value"),
-                F.round(F.avg("event_value"), 4).alias("avg_value"),
+                # exact decimal total; the mean divides that exact total, so it
+                # does not depend on summation order (no re-rounding)
+                F.sum(cents).cast("double").alias("total_value"),
+                F.try_divide(F.sum(cents).cast("double"), F.count("event_value"))
+                .alias("avg_value"),
                 F.percentile_approx("event_value", 0.95).alias("p95_value")]
     if approx_distinct:
         return (silver.groupBy(*GOLD_KEYS)
@@ -259,8 +266,8 @@ GOLD_DAILY_SQL = SILVER_CTES + f"""
 SELECT event_date, event_type, is_weekend,
   COUNT(*) AS event_count,
   COUNT(DISTINCT user_id) AS unique_users,
-  ROUND(SUM(event_value), 2) AS total_value,
-  ROUND(AVG(event_value), 4) AS avg_value,
+  CAST(SUM(CAST(event_value AS DECIMAL(18,2))) AS DOUBLE) AS total_value,
+  CAST(SUM(CAST(event_value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(event_value) AS avg_value,
   quantile_disc(event_value, 0.95) AS p95_value,
   {CHECK_CLOCK_SQL} AS updated_at
 FROM silver GROUP BY event_date, event_type, is_weekend

@@ -72,8 +72,8 @@ def q_stream_gold_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_date, event_type, is_weekend,
   COUNT(*) AS event_count,
   COUNT(DISTINCT user_id) AS unique_users,
-  ROUND(SUM(event_value), 2) AS total_value,
-  ROUND(AVG(event_value), 4) AS avg_value,
+  CAST(SUM(CAST(event_value AS DECIMAL(18,2))) AS DOUBLE) AS total_value,
+  CAST(SUM(CAST(event_value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(event_value) AS avg_value,
   quantile_disc(event_value, 0.95) AS p95_value
 FROM silver GROUP BY event_date, event_type, is_weekend
 """)
