@@ -18,6 +18,8 @@ from strata.operators.dedup import keep_first_seen, keep_latest
 from strata.operators.rules import (apply_rules, expect, expect_or_drop, expect_or_fail,
                                     rule_metrics)
 from strata.plans.registry import query
+from strata.session import scratch_path
+from strata.sinks.tables import materialize
 from strata.sources.tables import DIRTY_EVENTS_SQL, dirty_events, read_table
 
 BRONZE_RULES = [
@@ -225,10 +227,17 @@ def _landed_with_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("source_file", F.regexp_extract("source_file", r"[^/]+$", 0))
 
 
-def pipeline(spark: SparkSession, sf_dir: str, clock: Column | None = None):
+def pipeline(spark: SparkSession, sf_dir: str, clock: Column | None = None,
+             materialize_silver: bool = False):
+    """Landing -> Bronze -> Silver as lazy frames. ``materialize_silver``
+    stores Silver (partitioned by ``event_date``) in the shared folder, as the
+    medallion layout does, so Gold consumers read it instead of repeating
+    the dedup shuffle."""
     landed = _landed_with_file(spark, sf_dir)
     bronze = bronze_events(landed, clock)
     silver = silver_events(bronze)
+    if materialize_silver:
+        silver = materialize(silver, scratch_path(spark, "silver_events"), ["event_date"])
     return landed, bronze, silver
 
 
@@ -287,7 +296,7 @@ FROM silver GROUP BY event_date, user_id
 
 @query("gold_daily_event_metrics", GOLD_DAILY_SQL)
 def q_gold_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, silver = pipeline(spark, sf_dir, check_clock())
+    _, _, silver = pipeline(spark, sf_dir, check_clock(), materialize_silver=True)
     return gold_daily_event_metrics(silver, check_clock())
 
 

@@ -18,19 +18,25 @@ class RefreshNotAllowed(RuntimeError):
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
-                partition_by: list[str] | None = None, files_per_partition: int | None = None) -> None:
-    """Parquet write. With ``partition_by`` the rows are first clustered by the
-    partition columns so each task writes few files per partition value (no
-    small-file explosion); dynamic partition overwrite replaces only the
-    partitions present in ``df``."""
-    w = df
+                partition_by: list[str] | None = None) -> None:
+    """Parquet write. With ``partition_by`` the rows are rebalanced on the
+    partition columns first (``REBALANCE`` hint): AQE clusters each value into
+    few files, splits a skewed value over several tasks instead of one, and
+    coalesces tiny ones. Overwrite of a partitioned table is dynamic: only the
+    partitions present in ``df`` are replaced."""
     if partition_by:
-        w = (df.repartition(files_per_partition, *partition_by) if files_per_partition
-             else df.repartition(*partition_by))
-        writer = w.write.mode(mode).partitionBy(*partition_by)
+        df.hint("rebalance", *partition_by).write.mode(mode) \
+            .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     else:
-        writer = w.write.mode(mode)
-    writer.parquet(path)
+        df.write.mode(mode).parquet(path)
+
+
+def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+    """Write a layer to the shared folder and continue from the stored copy:
+    cuts the lineage (a lost executor re-reads files instead of recomputing
+    the upstream shuffles) and lets several consumers share one computation."""
+    write_table(df, path, partition_by=partition_by)
+    return df.sparkSession.read.parquet(path)
 
 
 def create_table_as_select(spark: SparkSession, name: str, df: DataFrame,
