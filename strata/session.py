@@ -51,6 +51,32 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(executors: int, cores_per_executor: int,
+                 executor_memory_gb: int = 32) -> dict:
+    """Settings for a large cluster (pass to the launcher / builder).
+
+    Shuffle partitions start at ~3 waves of the cluster's cores and AQE
+    coalesces them towards 256 MB; scans split files at 256 MB; skewed join
+    and rebalance partitions are split at runtime; the planner may broadcast
+    a side only when its estimated size is under 64 MB (and AQE re-checks the
+    real size); streaming state lives in RocksDB, off the JVM heap.
+    """
+    cores = executors * cores_per_executor
+    return {
+        **{k: v for k, v in DEFAULT_CONF.items() if k != "spark.sql.execution.arrow.pyspark.enabled"},
+        "spark.sql.shuffle.partitions": str(3 * cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.executor.memory": f"{executor_memory_gb}g",
+        "spark.executor.cores": str(cores_per_executor),
+    }
+
+
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for library-owned data: ``spark.checkpoint.dir`` if set."""
     global _LOCAL_ROOT
