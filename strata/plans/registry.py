@@ -32,4 +32,4 @@ def load_all() -> None:
 
 
 PLAN_MODULES = ["events", "songs", "employees", "ingest", "versions", "streams", "quality",
-                "kpi", "modeling"]
+                "kpi", "modeling", "sql_forms"]
