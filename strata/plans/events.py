@@ -193,10 +193,16 @@ def quality_rates(landed: DataFrame) -> DataFrame:
         m("true_dedup_rate", (F.col("n_kept") - F.col("n_kept_ids")) / k * 100))))
 
 
-def expectation_metrics(landed: DataFrame) -> DataFrame:
-    """Pass/fail counts of every rule of every dataset (S2/S3 semantics)."""
+def expectation_metrics(landed: DataFrame, stage_path: str | None = None) -> DataFrame:
+    """Pass/fail counts of every rule of every dataset (S2/S3 semantics).
+
+    With ``stage_path`` the deduplicated Silver input is stored once and the
+    three consumers (Silver, and both Gold datasets) read it, instead of
+    repeating the dedup shuffle per consumer."""
     bronze = bronze_events(landed)
     base = silver_base(bronze)
+    if stage_path is not None:
+        base = materialize(base, stage_path)
     silver = apply_rules(base, SILVER_RULES)
     return (rule_metrics(landed, BRONZE_RULES, "bronze_events")
             .unionByName(rule_metrics(base, SILVER_RULES, "silver_events"))
@@ -399,7 +405,7 @@ _GOLD_USER_ROWS = "(SELECT event_date, user_id FROM silver GROUP BY event_date,
         ("valid_date", "fail", "event_date IS NOT NULL")]),
 ]))
 def q_expectation_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expectation_metrics(dirty_events(spark, sf_dir))
+    return expectation_metrics(dirty_events(spark, sf_dir), scratch_path(spark, "silver_base"))
 
 
 @query("expect_or_fail_guard", SILVER_CTES + """

@@ -14,6 +14,7 @@ import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.sources.readers import file_inventory
@@ -74,11 +75,13 @@ def _save_schema(spark: SparkSession, state: str, schema: T.StructType) -> None:
         .write.mode("overwrite").text(f"{state}/schema")
 
 
-def _seen_files(spark: SparkSession, state: str) -> set[str]:
+def _last_inspected(spark: SparkSession, state: str) -> str | None:
+    """Modification-time watermark of the files already inspected."""
     try:
-        return {r[0] for r in spark.read.parquet(f"{state}/inspected").collect()}
+        rows = spark.read.text(f"{state}/inspected_until").collect()
     except Exception:  # noqa: BLE001 - first run
-        return set()
+        return None
+    return rows[0][0] if rows else None
 
 
 def widen(saved: T.StructType | None, found: T.StructType) -> T.StructType:
@@ -93,32 +96,44 @@ def widen(saved: T.StructType | None, found: T.StructType) -> T.StructType:
 def load_with_schema_evolution(spark: SparkSession, source: str, target: str, state: str,
                                fmt: str = "json", mode: str = "addNewColumns",
                                base_schema: T.StructType | None = None,
-                               glob: str | None = None) -> LoadResult:
+                               glob: str | None = None, sampling_ratio: float = 1.0) -> LoadResult:
     """Incremental load whose schema grows with new columns in new files.
 
-    Only files not inspected before are sampled for their schema (one pass
-    over the new files, not the whole landing zone). With ``addNewColumns``
-    the saved schema is widened and the stream restarts on the same
-    checkpoint with it; with ``none`` unknown columns are ignored. The file
-    list kept in ``state`` is metadata (paths), not data. ``source`` may be a
-    glob such as ``landing/*`` (the file stream source does not recurse).
+    Only files modified after the last inspection are read for their schema
+    (``modifiedAfter``; ``sampling_ratio`` < 1 samples them), so inference
+    never rescans the landing zone and no file list passes through the
+    driver: the state is the saved schema plus one timestamp. With
+    ``addNewColumns`` the saved schema is widened and the stream restarts on
+    the same checkpoint with it; with ``none`` unknown columns are ignored.
+    ``source`` may be a glob such as ``landing/*`` (the file stream source
+    does not recurse).
     """
+    since = _last_inspected(spark, state)
     inv = file_inventory(spark, source, glob, recursive=False)
-    files = [r[0] for r in inv.select("path").collect()]
-    seen = _seen_files(spark, state)
-    new_files = [f for f in files if f not in seen]
+    if since is not None:
+        inv = inv.filter(F.col("modificationTime") > F.to_timestamp(F.lit(since)))
+    # the watermark is formatted by Spark in the session time zone, which is
+    # also how ``modifiedAfter`` reads it
+    newest = inv.agg(F.date_format(F.max("modificationTime") - F.expr("INTERVAL 1 SECOND"),
+                                   "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
     saved = _load_schema(spark, state) or base_schema
     schema = saved
-    if new_files and (saved is None or mode == "addNewColumns"):
-        found = spark.read.format(fmt).load(new_files).schema
-        schema = widen(saved, found)
+    if newest is not None and (saved is None or mode == "addNewColumns"):
+        r = spark.read.format(fmt).option("samplingRatio", sampling_ratio)
+        if glob:
+            r = r.option("pathGlobFilter", glob)
+        if since is not None:
+            r = r.option("modifiedAfter", since)
+        schema = widen(saved, r.load(source).schema)
     if schema is None:
         return LoadResult(0, 0)
     if saved is None or schema != saved:
         _save_schema(spark, state, schema)
     opts = {"pathGlobFilter": glob} if glob else {}
     res = copy_into(spark, source, target, f"{state}/checkpoint", fmt, schema, opts)
-    if new_files:
-        spark.createDataFrame([(f,) for f in new_files], "path string") \
-            .write.mode("append").parquet(f"{state}/inspected")
+    if newest is not None:
+        # one second back: files landing within the same second are
+        # inspected again next time (harmless: widening is idempotent)
+        spark.createDataFrame([(newest,)], "value string").coalesce(1) \
+            .write.mode("overwrite").text(f"{state}/inspected_until")
     return res
