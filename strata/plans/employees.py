@@ -51,15 +51,15 @@ def roles_view(silver: DataFrame) -> DataFrame:
     return silver.groupBy("Role").agg(F.count(F.lit(1)).alias("TotalEmployees"))
 
 
-def run_employee_job(spark: SparkSession, sf_dir: str, clock: Column | None = None) -> dict:
-    """Task 1: land + load Bronze. Task 2: Silver + Gold. Returns table handles."""
-    root = scratch_path(spark, "employees")
-    landing, bronze_path = f"{root}/landing", f"{root}/bronze"
-    emp = employees_from_customers(read_table(spark, sf_dir, "customer"),
-                                   read_table(spark, sf_dir, "nation"))
-    export_landing(emp, landing, "csv", header=True)
-    copy_into(spark, landing, bronze_path, f"{root}/_checkpoint", "csv", EMPLOYEE_SCHEMA,
-              {"header": True})
+def employee_job(spark: SparkSession, landing: str, root: str,
+                 clock: Column | None = None) -> dict:
+    """Task 1: load new CSV drops into Bronze (idempotent). Task 2: replace
+    Silver from a query, then refresh Gold through a temp view with INSERT
+    OVERWRITE into its fixed-schema table. Returns the table handles and the
+    number of rows task 1 loaded."""
+    bronze_path = f"{root}/bronze"
+    loaded = copy_into(spark, landing, bronze_path, f"{root}/_checkpoint", "csv",
+                       EMPLOYEE_SCHEMA, {"header": True})
     bronze = spark.read.parquet(bronze_path)
     silver_path = f"{root}/silver"
     employee_silver(bronze, clock).write.mode("overwrite").parquet(silver_path)
@@ -69,7 +69,17 @@ def run_employee_job(spark: SparkSession, sf_dir: str, clock: Column | None = No
     gold = f"gold_roles_{uuid.uuid4().hex[:8]}"
     create_empty_table(spark, gold, GOLD_DDL, location=f"{root}/gold")
     insert_overwrite(spark, gold, spark.table(view))
-    return {"bronze": bronze, "silver": silver, "gold": spark.table(gold), "gold_name": gold}
+    return {"bronze": bronze, "silver": silver, "gold": spark.table(gold), "gold_name": gold,
+            "rows_loaded": loaded.rows_loaded}
+
+
+def run_employee_job(spark: SparkSession, sf_dir: str, clock: Column | None = None) -> dict:
+    """The job on employees derived from the test tables."""
+    root = scratch_path(spark, "employees")
+    emp = employees_from_customers(read_table(spark, sf_dir, "customer"),
+                                   read_table(spark, sf_dir, "nation"))
+    export_landing(emp, f"{root}/landing", "csv", header=True)
+    return employee_job(spark, f"{root}/landing", root, clock)
 
 
 _EMP_SQL = """
