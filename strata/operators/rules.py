@@ -77,12 +77,14 @@ def failed_count(rule: Rule) -> Column:
     return F.sum(F.when(rule.passed, 0).otherwise(1)).alias(rule.name)
 
 
-def apply_rules(df: DataFrame, rules: list[Rule], observation: Observation | None = None,
+def apply_rules(df: DataFrame, rules: list[Rule], observation: Observation | str | None = None,
                 dataset: str = "dataset") -> DataFrame:
     """Attach rules to a dataset's output.
 
     ``observation`` (optional) collects ``rows`` and one failed-count per rule
-    from the same pass that produces the data; read it after the action.
+    from the same pass that produces the data: an ``Observation`` for batch
+    (read it after the action), or a name for streams (the counts appear per
+    micro-batch in the query progress under ``observedMetrics``).
     """
     if not rules:
         return df

@@ -1,0 +1,175 @@
+"""Dataset decorators in the declarative-pipeline style.
+
+    p = Pipeline(spark)
+
+    @p.table(partition_cols=["event_type"])
+    @p.expect_or_drop("valid_event_id", "event_id IS NOT NULL")
+    def bronze():
+        return spark.readStream.schema(s).json(landing)
+
+    @p.materialized_view()
+    @p.expect("positive_value", "event_value > 0")
+    def silver():
+        return p.read("bronze").dropDuplicates(["event_id"])
+
+    p.run()            # datasets refresh in definition order
+    p.metrics()        # (dataset, rule, policy, passed, failed)
+
+A dataset function returns a DataFrame and writes nothing. ``run`` attaches
+the rules to its output (fail, observe, drop), then materialises it:
+streaming results through an ``availableNow`` stream with a checkpoint,
+batch tables and materialized views by a full recompute, temporary views as
+session views. Every refresh writes to a new folder that becomes current
+only after the write succeeds, so a failing expectation leaves the previous
+contents readable. There is no dependency resolution: define datasets in
+the order they read each other.
+"""
+
+from __future__ import annotations
+
+import uuid
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+
+from strata.operators.rules import Rule, apply_rules, expect as _warn
+from strata.operators.rules import expect_or_drop as _drop, expect_or_fail as _fail
+from strata.operators.rules import observed_metrics
+from strata.session import scratch_path
+from strata.sinks.tables import GUARD_PROPERTY, RefreshNotAllowed
+
+
+@dataclass
+class Dataset:
+    name: str
+    fn: object
+    kind: str  # "table" | "materialized_view" | "temporary_view"
+    partition_cols: list[str] | None = None
+    comment: str | None = None
+    properties: dict = field(default_factory=dict)
+    rules: list[Rule] = field(default_factory=list)
+
+
+class Pipeline:
+    def __init__(self, spark: SparkSession, root: str | None = None):
+        self.spark = spark
+        self.root = root or scratch_path(spark, "pipeline")
+        self.datasets: dict[str, Dataset] = {}
+        self.locations: dict[str, str] = {}
+        self._metrics: list[dict] = []
+
+    # ------------------------------------------------------------ decorators
+    def _define(self, kind, name=None, partition_cols=None, comment=None, table_properties=None):
+        def deco(fn):
+            n = name or fn.__name__
+            rules = list(reversed(getattr(fn, "_strata_rules", [])))
+            self.datasets[n] = Dataset(n, fn, kind, partition_cols, comment,
+                                       dict(table_properties or {}), rules)
+            return fn
+        return deco
+
+    def table(self, name=None, partition_cols=None, comment=None, table_properties=None):
+        return self._define("table", name, partition_cols, comment, table_properties)
+
+    def materialized_view(self, name=None, partition_cols=None, comment=None,
+                          table_properties=None):
+        return self._define("materialized_view", name, partition_cols, comment, table_properties)
+
+    def temporary_view(self, name=None, comment=None):
+        return self._define("temporary_view", name, None, comment, None)
+
+    @staticmethod
+    def _rule(rule: Rule):
+        def deco(fn):
+            fn._strata_rules = getattr(fn, "_strata_rules", []) + [rule]
+            return fn
+        return deco
+
+    def expect(self, name, sql):
+        return self._rule(_warn(name, sql))
+
+    def expect_or_drop(self, name, sql):
+        return self._rule(_drop(name, sql))
+
+    def expect_or_fail(self, name, sql):
+        return self._rule(_fail(name, sql))
+
+    # ------------------------------------------------------------ running
+    def read(self, name: str) -> DataFrame:
+        """Batch read of a dataset refreshed earlier in this pipeline."""
+        if self.datasets[name].kind == "temporary_view":
+            return self.spark.table(self._view_name(name))
+        return self.spark.read.parquet(self.locations[name])
+
+    def read_stream(self, name: str) -> DataFrame:
+        """Streaming read of a stored dataset (new files only)."""
+        path = self.locations[name]
+        return self.spark.readStream.schema(self.spark.read.parquet(path).schema).parquet(path)
+
+    def _view_name(self, name: str) -> str:
+        return f"{name}_{abs(hash(self.root)) % 10 ** 8}"
+
+    def run(self, full_refresh: bool = False) -> None:
+        self._metrics = []
+        for ds in self.datasets.values():
+            self._refresh(ds, full_refresh)
+
+    def _refresh(self, ds: Dataset, full_refresh: bool) -> None:
+        df = ds.fn()
+        obs = None
+        if ds.rules:  # streams report observed metrics by name in their progress
+            tag = f"{ds.name}_{uuid.uuid4().hex[:6]}"
+            obs = tag if df.isStreaming else Observation(tag)
+        out = apply_rules(df, ds.rules, obs, ds.name)
+        if ds.kind == "temporary_view":
+            out.createOrReplaceTempView(self._view_name(ds.name))
+            self.locations[ds.name] = self._view_name(ds.name)
+            return
+        if df.isStreaming:
+            path = self.locations.get(ds.name)
+            if full_refresh and path is not None:
+                if ds.properties.get(GUARD_PROPERTY, "true").lower() == "false":
+                    raise RefreshNotAllowed(f"full refresh of {ds.name} is not allowed")
+                path = None
+            path = path or f"{self.root}/{ds.name}__{uuid.uuid4().hex[:8]}"
+            w = (out.writeStream.format("parquet").outputMode("append")
+                 .option("checkpointLocation", f"{path}/_checkpoint")
+                 .trigger(availableNow=True))
+            if ds.partition_cols:
+                w = w.partitionBy(*ds.partition_cols)
+            q = w.start(f"{path}/data")
+            q.awaitTermination()
+            self.locations[ds.name] = f"{path}/data"
+            if obs is not None:
+                self._metrics += self._stream_metrics(q, ds)
+            return
+        path = f"{self.root}/{ds.name}__{uuid.uuid4().hex[:8]}"
+        w = out.write.mode("errorifexists")
+        if ds.partition_cols:
+            w = out.hint("rebalance", *ds.partition_cols).write.mode("errorifexists") \
+                .partitionBy(*ds.partition_cols)
+        w.parquet(path)                       # a failing rule aborts here
+        self.locations[ds.name] = path        # publish only after success
+        if obs is not None:
+            self._metrics += observed_metrics(obs, ds.rules, ds.name)
+
+    @staticmethod
+    def _stream_metrics(query, ds: Dataset) -> list[dict]:
+        rows = 0
+        totals: dict[str, int] = {}
+        for p in query.recentProgress:
+            for m in (p.get("observedMetrics") or {}).values():
+                m = m.asDict() if hasattr(m, "asDict") else m
+                rows += m.get("rows") or 0
+                for r in ds.rules:
+                    totals[r.name] = totals.get(r.name, 0) + (m.get(r.name) or 0)
+        return [{"dataset": ds.name, "rule": r.name, "policy": r.policy,
+                 "passed": rows - totals.get(r.name, 0), "failed": totals.get(r.name, 0)}
+                for r in ds.rules]
+
+    def metrics(self) -> DataFrame:
+        """Pass/fail counts per rule of the last run (a few rows)."""
+        return self.spark.createDataFrame(
+            [(m["dataset"], m["rule"], m["policy"], int(m["passed"]), int(m["failed"]))
+             for m in self._metrics],
+            "dataset string, rule string, policy string, passed bigint, failed bigint")

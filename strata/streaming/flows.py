@@ -134,4 +134,5 @@ def stream_rule_metrics(query) -> dict:
     """Observed per-rule counts of the last micro-batch (stream form of
     ``Observation``); empty when the flow attached no observation."""
     progress = query.lastProgress or {}
-    return progress.get("observedMetrics", {}) or {}
+    return {k: (v.asDict() if hasattr(v, "asDict") else v)
+            for k, v in (progress.get("observedMetrics") or {}).items()}

@@ -1,0 +1,73 @@
+"""Declarative dataset decorators: streaming table -> materialized view ->
+gold, with expectations, metrics and the refresh guard."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from strata.pipeline import Pipeline
+from strata.plans import events as ev
+from strata.plans.streams import land_events
+from strata.sinks.tables import GUARD_PROPERTY, RefreshNotAllowed
+from strata.streaming.flows import read_landing
+
+from conftest import SF_SMALL
+
+
+def test_declarative_event_pipeline(spark, tmp):
+    landing = land_events(spark, SF_SMALL, tmp)
+    p = Pipeline(spark, f"{tmp}/pipe")
+
+    @p.table(partition_cols=["event_type"], table_properties={GUARD_PROPERTY: "false"})
+    @p.expect_or_drop("valid_event_id", "event_id IS NOT NULL")
+    @p.expect_or_drop("valid_user_id", "user_id IS NOT NULL")
+    def bronze_events_raw():
+        return read_landing(spark, landing)
+
+    @p.materialized_view()
+    @p.expect("positive_value", "event_value > 0")
+    @p.expect_or_drop("valid_timestamp", "event_timestamp IS NOT NULL")
+    def silver_events():
+        return ev.silver_base(p.read("bronze_events_raw"))
+
+    @p.materialized_view()
+    @p.expect_or_fail("non_null_event_date", "event_date IS NOT NULL")
+    def gold_daily():
+        return ev.gold_daily_base(p.read("silver_events"))
+
+    @p.temporary_view()
+    def dq_summary():
+        return ev.bronze_dq_summary(p.read("bronze_events_raw"))
+
+    p.run()
+    assert p.read("bronze_events_raw").count() == 996
+    assert p.read("silver_events").count() == 986 - 11
+    want = ev.gold_daily_base(ev.silver_events(ev.bronze_events(
+        spark.read.parquet(p.locations["bronze_events_raw"]))))
+    assert p.read("gold_daily").exceptAll(want.select(*p.read("gold_daily").columns)).count() == 0
+    assert p.read("dq_summary").count() == 5
+    m = {(r["dataset"], r["rule"]): (r["passed"], r["failed"]) for r in p.metrics().collect()}
+    assert m[("bronze_events_raw", "valid_event_id")][1] > 0
+    assert m[("silver_events", "valid_timestamp")] == (975, 11)
+    assert m[("gold_daily", "non_null_event_date")][1] == 0
+    # second run: the streaming table only picks up new files
+    p.run()
+    assert p.read("bronze_events_raw").count() == 996
+    with pytest.raises(RefreshNotAllowed):
+        p.run(full_refresh=True)
+
+
+def test_failed_expectation_keeps_previous_output(spark, tmp):
+    p = Pipeline(spark, f"{tmp}/pipe")
+    state = {"bad": False}
+
+    @p.materialized_view()
+    @p.expect_or_fail("x_positive", "x > 0")
+    def t():
+        return spark.range(1, 4).select((F.col("id") * (-1 if state["bad"] else 1)).alias("x"))
+
+    p.run()
+    assert p.read("t").count() == 3
+    state["bad"] = True
+    with pytest.raises(Exception, match="x_positive"):
+        p.run()
+    assert sorted(r["x"] for r in p.read("t").collect()) == [1, 2, 3]
