@@ -29,13 +29,13 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def reconcile_counts(source: DataFrame, target: DataFrame) -> DataFrame:
-    """One row: ``source_rows, target_rows, difference, reconciled``."""
-    s = source.agg(F.count(F.lit(1)).alias("source_rows"))
-    t = target.agg(F.count(F.lit(1)).alias("target_rows"))
-    return s.crossJoin(t).select(
-        "source_rows", "target_rows",
-        (F.col("source_rows") - F.col("target_rows")).alias("difference"),
-        (F.col("source_rows") == F.col("target_rows")).alias("reconciled"))
+    """One row: ``source_rows, target_rows, difference, reconciled`` (the
+    target count is a scalar subquery)."""
+    return (source.agg(F.count(F.lit(1)).alias("source_rows"))
+            .select("source_rows", target.agg(F.count(F.lit(1))).scalar().alias("target_rows"))
+            .select("source_rows", "target_rows",
+                    (F.col("source_rows") - F.col("target_rows")).alias("difference"),
+                    (F.col("source_rows") == F.col("target_rows")).alias("reconciled")))
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_keys: list[str],
@@ -52,11 +52,9 @@ def orphans(child: DataFrame, parent: DataFrame, child_keys: list[str],
 def orphan_summary(name: str, child: DataFrame, parent: DataFrame, child_keys: list[str],
                    parent_keys: list[str]) -> DataFrame:
     """``(relationship, child_rows, orphan_rows)`` for one foreign key."""
-    total = child.agg(F.count(F.lit(1)).alias("child_rows"))
-    bad = orphans(child, parent, child_keys, parent_keys).agg(
-        F.count(F.lit(1)).alias("orphan_rows"))
-    return total.crossJoin(bad).select(F.lit(name).alias("relationship"),
-                                       "child_rows", "orphan_rows")
+    bad = orphans(child, parent, child_keys, parent_keys).agg(F.count(F.lit(1))).scalar()
+    return child.agg(F.count(F.lit(1)).alias("child_rows")).select(
+        F.lit(name).alias("relationship"), "child_rows", bad.alias("orphan_rows"))
 
 
 def quarantine(df: DataFrame, rules: list[Rule]) -> DataFrame:

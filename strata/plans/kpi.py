@@ -178,12 +178,11 @@ def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def last_years(df: DataFrame, date_col: str, years: int) -> DataFrame:
-    """Rows within ``years`` before the latest date in the data (the anchor is
-    a one-row aggregate joined back, so nothing goes through the driver)."""
-    anchor = df.agg(F.max(date_col).alias("_anchor"))
-    return (df.crossJoin(F.broadcast(anchor))
-            .filter(F.col(date_col) > F.add_months(F.col("_anchor"), -12 * years))
-            .drop("_anchor"))
+    """Rows within ``years`` before the latest date in the data. The anchor
+    is a scalar subquery (one aggregate job, its value fed into the filter):
+    no join, nothing collected by hand."""
+    anchor = df.agg(F.max(date_col)).scalar()
+    return df.filter(F.col(date_col) > F.add_months(anchor, -12 * years))
 
 
 @query("sales_by_country_5y", _ORDER_TOTALS_SQL + """
