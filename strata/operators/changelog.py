@@ -23,7 +23,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strata.operators.dedup import keep_latest
 
@@ -183,25 +182,46 @@ class ChangeLog:
         """Change feed for versions ``(start, end]``: insert, update_preimage,
         update_postimage and delete rows with their commit version/time.
 
-        The previous state of each changed key is its prior log entry
-        (``lag`` over the key's entries up to ``end``)."""
-        keyed = Window.partitionBy(*self.keys).orderBy("_version")
-        touched = self._entries(end, start).select(*self.keys).distinct()
-        hist = (self._entries(end).join(touched, self.keys, "left_semi")
-                .withColumn("_prev", F.lag(F.struct(*self.columns, "_change")).over(keyed))
-                .filter(F.col("_version") > start))
-        had_row = F.col("_prev").isNotNull() & (F.col("_prev._change") == UPSERT)
-        now = hist.select(
-            F.when(F.col("_change") == DELETE, "delete")
-             .when(had_row, "update_postimage").otherwise("insert").alias("_change_type"),
-            "_version", *self.columns)
-        pre = hist.filter(had_row & (F.col("_change") == UPSERT)).select(
-            F.lit("update_preimage").alias("_change_type"), "_version",
-            *[F.col(f"_prev.{c}").alias(c) for c in self.columns])
-        commits = self.history().select(F.col("version").alias("_version"),
-                                        F.col("timestamp").alias("_commit_timestamp"))
-        return (now.unionByName(pre).join(F.broadcast(commits), "_version")
-                .withColumnRenamed("_version", "_commit_version"))
+        Each commit in the range is compared with the table state just
+        before it: the entries of version ``v`` are left-joined, on the key,
+        to ``snapshot(v - 1)`` restricted to the keys ``v`` touched. Every
+        step is an aggregate or a key join, so a key with a long history is
+        pre-aggregated rather than sorted whole in one task. The list of
+        versions in the range comes from the commit records (metadata)."""
+        hist = self.history()
+        rng = hist.filter(F.col("version") > start)
+        if end is not None:
+            rng = rng.filter(F.col("version") <= end)
+        versions = sorted(r[0] for r in rng.select("version").collect())
+        vals = [c for c in self.columns if c not in self.keys]
+        out = None
+        for v in versions:
+            now = keep_latest(self._entries(v, v - 1), self.keys, ["_change"])
+            keys = now.select(*self.keys)
+            before = (keep_latest(self._entries(v - 1).join(keys, self.keys, "left_semi"),
+                                  self.keys, ["_version"])
+                      .filter(F.col("_change") == UPSERT)
+                      .select(*self.keys, *[F.col(c).alias(f"_pre_{c}") for c in vals],
+                              F.lit(True).alias("_had_row")))
+            j = now.join(before, self.keys, "left")
+            had = F.col("_had_row").isNotNull()
+            post = j.select(
+                F.when(F.col("_change") == DELETE, "delete")
+                 .when(had, "update_postimage").otherwise("insert").alias("_change_type"),
+                F.lit(v).alias("_commit_version"), *self.columns)
+            pre = j.filter(had & (F.col("_change") == UPSERT)).select(
+                F.lit("update_preimage").alias("_change_type"), F.lit(v).alias("_commit_version"),
+                *[F.col(c) if c in self.keys else F.col(f"_pre_{c}").alias(c)
+                  for c in self.columns])
+            step = post.unionByName(pre)
+            out = step if out is None else out.unionByName(step)
+        if out is None:
+            empty = self.snapshot().limit(0)
+            out = empty.select(F.lit("").alias("_change_type"), F.lit(0).alias("_commit_version"),
+                               *self.columns)
+        commits = hist.select(F.col("version").alias("_commit_version"),
+                              F.col("timestamp").alias("_commit_timestamp"))
+        return out.join(F.broadcast(commits), "_commit_version")
 
     def diff(self, v_old: int, v_new: int | None = None) -> DataFrame:
         """Row-level diff: added / removed / changed keys with both images."""
