@@ -113,6 +113,20 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def read_table_if_exists(spark: SparkSession, name: str) -> DataFrame | None:
+    """Existence probe through the typed error: ``None`` when the table or
+    view is not found, any other analysis error is raised."""
+    from pyspark.errors import AnalysisException
+    try:
+        df = spark.table(name)
+        df.schema  # noqa: B018 - forces resolution
+        return df
+    except AnalysisException as e:
+        if (e.getCondition() or "").startswith("TABLE_OR_VIEW_NOT_FOUND"):
+            return None
+        raise
+
+
 def use_schema(spark: SparkSession, schema: str, create: bool = True) -> None:
     if create:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")

@@ -5,7 +5,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from strata.functions.clean import (age_in_years, clean_text, fill_defaults, in_range,
-                                    snake_case, split_to_rows, standardise_column_names)
+                                    parse_timestamp, snake_case, split_to_rows,
+                                    standardise_column_names)
 from strata.operators.dedup import distinct_rows, keep_latest
 from strata.operators.quality import (duplicate_keys, fd_violations, json_field_drift,
                                       null_profile, orphans, quarantine, reconcile_counts,
@@ -122,3 +123,9 @@ def test_keep_latest_matches_row_number(spark):
     ref = df.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
     got = keep_latest(df, ["k"], ["ts"])
     assert sorted(got.collect()) == sorted(ref.collect())
+
+
+def test_parse_timestamp_formats(spark):
+    df = spark.createDataFrame([("2024-03-01 10:00:00",), ("01/03/2024",), ("junk",)], "s string")
+    got = [r[0] for r in df.select(parse_timestamp(F.col("s"), "dd/MM/yyyy")).collect()]
+    assert got[1] is not None and got[2] is None

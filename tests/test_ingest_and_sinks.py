@@ -136,3 +136,21 @@ def test_landing_export_roundtrip(spark, tmp):
     tb.export_landing(df, f"{tmp}/land", "json")
     assert rd.read_json(spark, f"{tmp}/land", "id int, s string").first()["s"] == "a"
     assert rd.read_any(spark, "json", f"{tmp}/land", "id int, s string").count() == 1
+
+
+def test_schema_evolution_mode_none_ignores_new_columns(spark, tmp):
+    land = f"{tmp}/land"
+    write_text(f"{land}/a/1.json", '{"id": 1}\n')
+    load_with_schema_evolution(spark, f"{land}/*", f"{tmp}/t", f"{tmp}/state", mode="none",
+                               glob="*.json")
+    write_text(f"{land}/b/2.json", '{"id": 2, "extra": 7}\n')
+    load_with_schema_evolution(spark, f"{land}/*", f"{tmp}/t", f"{tmp}/state", mode="none",
+                               glob="*.json")
+    out = spark.read.parquet(f"{tmp}/t")
+    assert out.columns == ["id"] and out.count() == 2
+
+
+def test_read_table_if_exists(spark):
+    assert tb.read_table_if_exists(spark, "no_such_table_xyz") is None
+    spark.range(2).createOrReplaceTempView("probe_view")
+    assert tb.read_table_if_exists(spark, "probe_view").count() == 2

@@ -61,3 +61,18 @@ def test_watermarked_dedup_and_replay(spark, tmp):
     flows.replay_silver(spark, path, f"{tmp}/silver_replayed")
     assert spark.read.parquet(f"{tmp}/silver_replayed").count() == \
         ev.silver_events(spark.read.parquet(path)).count()
+
+
+def test_stream_static_join_and_continuous_trigger(spark, tmp):
+    """Enrichment of a stream with a static dimension, run on a processing-
+    time trigger (continuous mode) until the available input is drained."""
+    path = st.run_bronze(spark, SF_SMALL, tmp)
+    src = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    customer = spark.read.parquet(f"{SF_SMALL}/customer.parquet")
+    enriched = ev.events_with_profile(flows.silver_stream(src), customer)
+    q = flows.start(enriched, f"{tmp}/_ckpt_join", f"{tmp}/joined", once=False,
+                    interval="1 second")
+    q.processAllAvailable()
+    q.stop()
+    out = spark.read.parquet(f"{tmp}/joined")
+    assert out.count() > 0 and out.filter("user_name IS NULL").count() == 0
