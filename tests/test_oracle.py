@@ -1,6 +1,8 @@
 """Every registered query against its DuckDB oracle on the smallest tables
 (the driver repeats this at sf0.01)."""
 
+import contextlib
+import io
 import os
 import sys
 
@@ -22,10 +24,20 @@ def con():
     return duck(SF_SMALL)
 
 
+def plan_text(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
     df = QUERIES[key](spark, SF_SMALL)
     rows = [tuple(r) for r in df.collect()]
+    plan = plan_text(df)
+    # no all-pairs operators anywhere
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if key not in SQL:
         assert len(rows) > 0
         return
