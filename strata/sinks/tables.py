@@ -31,6 +31,19 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
         df.write.mode(mode).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, keys: list[str], buckets: int,
+                   location: str | None = None, sort: bool = True) -> None:
+    """Catalog table hash-bucketed (and sorted) on ``keys``. Two tables
+    bucketed the same way on their join key join without a shuffle on either
+    side, e.g. line items and orders on the order key."""
+    w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys)
+    if sort:
+        w = w.sortBy(*keys)
+    if location:
+        w = w.option("path", location)
+    w.saveAsTable(name)
+
+
 def materialize(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a layer to the shared folder and continue from the stored copy:
     cuts the lineage (a lost executor re-reads files instead of recomputing

@@ -52,3 +52,22 @@ def test_hot_key_keep_latest_matches_window(spark):
     want = hot.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
     assert got.exceptAll(want.select(*got.columns)).count() == 0
     assert got.count() == want.count()
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp):
+    from strata.sinks.tables import write_bucketed
+    from strata.plans.kpi import order_totals
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    write_bucketed(li, "li_bucketed", ["l_orderkey"], 8, f"{tmp}/li")
+    write_bucketed(o.withColumnRenamed("o_orderkey", "l_orderkey"), "o_bucketed",
+                   ["l_orderkey"], 8, f"{tmp}/o")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = order_totals(spark.table("li_bucketed")).join(spark.table("o_bucketed"), "l_orderkey")
+        p = plan(j)
+        assert "SortMergeJoin" in p and "Exchange" not in p
+        assert j.count() == o.join(li.select("l_orderkey").distinct(),
+                                   o.o_orderkey == F.col("l_orderkey")).count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
