@@ -138,14 +138,46 @@ class ChangeLog:
 
     # ------------------------------------------------------------ reads
     def _entries(self, upto: int | None = None, after: int | None = None) -> DataFrame:
+        """Log entries in ``(after, upto]`` of committed versions. For reads
+        from the start (``after`` None) the newest compacted base at or below
+        ``upto`` replaces all entries up to its version."""
         committed = self.history().select(F.col("version").alias("_version"))
+        base_v = self._base_version(upto) if after is None else None
         log = self.spark.read.parquet(f"{self.path}/log")
         if upto is not None:
             log = log.filter(F.col("_version") <= upto)
         if after is not None:
             log = log.filter(F.col("_version") > after)
+        if base_v is not None:
+            log = log.filter(F.col("_version") > base_v)
         # only committed versions are visible; the commit list is tiny
-        return log.join(F.broadcast(committed), "_version", "left_semi")
+        entries = log.join(F.broadcast(committed), "_version", "left_semi")
+        if base_v is None:
+            return entries
+        base = (self.spark.read.parquet(f"{self.path}/base/_version={base_v}")
+                .withColumn("_version", F.lit(base_v)))
+        return entries.unionByName(base)
+
+    def _base_version(self, upto: int | None) -> int | None:
+        try:
+            bases = self.spark.read.parquet(f"{self.path}/bases")
+        except Exception:  # noqa: BLE001 - never compacted
+            return None
+        if upto is not None:
+            bases = bases.filter(F.col("version") <= upto)
+        return bases.agg(F.max("version")).first()[0]
+
+    def compact(self, version: int | None = None) -> int:
+        """Store ``snapshot(version)`` as a base so later reads start there
+        instead of replaying the whole log: an as-of read then costs one
+        table's worth of rows plus the entries after the base. Earlier
+        versions stay readable from the log. Commits nothing new."""
+        v = self.latest_version() if version is None else version
+        self.snapshot(v).withColumn("_change", F.lit(UPSERT)) \
+            .write.mode("overwrite").parquet(f"{self.path}/base/_version={v}")
+        self.spark.range(1).select(F.lit(v).cast("int").alias("version")) \
+            .write.mode("append").parquet(f"{self.path}/bases")
+        return v
 
     def _current_where(self, where: str) -> DataFrame:
         """Current rows matching ``where``, without resolving every key.
