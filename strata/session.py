@@ -44,6 +44,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         if _LOCAL_ROOT is None:
             _LOCAL_ROOT = tempfile.mkdtemp(prefix="strata-")
         conf["spark.checkpoint.dir"] = os.path.join(_LOCAL_ROOT, "checkpoints")
+        conf.setdefault("spark.sql.warehouse.dir", os.path.join(_LOCAL_ROOT, "warehouse"))
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

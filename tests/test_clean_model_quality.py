@@ -129,3 +129,10 @@ def test_parse_timestamp_formats(spark):
     df = spark.createDataFrame([("2024-03-01 10:00:00",), ("01/03/2024",), ("junk",)], "s string")
     got = [r[0] for r in df.select(parse_timestamp(F.col("s"), "dd/MM/yyyy")).collect()]
     assert got[1] is not None and got[2] is None
+
+
+def test_keep_latest_with_map_column(spark):
+    df = spark.createDataFrame([(1, 5, {"a": "x"}), (1, 7, {"b": "y"}), (2, None, None)],
+                               "k int, ts int, m map<string,string>")
+    got = {r["k"]: (r["ts"], r["m"]) for r in keep_latest(df, ["k"], ["ts"]).collect()}
+    assert got == {1: (7, {"b": "y"}), 2: (None, None)}
