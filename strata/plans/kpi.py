@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strata.plans.registry import query
 from strata.sources.tables import read_table
@@ -286,19 +287,25 @@ FROM act LEFT JOIN ret ON act.month = ret.month
 LEFT JOIN act prev ON prev.month = act.month - INTERVAL 1 MONTH
 """)
 def q_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers active in a month who were also active the month before:
-    distinct (customer, month) pairs self-joined on (customer, month + 1)."""
+    """Customers active in a month who were also active the month before.
+
+    Distinct (customer, month) pairs, then each pair is flagged when the
+    customer's previous active month is the calendar month before (``lag``
+    per customer: after the distinct a customer has at most one row per
+    month, so each window partition is bounded by the number of months).
+    One monthly aggregate follows; the previous month's activity comes from
+    that small monthly result, broadcast."""
     cm = (read_table(spark, sf_dir, "orders")
           .select("o_custkey", F.trunc("o_orderdate", "month").alias("month")).distinct())
-    act = cm.groupBy("month").agg(F.count(F.lit(1)).alias("active_customers"))
-    nxt = cm.select("o_custkey", F.add_months("month", 1).alias("month"))
-    ret = (cm.join(nxt, ["o_custkey", "month"])
-           .groupBy("month").agg(F.count(F.lit(1)).alias("retained_customers")))
-    prev = act.select(F.add_months("month", 1).alias("month"),
-                      F.col("active_customers").alias("prev_active_customers"))
-    retained = F.coalesce(F.col("retained_customers"), F.lit(0))
-    return (act.join(ret, "month", "left").join(prev, "month", "left")
-            .select("month", "active_customers", retained.alias("retained_customers"),
-                    "prev_active_customers",
-                    (retained.cast("double") / F.col("prev_active_customers"))
+    w = Window.partitionBy("o_custkey").orderBy("month")
+    flagged = cm.withColumn(
+        "_kept", (F.lag("month").over(w) == F.add_months("month", -1)).cast("int"))
+    monthly = flagged.groupBy("month").agg(
+        F.count(F.lit(1)).alias("active_customers"),
+        F.coalesce(F.sum("_kept"), F.lit(0)).cast("bigint").alias("retained_customers"))
+    prev = monthly.select(F.add_months("month", 1).alias("month"),
+                          F.col("active_customers").alias("prev_active_customers"))
+    return (monthly.join(F.broadcast(prev), "month", "left")
+            .select("month", "active_customers", "retained_customers", "prev_active_customers",
+                    (F.col("retained_customers").cast("double") / F.col("prev_active_customers"))
                     .alias("retention_rate")))
