@@ -293,8 +293,8 @@ def q_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer's previous active month is the calendar month before (``lag``
     per customer: after the distinct a customer has at most one row per
     month, so each window partition is bounded by the number of months).
-    One monthly aggregate follows; the previous month's activity comes from
-    that small monthly result, broadcast."""
+    One monthly aggregate follows; the previous month's activity is a ``lag``
+    over that result, which has one row per month whatever the data size."""
     cm = (read_table(spark, sf_dir, "orders")
           .select("o_custkey", F.trunc("o_orderdate", "month").alias("month")).distinct())
     w = Window.partitionBy("o_custkey").orderBy("month")
@@ -303,9 +303,11 @@ def q_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     monthly = flagged.groupBy("month").agg(
         F.count(F.lit(1)).alias("active_customers"),
         F.coalesce(F.sum("_kept"), F.lit(0)).cast("bigint").alias("retained_customers"))
-    prev = monthly.select(F.add_months("month", 1).alias("month"),
-                          F.col("active_customers").alias("prev_active_customers"))
-    return (monthly.join(F.broadcast(prev), "month", "left")
+    # one row per month: ordering that small result needs no key
+    by_month = Window.orderBy("month")
+    prev_active = F.when(F.lag("month").over(by_month) == F.add_months("month", -1),
+                         F.lag("active_customers").over(by_month))
+    return (monthly.withColumn("prev_active_customers", prev_active)
             .select("month", "active_customers", "retained_customers", "prev_active_customers",
                     (F.col("retained_customers").cast("double") / F.col("prev_active_customers"))
                     .alias("retention_rate")))
