@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.sinks import tables as tb
