@@ -63,9 +63,9 @@ def q_stream_gold_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = land_events(spark, sf_dir, root)
     silver = flows.silver_stream(flows.bronze_stream(flows.read_landing(spark, landing)))
     q = flows.start(flows.gold_approx_stream(silver), f"{root}/_ckpt", mode="complete",
-                    foreach_batch=flows.overwrite_sink(f"{root}/gold"))
+                    foreach_batch=flows.versioned_sink(f"{root}/gold"))
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/gold")
+    return flows.read_published(spark, f"{root}/gold")
 
 
 @query("stream_gold_exact", ev.SILVER_CTES + """

@@ -86,13 +86,23 @@ def gold_approx_stream(silver: DataFrame) -> DataFrame:
     return ev.gold_daily_base(silver, approx_distinct=True)
 
 
-def overwrite_sink(path: str):
-    """foreachBatch sink for complete-mode results: replace the table."""
-    def write(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+def versioned_sink(path: str):
+    """foreachBatch sink for complete-mode results. Each micro-batch's full
+    result goes to its own folder (a replayed batch rewrites the same one),
+    and only then is the batch id appended to ``_published``; readers take
+    the highest published id, so they never see a half-written result."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.sparkSession.createDataFrame([(batch_id,)], "batch_id long").coalesce(1) \
+            .write.mode("append").parquet(f"{path}/_published")
     return write
 
 
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    latest = spark.read.parquet(f"{path}/_published").agg(F.max("batch_id")).first()[0]
+    return spark.read.parquet(f"{path}/batch_id={latest}")
+
+
 def gold_exact_incremental(spark: SparkSession, bronze_path: str, gold_path: str):
     """foreachBatch body: exact daily metrics for the dates a batch touches.
 
