@@ -227,7 +227,7 @@ def events_with_profile(silver: DataFrame, customer: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- pipeline
 
-def _landed_with_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+def landed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = dirty_events(spark, sf_dir, with_source_file=True)
     # keep only the file name: the folder differs between environments
     return d.withColumn("source_file", F.regexp_extract("source_file", r"[^/]+$", 0))
@@ -239,7 +239,7 @@ def pipeline(spark: SparkSession, sf_dir: str, clock: Column | None = None,
     stores Silver (partitioned by ``event_date``) in the shared folder, as the
     medallion layout does, so Gold consumers read it instead of repeating
     the dedup shuffle."""
-    landed = _landed_with_file(spark, sf_dir)
+    landed = landed_events(spark, sf_dir)
     bronze = bronze_events(landed, clock)
     silver = silver_events(bronze)
     if materialize_silver:
