@@ -14,9 +14,11 @@ import __spark_entry__ as E  # noqa: E402
 from oracle_check import canon, duck  # noqa: E402
 
 from conftest import SF_SMALL  # noqa: E402
+from strata.plans import registry  # noqa: E402
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+E.queries()                          # registers the plan modules
+QUERIES = registry.QUERIES
+SQL = registry.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
