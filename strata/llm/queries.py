@@ -3,7 +3,13 @@ express the whole result."""
 
 from __future__ import annotations
 
-from strata.llm import exact_dedup, neardup, packing, quality, secrets
+import os
+
+from strata.llm import (exact_dedup, licenses, linededup, neardup, packing, quality, secrets, sentencepiece,
+                        substrings, urlfilter)
+
+#: Folder of the public tokenizers' files.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -107,3 +113,130 @@ FROM n WINDOW g AS (PARTITION BY t)
 """)
 def op9(spark, sf_dir):
     return exact_dedup.dedup(_table(spark, sf_dir, "documents"))
+
+
+#: Frequent token sets by listing the subsets of each URL's few tokens.
+OP4_SQL = r"""
+WITH p AS (
+  SELECT page_id, url,
+         translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path,
+         coalesce(regexp_extract(url, '\?([^#]*)', 1), '') AS q,
+         coalesce(contains(url, '://'), false) AS whole
+  FROM pages),
+t AS (
+  SELECT page_id, url, host, path, list_sort(list_distinct(CASE WHEN whole THEN list_concat(
+           ['h:' || x FOR x IN regexp_split_to_array(regexp_replace(lower(host), '[0-9]+', '#', 'g'), '[-.]') IF x <> ''],
+           ['p:' || x FOR x IN regexp_split_to_array(regexp_replace(lower(path), '[0-9]+', '#', 'g'), '[^a-z#]+') IF x <> ''],
+           ['q:' || regexp_extract(x, '^([^=]*)', 1) FOR x IN string_split(lower(q), '&') IF x <> '']
+         ) ELSE [] END)) AS tok
+  FROM p),
+y AS (
+  SELECT tok, coalesce(toxic, 0) = 1 OR coalesce(quality, 1) = 0 AS bad
+  FROM t JOIN labels ON page_id = doc_id
+  WHERE len(tok) > 0 OR coalesce(toxic, 0) = 1 OR coalesce(quality, 1) = 0),
+tot AS (SELECT count(*) AS n, count(*) FILTER (WHERE bad) AS b FROM y),
+sub AS (
+  SELECT [tok[k] FOR k IN range(1, len(tok) + 1) IF (m >> CAST(k - 1 AS INTEGER)) & 1 = 1] AS s, bad
+  FROM (SELECT tok, bad, unnest(range(1, CAST(pow(2, len(tok)) AS BIGINT))) AS m FROM y)),
+good_rules AS (
+  SELECT s FROM sub, tot GROUP BY s, tot.n, tot.b
+  HAVING count(*) FILTER (WHERE bad) >= ceil(0.005 * tot.n)
+     AND count(*) FILTER (WHERE bad) >= 0.7 * count(*)
+     AND count(*) FILTER (WHERE bad) * tot.n >= 2.0 * count(*) * tot.b),
+hit AS (SELECT DISTINCT url FROM t, good_rules WHERE list_has_all(tok, s)),
+r AS (
+  SELECT t.page_id, t.url, t.host, t.path, CASE
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'example.net' OR ends_with(host, '.example.net')) AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM t)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+    WHEN url IN (SELECT url FROM hit WHERE url IS NOT NULL) THEN 'block' ELSE 'allow' END AS verdict
+FROM r
+"""
+
+
+@_query("op4_url_filter", OP4_SQL)
+def op4(spark, sf_dir):
+    return urlfilter.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
+
+
+@_query("op6_sentencepiece")
+def op6(spark, sf_dir):
+    return sentencepiece.report(_table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+@_query("op7_line_dedup", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, 'null') AS site,
+         string_split(coalesce(text, ''), chr(10)) AS ln FROM documents),
+x AS (
+  SELECT r, site, i, ln[i] AS line,
+         regexp_replace(ln[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS k
+  FROM (SELECT r, site, ln, unnest(range(1, len(ln) + 1)) AS i FROM d)),
+bad AS (SELECT k FROM x WHERE k <> '' GROUP BY k HAVING count(DISTINCT site) >= 8),
+k AS (SELECT r, string_agg(line, chr(10) ORDER BY i) AS t, count(*) AS n
+      FROM x WHERE k NOT IN (SELECT k FROM bad) GROUP BY r)
+SELECT doc_id, CAST(len(ln) AS BIGINT) AS n_lines, CAST(len(ln) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.t, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+""")
+def op7(spark, sf_dir):
+    return linededup.report(_table(spark, sf_dir, "documents"))
+
+
+@_query("op8_substring_dedup", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents),
+win AS (
+  SELECT r, doc_id, i, md5(array_to_string(w[i:i+49], ' ')) AS h
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+least_doc AS (SELECT h, min(doc_id) AS m FROM win GROUP BY h),
+g AS (SELECT r, p FROM (SELECT r, unnest(range(i, i + 50)) AS p FROM win JOIN least_doc USING (h)
+                        WHERE m < doc_id OR (doc_id IS NULL AND m IS NOT NULL)) GROUP BY r, p),
+x AS (SELECT r, w[p] AS word, p FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM d)),
+k AS (SELECT x.r, string_agg(word, ' ' ORDER BY x.p) AS t, count(*) AS n
+      FROM x ANTI JOIN g ON x.r = g.r AND x.p = g.p GROUP BY x.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.t, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+""")
+def op8(spark, sf_dir):
+    return substrings.report(_table(spark, sf_dir, "documents"))
+
+
+def _op10_sql():
+    rows = ",\n    ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in licenses.TEMPLATES.items())
+    words = r"[x FOR x IN regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+') IF x <> '']"
+    gram = "w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4]"
+    return rf"""
+WITH tpl(name, text) AS (VALUES
+    {rows}),
+ts AS (SELECT DISTINCT name, {gram} AS g
+       FROM (SELECT name, w, unnest(range(1, len(w) - 3)) AS i FROM (SELECT name, {words.format('text')} AS w FROM tpl))),
+m AS (SELECT name, count(*) AS m FROM ts GROUP BY name),
+d AS (SELECT row_number() OVER () AS r, doc_id, {words.format("coalesce(text, '')")} AS w FROM documents),
+h AS (SELECT r, i - 1 AS p, {gram} AS g, n
+      FROM (SELECT r, w, len(w) - 4 AS n, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+hit AS (SELECT r, p, n, name, g, m,
+               CASE WHEN m < 4 THEN 1 ELSE 8 END AS width, CASE WHEN m < 4 THEN 1 ELSE 4 END AS step
+        FROM h JOIN ts USING (g) JOIN m USING (name)),
+core AS (SELECT DISTINCT r, name, unnest(range(CAST(greatest(0, ceil((p - width + 1) / step)) AS BIGINT),
+                                               CAST(floor(p / step) AS BIGINT) + 1)) * step AS at, width, m
+         FROM hit),
+found AS (SELECT DISTINCT core.r, core.name FROM core JOIN hit
+            ON hit.r = core.r AND hit.name = core.name AND hit.p >= at - core.m AND hit.p < at + core.width + core.m
+          GROUP BY core.r, core.name, at, core.m HAVING count(DISTINCT g) >= 0.8 * core.m)
+SELECT doc_id, count(name) AS n_licenses, coalesce(string_agg(name, ',' ORDER BY name), '') AS licenses
+FROM d LEFT JOIN found USING (r) GROUP BY r, doc_id
+"""
+
+
+@_query("op10_license_scan", _op10_sql())
+def op10(spark, sf_dir):
+    return licenses.report(_table(spark, sf_dir, "documents")).select("doc_id", "n_licenses", "licenses")

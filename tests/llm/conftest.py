@@ -1,0 +1 @@
+"""The session and folders of the main tests serve these as well."""
