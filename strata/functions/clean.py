@@ -61,5 +61,6 @@ def age_in_years(dob: Column, as_of: Column) -> Column:
 
 
 def split_to_rows(c: Column, pattern: str = r",\s*") -> Column:
-    """1NF: one value per row (use in ``select`` as a generator)."""
-    return F.explode(F.split(c, pattern))
+    """1NF: one value per row (use in ``select`` as a generator); a NULL cell
+    keeps its row with a NULL value."""
+    return F.explode_outer(F.split(c, pattern))

@@ -1,33 +1,33 @@
 """Versioned tables on plain Parquet: an append-only change log.
 
-Layout under ``path``:
-
-* ``log/_version=<n>/`` — the rows written by commit ``n``: every inserted,
-  updated or merged row as an ``upsert`` entry, every deleted row as a
-  ``delete`` tombstone. Old files are never rewritten.
-* ``commits/`` — one small record per commit (version, timestamp,
-  operation, user, rows). Data files become visible only once their commit
-  record exists, so a failed or empty write leaves no version behind.
+``path/log/_version=<n>/`` holds the rows of commit ``n``: every inserted,
+updated or merged row as an ``upsert`` entry, every deleted row as a ``delete``
+tombstone, each with the commit's time, operation and user. A commit is written
+beside the log and becomes visible by one rename, which refuses an existing
+version; files are never rewritten. Nothing else is stored: columns come from
+the log's schema and history is an aggregate of it, so any instance on the same
+path reads and writes the same table. Single writer; the shared folder's rename
+must be atomic (HDFS and local folders are).
 
 Reads are DataFrame plans: ``snapshot(v)`` prunes the log to partitions
 ``<= v`` and keeps the latest entry per key with a grouped ``max`` over
 ``(_version, row)`` (partial aggregation before the shuffle), then drops
-tombstones. History, change feed, diff and restore are built from the same
-pieces. Single writer; concurrent commits are out of scope.
+tombstones. Change feed, diff and restore are built from the same pieces.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.operators.dedup import keep_latest
 
 UPSERT, DELETE = "upsert", "delete"
-META = ["_change", "_version"]
+META = ["_change", "_version", "_timestamp", "_operation", "_user"]
 
 
 def _ts_literal(ts: dt.datetime) -> Column:
@@ -40,144 +40,116 @@ class ChangeLog:
         self.spark, self.path, self.keys = spark, path.rstrip("/"), list(keys)
         self.clock = clock or (lambda _v: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
         self.user = user
-        self.columns: list[str] | None = None
-        self._latest: int | None = None  # cached latest committed version
 
     # ------------------------------------------------------------ commits
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _log(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/log")
+
+    @property
+    def columns(self) -> list[str]:
+        return [c for c in self._log().columns if c not in META]
+
     def history(self) -> DataFrame:
-        """``DESCRIBE HISTORY``: one row per committed version."""
-        return self.spark.read.parquet(f"{self.path}/commits")
+        """``DESCRIBE HISTORY``: one row per committed version with rows."""
+        return self._log().groupBy(F.col("_version").alias("version")).agg(
+            F.max("_timestamp").alias("timestamp"), F.max("_operation").alias("operation"),
+            F.max("_user").alias("userName"), F.count(F.lit(1)).alias("num_rows"))
 
     def latest_version(self) -> int | None:
-        if self._latest is None:
-            try:
-                self._latest = self.history().agg(F.max("version")).first()[0]
-            except Exception:  # noqa: BLE001 - nothing committed yet
-                return None
-        return self._latest
-
-    def _commit(self, rows: DataFrame, change: str, operation: str,
-                first: bool = False) -> int | None:
-        if self.columns is None:
-            self.columns = [c for c in rows.columns if c not in META]
-        return self._write_commit(rows.select(*self.columns).withColumn("_change", F.lit(change)),
-                                  operation, first)
-
-    def _write_commit(self, rows: DataFrame, operation: str, first: bool = False) -> int | None:
-        """Write the entries of the next version, then record the commit.
-        Row count comes from an observation of the same write (no re-scan);
-        an empty write (after the create) records nothing."""
-        cur = None if first else self.latest_version()
-        version = 0 if cur is None else cur + 1
-        obs = Observation(f"commit_{version}_{id(rows)}")
-        out = rows.select(*self.columns, "_change").observe(obs, F.count(F.lit(1)).alias("n"))
-        out.write.mode("overwrite").parquet(f"{self.path}/log/_version={version}")
-        n = obs.get.get("n", 0)
-        if n == 0 and version > 0:
+        """Greatest version folder; None only where the table's path has no
+        log. Every other failure is raised: a table that cannot be listed must
+        not look new."""
+        fs, p = self._fs(f"{self.path}/log")
+        if not fs.exists(p):
+            return None
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        return max((int(n.split("=")[1]) for n in names if n.startswith("_version=")), default=None)
+
+    def _commit(self, rows: DataFrame, operation: str, columns: list[str], first: bool = False) -> int | None:
+        """Write the entries of the next version and publish them by rename.
+        The row count is observed on the same write; an empty write (after the
+        create) leaves no version."""
+        cur = self.latest_version()
+        if first and cur is not None:
+            raise ValueError(f"{self.path} already holds a table")
+        if not first and cur is None:
+            raise ValueError(f"{self.path} holds no table")
+        version = 0 if first else cur + 1
+        staged = f"{self.path}/_staged-{uuid.uuid4().hex}"
+        obs = Observation(f"commit_{uuid.uuid4().hex[:8]}")
+        (rows.select(*columns, "_change",
+                     _ts_literal(self.clock(version)).alias("_timestamp"),
+                     F.lit(operation).alias("_operation"), F.lit(self.user).alias("_user"))
+         .observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(staged))
+        fs, src = self._fs(staged)
+        if not first and obs.get["n"] == 0:
+            fs.delete(src, True)
             return None
-        rec = self.spark.range(1).select(
-            F.lit(version).cast("int").alias("version"),
-            _ts_literal(self.clock(version)).alias("timestamp"),
-            F.lit(operation).alias("operation"), F.lit(self.user).alias("userName"),
-            F.lit(n).cast("bigint").alias("num_rows"))
-        rec.write.mode("append").parquet(f"{self.path}/commits")
-        self._latest = version
+        _, dst = self._fs(f"{self.path}/log/_version={version}")
+        fs.mkdirs(dst.getParent())
+        if fs.exists(dst) or not fs.rename(src, dst):
+            raise RuntimeError(f"version {version} of {self.path} was written by someone else")
         return version
 
     # ------------------------------------------------------------ writes
     def create(self, df: DataFrame) -> int:
         """Version 0 of a new table at an unused path."""
-        self.columns = list(df.columns)
-        return self._commit(df, UPSERT, "CREATE TABLE AS SELECT", first=True)
-
-    def _schema(self):
-        """Column types of the table (from the log when opened on an
-        existing path)."""
-        log = self.spark.read.parquet(f"{self.path}/log")
-        if self.columns is None:
-            self.columns = [c for c in log.columns if c not in META]
-        return log.schema
+        return self._commit(df.withColumn("_change", F.lit(UPSERT)), "CREATE TABLE AS SELECT",
+                            df.columns, first=True)
 
     def insert(self, df: DataFrame) -> int | None:
         """``INSERT INTO t (cols) VALUES ...``: omitted columns become NULL."""
-        schema = self._schema()
-        aligned = df.select(*[F.col(c).cast(schema[c].dataType) if c in df.columns
-                              else F.lit(None).cast(schema[c].dataType).alias(c)
-                              for c in self.columns])
-        return self._commit(aligned, UPSERT, "WRITE")
+        schema, columns = self._log().schema, self.columns
+        aligned = df.select(*[F.col(c).cast(schema[c].dataType).alias(c) if c in df.columns
+                              else F.lit(None).cast(schema[c].dataType).alias(c) for c in columns])
+        return self._commit(aligned.withColumn("_change", F.lit(UPSERT)), "WRITE", columns)
 
     def update(self, where: str, assignments: dict[str, str | Column]) -> int | None:
         """``UPDATE t SET c = expr WHERE pred``: only rows where pred is TRUE."""
         sets = {c: (F.expr(e) if isinstance(e, str) else e) for c, e in assignments.items()}
         changed = self._current_where(where).withColumns(sets)
-        return self._commit(changed, UPSERT, "UPDATE")
+        return self._commit(changed.withColumn("_change", F.lit(UPSERT)), "UPDATE", self.columns)
 
     def delete(self, where: str) -> int | None:
         gone = self._current_where(where)
-        return self._commit(gone, DELETE, "DELETE")
+        return self._commit(gone.withColumn("_change", F.lit(DELETE)), "DELETE", self.columns)
 
     def merge(self, source: DataFrame, delete_not_matched_by_source: bool = False) -> int | None:
         """Upsert: matched keys take the source row, new keys are inserted.
         Every source row is one log entry, so no join is needed to write;
-        the optional by-source delete is a ``left_anti`` against the source."""
-        rows = source.select(*self.columns).withColumn("_change", F.lit(UPSERT))
+        the optional by-source delete is a ``left_anti`` against the source.
+        Two source rows for one key fail the merge (an aggregate by key)."""
+        columns = self.columns
+        vals = [c for c in columns if c not in self.keys]
+        one = source.select(*columns).groupBy(*self.keys).agg(
+            F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(0).alias("_"), *vals)).alias("_row"))
+        checked = F.when(F.col("_n") == 1, F.lit(UPSERT)).otherwise(
+            F.raise_error(F.lit("MERGE: several source rows match one key")).cast("string"))
+        rows = one.select(*self.keys, *[F.col(f"_row.{c}").alias(c) for c in vals], checked.alias("_change"))
         if delete_not_matched_by_source:
             gone = (self.snapshot().join(source.select(*self.keys), self.keys, "left_anti")
                     .withColumn("_change", F.lit(DELETE)))
             rows = rows.unionByName(gone)
-        return self._write_commit(rows, "MERGE")
+        return self._commit(rows, "MERGE", columns)
 
     def restore_rows(self, version: int) -> tuple[DataFrame, int | None]:
-        """Bring back rows present at ``version`` but absent now."""
-        missing = self.snapshot(version).join(self.snapshot().select(*self.keys),
-                                              self.keys, "left_anti")
-        staged = f"{self.path}/_staging_restore_{(self.latest_version() or 0) + 1}"
-        missing.write.mode("overwrite").parquet(staged)
-        restored = self.spark.read.parquet(staged)
-        return restored, self._commit(restored, UPSERT, "RESTORE")
+        """Bring back rows present at ``version`` but absent now: (the rows,
+        the new version or None)."""
+        missing = self.snapshot(version).join(self.snapshot().select(*self.keys), self.keys, "left_anti")
+        columns = self.columns
+        v = self._commit(missing.withColumn("_change", F.lit(UPSERT)), "RESTORE", columns)
+        log = self._log()
+        restored = log.where("false") if v is None else log.filter(F.col("_version") == v)
+        return restored.select(*columns), v
 
     # ------------------------------------------------------------ reads
-    def _entries(self, upto: int | None = None, after: int | None = None) -> DataFrame:
-        """Log entries in ``(after, upto]`` of committed versions. For reads
-        from the start (``after`` None) the newest compacted base at or below
-        ``upto`` replaces all entries up to its version."""
-        committed = self.history().select(F.col("version").alias("_version"))
-        base_v = self._base_version(upto) if after is None else None
-        log = self.spark.read.parquet(f"{self.path}/log")
-        if upto is not None:
-            log = log.filter(F.col("_version") <= upto)
-        if after is not None:
-            log = log.filter(F.col("_version") > after)
-        if base_v is not None:
-            log = log.filter(F.col("_version") > base_v)
-        # only committed versions are visible; the commit list is tiny
-        entries = log.join(F.broadcast(committed), "_version", "left_semi")
-        if base_v is None:
-            return entries
-        base = (self.spark.read.parquet(f"{self.path}/base/_version={base_v}")
-                .withColumn("_version", F.lit(base_v)))
-        return entries.unionByName(base)
-
-    def _base_version(self, upto: int | None) -> int | None:
-        try:
-            bases = self.spark.read.parquet(f"{self.path}/bases")
-        except Exception:  # noqa: BLE001 - never compacted
-            return None
-        if upto is not None:
-            bases = bases.filter(F.col("version") <= upto)
-        return bases.agg(F.max("version")).first()[0]
-
-    def compact(self, version: int | None = None) -> int:
-        """Store ``snapshot(version)`` as a base so later reads start there
-        instead of replaying the whole log: an as-of read then costs one
-        table's worth of rows plus the entries after the base. Earlier
-        versions stay readable from the log. Commits nothing new."""
-        v = self.latest_version() if version is None else version
-        self.snapshot(v).withColumn("_change", F.lit(UPSERT)) \
-            .write.mode("overwrite").parquet(f"{self.path}/base/_version={v}")
-        self.spark.range(1).select(F.lit(v).cast("int").alias("version")) \
-            .write.mode("append").parquet(f"{self.path}/bases")
-        return v
+    def _entries(self, upto: int | None = None) -> DataFrame:
+        log = self._log()
+        return log if upto is None else log.filter(F.col("_version") <= upto)
 
     def _current_where(self, where: str) -> DataFrame:
         """Current rows matching ``where``, without resolving every key.
@@ -189,8 +161,7 @@ class ChangeLog:
         pred = F.coalesce(F.expr(where), F.lit(False))
         entries = self._entries()
         candidates = entries.filter(pred).select(*self.keys).distinct()
-        latest = keep_latest(entries.join(candidates, self.keys, "left_semi"),
-                             self.keys, ["_version"])
+        latest = keep_latest(entries.join(candidates, self.keys, "left_semi"), self.keys, ["_version"])
         return latest.filter((F.col("_change") == UPSERT) & pred).select(*self.columns)
 
     def snapshot(self, version: int | None = None) -> DataFrame:
@@ -212,48 +183,32 @@ class ChangeLog:
 
     def changes(self, start: int, end: int | None = None) -> DataFrame:
         """Change feed for versions ``(start, end]``: insert, update_preimage,
-        update_postimage and delete rows with their commit version/time.
-
-        Each commit in the range is compared with the table state just
-        before it: the entries of version ``v`` are left-joined, on the key,
-        to ``snapshot(v - 1)`` restricted to the keys ``v`` touched. Every
-        step is an aggregate or a key join, so a key with a long history is
-        pre-aggregated rather than sorted whole in one task. The list of
-        versions in the range comes from the commit records (metadata)."""
-        hist = self.history()
-        rng = hist.filter(F.col("version") > start)
-        if end is not None:
-            rng = rng.filter(F.col("version") <= end)
-        versions = sorted(r[0] for r in rng.select("version").collect())
-        vals = [c for c in self.columns if c not in self.keys]
-        out = None
-        for v in versions:
-            now = keep_latest(self._entries(v, v - 1), self.keys, ["_change"])
-            keys = now.select(*self.keys)
-            before = (keep_latest(self._entries(v - 1).join(keys, self.keys, "left_semi"),
-                                  self.keys, ["_version"])
-                      .filter(F.col("_change") == UPSERT)
-                      .select(*self.keys, *[F.col(c).alias(f"_pre_{c}") for c in vals],
-                              F.lit(True).alias("_had_row")))
-            j = now.join(before, self.keys, "left")
-            had = F.col("_had_row").isNotNull()
-            post = j.select(
-                F.when(F.col("_change") == DELETE, "delete")
-                 .when(had, "update_postimage").otherwise("insert").alias("_change_type"),
-                F.lit(v).alias("_commit_version"), *self.columns)
-            pre = j.filter(had & (F.col("_change") == UPSERT)).select(
-                F.lit("update_preimage").alias("_change_type"), F.lit(v).alias("_commit_version"),
-                *[F.col(c) if c in self.keys else F.col(f"_pre_{c}").alias(c)
-                  for c in self.columns])
-            step = post.unionByName(pre)
-            out = step if out is None else out.unionByName(step)
-        if out is None:
-            empty = self.snapshot().limit(0)
-            out = empty.select(F.lit("").alias("_change_type"), F.lit(0).alias("_commit_version"),
-                               *self.columns)
-        commits = hist.select(F.col("version").alias("_commit_version"),
-                              F.col("timestamp").alias("_commit_timestamp"))
-        return out.join(F.broadcast(commits), "_commit_version")
+        update_postimage and delete rows with their commit version and time.
+
+        One scan and two shuffles whatever the range: all entries up to
+        ``start`` fold into one base entry per key while they are aggregated,
+        later ones stay one per (key, version); then every entry looks at the
+        one before it within its key. A key has at most one entry per version
+        of the range, so no window grows with the table's history."""
+        columns = self.columns
+        vals = [c for c in columns if c not in self.keys]
+        slot = F.greatest(F.col("_version"), F.lit(start)).alias("_slot")
+        per = keep_latest(self._entries(end).select("*", slot), [*self.keys, "_slot"], ["_version"])
+        before = Window.partitionBy(*self.keys).orderBy("_slot")
+        state = F.struct("_change", *vals)
+        now = per.withColumn("_pre", F.lag(state).over(before)).filter(F.col("_slot") > start)
+        had = F.coalesce(F.col("_pre._change") == UPSERT, F.lit(False))
+        row = lambda kind, src: F.struct(
+            kind.alias("_change_type"), *[(F.col(f"{src}{c}") if src else F.col(c)).alias(c) for c in vals])
+        post = row(F.when(F.col("_change") == DELETE, "delete").when(had, "update_postimage")
+                   .otherwise("insert"), "")
+        pre = F.when(had & (F.col("_change") == UPSERT), row(F.lit("update_preimage"), "_pre."))
+        out = now.select(*self.keys, F.col("_slot").alias("_commit_version"),
+                         F.col("_timestamp").alias("_commit_timestamp"),
+                         F.explode(F.filter(F.array(post, pre), lambda x: x.isNotNull())).alias("_x"))
+        return out.select("_commit_version", F.col("_x._change_type").alias("_change_type"),
+                          *[c if c in self.keys else F.col(f"_x.{c}").alias(c) for c in columns],
+                          "_commit_timestamp")
 
     def diff(self, v_old: int, v_new: int | None = None) -> DataFrame:
         """Row-level diff: added / removed / changed keys with both images."""

@@ -51,18 +51,19 @@ def orphans(child: DataFrame, parent: DataFrame, child_keys: list[str],
 
 def orphan_summary(name: str, child: DataFrame, parent: DataFrame, child_keys: list[str],
                    parent_keys: list[str]) -> DataFrame:
-    """``(relationship, child_rows, orphan_rows)`` for one foreign key, in
-    one pass over the child: a left join to the distinct parent keys (a
-    pre-aggregated side), then one aggregate counts rows and misses."""
+    """``(relationship, child_rows, orphan_rows)`` for one foreign key: child
+    rows are counted per key before they are shuffled (a hot key sends one row
+    per task), then joined to the distinct parent keys and summed."""
     p = (parent.select(*[F.col(pk).alias(ck) for pk, ck in zip(parent_keys, child_keys)])
          .distinct().withColumn("_hit", F.lit(True)))
     present = F.lit(True)
     for ck in child_keys:
         present = present & F.col(ck).isNotNull()
     miss = present & F.col("_hit").isNull()
-    return child.select(*child_keys).join(p, child_keys, "left").agg(
-        F.count(F.lit(1)).alias("child_rows"),
-        F.sum(F.when(miss, 1).otherwise(0)).cast("bigint").alias("orphan_rows")).select(
+    per_key = child.groupBy(*child_keys).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.join(p, child_keys, "left").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("child_rows"),
+        F.coalesce(F.sum(F.when(miss, F.col("_n"))), F.lit(0)).alias("orphan_rows")).select(
         F.lit(name).alias("relationship"), "child_rows", "orphan_rows")
 
 
@@ -107,7 +108,7 @@ def json_field_drift(df: DataFrame, column: str, expected_fields: list[str]) ->
     exp = df.sparkSession.range(1).select(
         F.explode(F.array(*[F.lit(f) for f in expected_fields])).alias("field"),
         F.lit(True).alias("_expected"))
-    j = seen.join(F.broadcast(exp), "field", "full_outer")
+    j = seen.join(exp, "field", "full_outer")
     return j.select(
         "field", F.coalesce("rows_present", F.lit(0)).cast("bigint").alias("rows_present"),
         F.when(F.col("_expected").isNull(), "unexpected")
@@ -116,9 +117,8 @@ def json_field_drift(df: DataFrame, column: str, expected_fields: list[str]) ->
 
 def fd_violations(df: DataFrame, lhs: list[str], rhs: list[str]) -> DataFrame:
     """Functional dependency ``lhs -> rhs`` violations: lhs values that map to
-    more than one rhs value."""
-    target = F.struct(*rhs) if len(rhs) > 1 else F.col(rhs[0])
-    return (df.groupBy(*lhs).agg(F.count_distinct(target).alias("distinct_rhs"))
+    more than one rhs value (NULL counts as a value)."""
+    return (df.groupBy(*lhs).agg(F.count_distinct(F.struct(*rhs)).alias("distinct_rhs"))
             .filter(F.col("distinct_rhs") > 1))
 
 

@@ -11,19 +11,21 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.operators.rules import apply_rules, expect_or_fail
 from strata.plans.events import CHECK_CLOCK_SQL, check_clock
 from strata.plans.registry import query
 from strata.session import scratch_path
-from strata.sinks.tables import create_empty_table, export_landing, insert_overwrite
+from strata.sinks.tables import create_empty_table, export_landing, insert_overwrite, publish, read_current
 from strata.sources.tables import read_table
-from strata.streaming.ingest import copy_into
+from strata.streaming.ingest import copy_into, read_loaded
 
 EMPLOYEE_SCHEMA = T.StructType([
-    T.StructField("ID", T.IntegerType()),
+    T.StructField("ID", T.LongType()),
     T.StructField("FirstName", T.StringType()),
     T.StructField("Country", T.StringType()),
     T.StructField("Role", T.StringType()),
@@ -35,7 +37,7 @@ def employees_from_customers(customer: DataFrame, nation: DataFrame) -> DataFram
     # nation is a fixed 25-row dimension: broadcasting it is size-bounded
     n = F.broadcast(nation.select("n_nationkey", "n_name"))
     return customer.join(n, customer.c_nationkey == n.n_nationkey, "left").select(
-        F.col("c_custkey").cast("int").alias("ID"),
+        F.col("c_custkey").alias("ID"),
         F.col("c_name").alias("FirstName"),
         F.col("n_name").alias("Country"),
         F.lower("c_mktsegment").alias("Role"))
@@ -60,10 +62,9 @@ def employee_job(spark: SparkSession, landing: str, root: str,
     bronze_path = f"{root}/bronze"
     loaded = copy_into(spark, landing, bronze_path, f"{root}/_checkpoint", "csv",
                        EMPLOYEE_SCHEMA, {"header": True})
-    bronze = spark.read.parquet(bronze_path)
+    bronze = read_loaded(spark, bronze_path)
     silver_path = f"{root}/silver"
-    employee_silver(bronze, clock).write.mode("overwrite").parquet(silver_path)
-    silver = spark.read.parquet(silver_path)
+    silver = publish(employee_silver(bronze, clock), silver_path)
     view = f"gold_roles_v_{uuid.uuid4().hex[:8]}"
     roles_view(silver).createOrReplaceTempView(view)
     gold = f"gold_roles_{uuid.uuid4().hex[:8]}"
@@ -84,7 +85,7 @@ def run_employee_job(spark: SparkSession, sf_dir: str, clock: Column | None = No
 
 _EMP_SQL = """
 WITH employees AS (
-  SELECT CAST(c.c_custkey AS INTEGER) AS ID, c.c_name AS FirstName, n.n_name AS Country,
+  SELECT c.c_custkey AS ID, c.c_name AS FirstName, n.n_name AS Country,
          lower(c.c_mktsegment) AS Role
   FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)
 """
@@ -104,3 +105,24 @@ SELECT upper(Role) AS Role, CAST(COUNT(*) AS INTEGER) AS TotalEmployees FROM emp
 """)
 def q_roles_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_employee_job(spark, sf_dir, check_clock())["gold"]
+
+
+@query("materialized_view_refresh", """
+SELECT 'first' AS step, c_mktsegment, COUNT(*) AS customers FROM customer WHERE c_nationkey < 12 GROUP BY 2
+UNION ALL SELECT 'after_failure', c_mktsegment, COUNT(*) FROM customer WHERE c_nationkey < 12 GROUP BY 2
+UNION ALL SELECT 'refreshed', c_mktsegment, COUNT(*) FROM customer GROUP BY 2
+""")
+def q_materialized_view_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored view is recomputed and swapped as a whole; a refresh that
+    breaks a fail rule leaves the old contents."""
+    path = scratch_path(spark, "view")
+    cust = read_table(spark, sf_dir, "customer")
+    per = lambda df: df.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"))
+    seen = lambda step, df: df.select(F.lit(step).alias("step"), "c_mktsegment", "customers")
+    out = seen("first", publish(per(cust.filter("c_nationkey < 12")), path))
+    try:
+        publish(apply_rules(per(cust), [expect_or_fail("none", "customers < 0")], dataset="view"), path)
+        raise AssertionError("the rule must fail the refresh")
+    except PySparkException:
+        out = out.union(seen("after_failure", read_current(spark, path)))
+    return out.union(seen("refreshed", publish(per(cust), path)))

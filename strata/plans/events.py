@@ -82,8 +82,9 @@ GOLD_KEYS = ["event_date", "event_type", "is_weekend"]
 def gold_daily_base(silver: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """Daily metrics per (date, type, weekend).
 
-    Values are money-like (two decimals): the total is an exact decimal sum
-    and the mean is that total over the non-NULL count.
+    The total is an exact decimal sum where every value of the group is a
+    decimal of at most 12 places and it fits, else the sum of the doubles; the
+    mean is that total over the non-NULL count.
 
     The exact distinct count is planned apart from the other measures: mixed
     in one aggregate, Spark's distinct rewrite would keep a percentile sketch
@@ -93,13 +94,13 @@ def gold_daily_base(silver: DataFrame, approx_distinct: bool = False) -> DataFra
     per-group results are joined on the group keys; the Silver exchange
     feeding both is shared.
     """
-    cents = F.col("event_value").cast("decimal(18,2)")
-    measures = [F.count(F.lit(1)).alias("event_count"),
-                # exact decimal total; the mean divides that exact total, so it
-                # does not depend on summation order (no re-rounding)
-                F.sum(cents).cast("double").alias("total_value"),
-                F.try_divide(F.sum(cents).cast("double"), F.count("event_value"))
-                .alias("avg_value"),
+    value = F.col("event_value")
+    exact = value.try_cast("decimal(38,12)")
+    exact = F.when(exact.cast("double") == value, exact)
+    total = F.coalesce(F.when(F.count(exact) == F.count(value), F.try_sum(exact).cast("double")),
+                       F.sum(value))
+    measures = [F.count(F.lit(1)).alias("event_count"), total.alias("total_value"),
+                F.try_divide(total, F.count(value)).alias("avg_value"),
                 F.percentile_approx("event_value", 0.95).alias("p95_value")]
     if approx_distinct:
         return (silver.groupBy(*GOLD_KEYS)

@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 from strata.plans.registry import query
 from strata.session import scratch_path
 from strata.sinks.tables import export_landing
-from strata.sources.readers import read_csv_rescued
+from strata.sources.readers import RESCUED
 from strata.sources.tables import read_table
-from strata.streaming.ingest import copy_into, load_with_schema_evolution
+from strata.streaming.ingest import (age_files, copy_into, load_with_schema_evolution,
+                                     read_loaded)
 
 CUSTOMER_SCHEMA = T.StructType([
     T.StructField("c_custkey", T.LongType()),
@@ -31,7 +32,8 @@ UNION ALL
 SELECT 'load_2', COUNT(*) FILTER (WHERE c_nationkey >= 12), COUNT(*) FROM customer
 """)
 def q_incremental_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two CSV drops of ``customer`` (split by nation), loaded, re-run, loaded."""
+    """Two CSV drops of ``customer`` (split by nation), loaded, re-run, loaded;
+    the second drop carries month-old file dates."""
     root = scratch_path(spark, "copy-into")
     cust = read_table(spark, sf_dir, "customer")
     landing, target, ckpt = f"{root}/landing", f"{root}/table", f"{root}/_checkpoint"
@@ -40,53 +42,67 @@ def q_incremental_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     def load(step):
         res = copy_into(spark, f"{landing}/*", target, ckpt, "csv", CUSTOMER_SCHEMA,
                         {"header": True})
-        total = spark.read.parquet(target).count()
-        steps.append((step, res.rows_loaded, total))
+        steps.append((step, res.rows_loaded, read_loaded(spark, target).count()))
 
     export_landing(cust.filter(F.col("c_nationkey") < 12), f"{landing}/drop1", "csv", header=True)
     load("load_1")
     load("rerun")
     export_landing(cust.filter(F.col("c_nationkey") >= 12), f"{landing}/drop2", "csv", header=True)
+    age_files(spark, f"{landing}/drop2", 30)
     load("load_2")
     return spark.createDataFrame(steps, "step string, rows_loaded bigint, table_rows bigint")
 
 
 @query("schema_evolution_load", """
-SELECT event_id, event_type, value,
-       CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN props END AS props
+SELECT event_id, event_type,
+       CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' AND event_id % 50 = 0 THEN NULL ELSE value END AS value,
+       CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN props END AS props,
+       CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' AND event_id % 50 = 0
+            THEN '{"value":"v' || CAST(event_id AS VARCHAR) || '"}' END AS rescued
 FROM events
 """)
 def q_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Drop 1 without ``props``; drop 2 adds it; the load widens the schema
-    (``addNewColumns``) and keeps drop-1 rows with NULL ``props``."""
+    """Drop 1 without ``props``; drop 2 adds it and the load widens the schema
+    (``addNewColumns``); drop 3, with old file dates, holds text in ``value``,
+    which is rescued."""
     root = scratch_path(spark, "evolve")
     ev = read_table(spark, sf_dir, "events")
-    cut = F.col("ts") >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    late = F.col("ts") >= F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    odd = F.col("event_id") % 50 == 0
     landing, target, state = f"{root}/landing", f"{root}/table", f"{root}/_state"
-    export_landing(ev.filter(~cut).select("event_id", "event_type", "value"), f"{landing}/d1")
-    load_with_schema_evolution(spark, f"{landing}/*", target, state, glob="*.json")
-    export_landing(ev.filter(cut).select("event_id", "event_type", "value", "props"),
-                   f"{landing}/d2")
-    load_with_schema_evolution(spark, f"{landing}/*", target, state, glob="*.json")
-    return (spark.read.option("mergeSchema", True).parquet(target)
-            .select("event_id", "event_type", "value", "props"))
 
+    def load():
+        load_with_schema_evolution(spark, f"{landing}/*", target, state, glob="*.json")
 
-# Fault recipe for the CSV drop: unparsable balances and nation keys.
+    export_landing(ev.filter(~late).select("event_id", "event_type", "value"), f"{landing}/d1")
+    load()
+    export_landing(ev.filter(late & ~odd).select("event_id", "event_type", "value", "props"), f"{landing}/d2")
+    load()
+    text = F.concat(F.lit("v"), F.col("event_id").cast("string")).alias("value")
+    export_landing(ev.filter(late & odd).select("event_id", "event_type", text, "props"), f"{landing}/d3")
+    age_files(spark, f"{landing}/d3", 45)
+    load()
+    return read_loaded(spark, target).select("event_id", "event_type", "value", "props",
+                                             F.to_json(RESCUED).alias("rescued"))
+
+
+# Fault recipe for the CSV drops: unparsable balances and nation keys; odd keys
+# come in a second file with another column order and a surplus column.
 @query("rescued_rows", """
 SELECT c_custkey, c_name,
   CASE WHEN c_custkey % 41 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey,
   CASE WHEN c_custkey % 37 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal,
   c_mktsegment,
-  CASE WHEN c_custkey % 37 = 0 AND c_custkey % 41 = 0
-         THEN '{"c_nationkey":"n' || CAST(c_nationkey AS VARCHAR) || '","c_acctbal":"$' || CAST(c_custkey AS VARCHAR) || '"}'
-       WHEN c_custkey % 41 = 0 THEN '{"c_nationkey":"n' || CAST(c_nationkey AS VARCHAR) || '"}'
-       WHEN c_custkey % 37 = 0 THEN '{"c_acctbal":"$' || CAST(c_custkey AS VARCHAR) || '"}'
+  CASE WHEN c_custkey % 37 = 0 OR c_custkey % 41 = 0 OR c_custkey % 2 = 1 THEN '{' || concat_ws(',',
+    CASE WHEN c_custkey % 2 = 1 THEN '"extra":"x' || CAST(c_custkey AS VARCHAR) || '"' END,
+    CASE WHEN c_custkey % 41 = 0 THEN '"c_nationkey":"n' || CAST(c_nationkey AS VARCHAR) || '"' END,
+    CASE WHEN c_custkey % 37 = 0 THEN '"c_acctbal":"$' || CAST(c_custkey AS VARCHAR) || '"' END) || '}'
   END AS rescued,
-  CASE WHEN c_custkey % 37 = 0 OR c_custkey % 41 = 0 THEN FALSE ELSE TRUE END AS type_valid
+  NOT (c_custkey % 37 = 0 OR c_custkey % 41 = 0) AS type_valid
 FROM customer
 """)
 def q_rescued_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two files loaded together through the incremental load."""
     root = scratch_path(spark, "rescue")
     c = read_table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
@@ -96,10 +112,29 @@ def q_rescued_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(F.col("c_nationkey").cast("string")).alias("c_nationkey"),
         F.when(key % 37 == 0, F.concat(F.lit("$"), key.cast("string")))
          .otherwise(F.col("c_acctbal").cast("string")).alias("c_acctbal"),
-        "c_mktsegment")
-    export_landing(faulty, root, "csv", header=True)
-    typed = read_csv_rescued(spark, root, CUSTOMER_SCHEMA)
-    return typed.select(
-        *CUSTOMER_SCHEMA.fieldNames(),
-        F.to_json("_rescued_data").alias("rescued"),
-        F.col("_rescued_data").isNull().alias("type_valid"))
+        "c_mktsegment", F.concat(F.lit("x"), key.cast("string")).alias("extra"))
+    export_landing(faulty.filter(key % 2 == 0).drop("extra"), f"{root}/landing/a", "csv", header=True)
+    export_landing(faulty.filter(key % 2 == 1).select(
+        "c_name", "c_custkey", "extra", "c_nationkey", "c_acctbal", "c_mktsegment"),
+        f"{root}/landing/b", "csv", header=True)
+    copy_into(spark, f"{root}/landing/*", f"{root}/table", f"{root}/_checkpoint", "csv", CUSTOMER_SCHEMA)
+    bad = F.coalesce(F.map_contains_key(RESCUED, "c_nationkey") | F.map_contains_key(RESCUED, "c_acctbal"),
+                     F.lit(False))
+    return read_loaded(spark, f"{root}/table").select(
+        *CUSTOMER_SCHEMA.fieldNames(), F.to_json(RESCUED).alias("rescued"), (~bad).alias("type_valid"))
+
+
+@query("inferred_load", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, TRUE AS typed FROM customer
+""")
+def q_inferred_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load without a schema: types come from all rows of the first batch."""
+    root = scratch_path(spark, "infer")
+    cust = read_table(spark, sf_dir, "customer")
+    export_landing(cust.select(*CUSTOMER_SCHEMA.fieldNames()), f"{root}/landing", "csv", header=True)
+    copy_into(spark, f"{root}/landing", f"{root}/table", f"{root}/_checkpoint", "csv")
+    out = read_loaded(spark, f"{root}/table")
+    typed = dict(out.dtypes)
+    ok = [typed[c] for c in CUSTOMER_SCHEMA.fieldNames()] == ["bigint", "string", "bigint", "double", "string"]
+    return out.select("c_custkey", "c_name", F.col("c_nationkey").cast("int").alias("c_nationkey"), "c_acctbal",
+                      "c_mktsegment", F.lit(ok).alias("typed"))

@@ -135,9 +135,8 @@ def segment(c: Column) -> Column:
     return out.otherwise(SEGMENT_ELSE)
 
 
-@query("customer_segments", """
-WITH s AS (SELECT o_custkey, CAST(ROUND(SUM(CAST(o_totalprice AS DECIMAL(18,2))), 2) AS DOUBLE) AS v
-           FROM orders GROUP BY o_custkey)
+@query("customer_segments", _ORDER_TOTALS_SQL + """
+, s AS (SELECT o_custkey, CAST(ROUND(SUM(net), 2) AS DOUBLE) AS v FROM ot GROUP BY o_custkey)
 SELECT c.c_custkey, COALESCE(s.v, 0.0) AS lifetime_value,
   CASE WHEN COALESCE(s.v, 0.0) >= 3000000 THEN 'platinum'
        WHEN COALESCE(s.v, 0.0) >= 2000000 THEN 'gold'
@@ -145,12 +144,10 @@ SELECT c.c_custkey, COALESCE(s.v, 0.0) AS lifetime_value,
 FROM customer c LEFT JOIN s ON c.c_custkey = s.o_custkey
 """)
 def q_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer (also those without orders) in one value tier."""
-    v = (read_table(spark, sf_dir, "orders").groupBy("o_custkey")
-         .agg(money(F.sum(F.col("o_totalprice").cast("decimal(18,2)"))).alias("v")))
-    c = read_table(spark, sf_dir, "customer").select("c_custkey")
-    j = c.join(v, c.c_custkey == v.o_custkey, "left")
-    ltv = F.coalesce(F.col("v"), F.lit(0.0))
+    """Every customer (also those without orders) in one tier of lifetime value."""
+    v = customer_ltv(spark, sf_dir).select("c_custkey", "lifetime_value")
+    j = read_table(spark, sf_dir, "customer").select("c_custkey").join(v, "c_custkey", "left")
+    ltv = F.coalesce(F.col("lifetime_value"), F.lit(0.0))
     return j.select("c_custkey", ltv.alias("lifetime_value"), segment(ltv).alias("segment"))
 
 
@@ -183,7 +180,7 @@ def last_years(df: DataFrame, date_col: str, years: int) -> DataFrame:
     is a scalar subquery (one aggregate job, its value fed into the filter):
     no join, nothing collected by hand."""
     anchor = df.agg(F.max(date_col)).scalar()
-    return df.filter(F.col(date_col) > F.add_months(anchor, -12 * years))
+    return df.filter(F.col(date_col) > anchor - F.make_ym_interval(F.lit(years)))
 
 
 @query("sales_by_country_5y", _ORDER_TOTALS_SQL + """
@@ -197,7 +194,9 @@ GROUP BY n.n_name
 def q_country_5y(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = last_years(read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey",
                                                              "o_orderdate"), "o_orderdate", 5)
-    t = order_totals(read_table(spark, sf_dir, "lineitem"))
+    li = read_table(spark, sf_dir, "lineitem")
+    # only lines of the orders in range reach the per-order aggregate
+    t = order_totals(li.join(o, li.l_orderkey == o.o_orderkey, "left_semi"))
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     g = F.broadcast(geo(spark, sf_dir))
     j = (o.join(t, o.o_orderkey == t.l_orderkey).join(c, o.o_custkey == c.c_custkey)
@@ -273,6 +272,29 @@ def q_business_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
          .alias("margin"))
 
 
+@query("margin_trend", _ORDER_TOTALS_SQL + f"""
+, y AS (SELECT year(o_orderdate) AS order_year, quarter(o_orderdate) AS order_quarter, SUM(net) AS net,
+               SUM(net) - SUM(gross) * {COST_RATIO} AS profit FROM ot GROUP BY 1, 2),
+m AS (SELECT *, order_year * 4 + order_quarter AS q,
+             CASE WHEN net <> 0 THEN CAST(profit AS DOUBLE) / CAST(net AS DOUBLE) END AS margin FROM y)
+SELECT b.order_year, b.order_quarter, b.margin, a.margin AS prev_margin, b.margin - a.margin AS margin_change
+FROM m b LEFT JOIN m a ON a.q = b.q - 1
+""")
+def q_margin_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profit margin per quarter and its change against the quarter before
+    (NULL where that quarter has no orders)."""
+    gross, net = F.sum("gross"), F.sum("net")
+    m = (orders_with_totals(spark, sf_dir)
+         .groupBy(F.year("o_orderdate").cast("bigint").alias("order_year"),
+                  F.quarter("o_orderdate").cast("bigint").alias("order_quarter"))
+         .agg(net.alias("net"), (net - gross * F.lit(COST_RATIO).cast("decimal(3,2)")).alias("profit")))
+    m = m.select("order_year", "order_quarter", (F.col("order_year") * 4 + F.col("order_quarter")).alias("q"),
+                 F.when(F.col("net") != 0, F.col("profit").cast("double") / F.col("net").cast("double")).alias("margin"))
+    prev = m.select((F.col("q") + 1).alias("q"), F.col("margin").alias("prev_margin"))
+    return m.join(prev, "q", "left").select("order_year", "order_quarter", "margin", "prev_margin",
+                                            (F.col("margin") - F.col("prev_margin")).alias("margin_change"))
+
+
 @query("monthly_retention", """
 WITH cm AS (SELECT DISTINCT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month
             FROM orders),
@@ -293,8 +315,8 @@ def q_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer's previous active month is the calendar month before (``lag``
     per customer: after the distinct a customer has at most one row per
     month, so each window partition is bounded by the number of months).
-    One monthly aggregate follows; the previous month's activity is a ``lag``
-    over that result, which has one row per month whatever the data size."""
+    One monthly aggregate follows; the previous month's activity is an equi
+    join of that result with itself on month + 1."""
     cm = (read_table(spark, sf_dir, "orders")
           .select("o_custkey", F.trunc("o_orderdate", "month").alias("month")).distinct())
     w = Window.partitionBy("o_custkey").orderBy("month")
@@ -303,11 +325,9 @@ def q_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     monthly = flagged.groupBy("month").agg(
         F.count(F.lit(1)).alias("active_customers"),
         F.coalesce(F.sum("_kept"), F.lit(0)).cast("bigint").alias("retained_customers"))
-    # one row per month: ordering that small result needs no key
-    by_month = Window.orderBy("month")
-    prev_active = F.when(F.lag("month").over(by_month) == F.add_months("month", -1),
-                         F.lag("active_customers").over(by_month))
-    return (monthly.withColumn("prev_active_customers", prev_active)
+    prev = monthly.select(F.add_months("month", 1).alias("month"),
+                          F.col("active_customers").alias("prev_active_customers"))
+    return (monthly.join(prev, "month", "left")
             .select("month", "active_customers", "retained_customers", "prev_active_customers",
                     (F.col("retained_customers").cast("double") / F.col("prev_active_customers"))
                     .alias("retention_rate")))

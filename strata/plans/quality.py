@@ -109,14 +109,13 @@ def fx_rates(nation: DataFrame) -> DataFrame:
 
 
 def convert_currency(orders: DataFrame, customer: DataFrame, rates: DataFrame) -> DataFrame:
-    """Order amounts in the customer's currency. The rate table is bounded
-    (one row per nation), so it is broadcast; money stays decimal until the
+    """Order amounts in the customer's currency; the planner broadcasts
+    the caller's rate table when it is small. Money stays decimal until the
     final rounding."""
     c = customer.select("c_custkey", "c_nationkey")
-    r = F.broadcast(rates)
     j = (orders.select("o_orderkey", "o_custkey", "o_totalprice")
          .join(c, orders.o_custkey == c.c_custkey)
-         .join(r, F.col("c_nationkey") == r.n_nationkey))
+         .join(rates, F.col("c_nationkey") == rates.n_nationkey))
     amount = F.col("o_totalprice").cast("decimal(18,2)")
     return j.select("o_orderkey", "currency", F.col("rate").cast("double").alias("rate"),
                     F.col("o_totalprice").alias("amount"),

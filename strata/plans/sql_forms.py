@@ -40,17 +40,19 @@ def q_gold_daily_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver.createOrReplaceTempView(view)
     return spark.sql(f"""
         WITH users AS (
-          SELECT event_date, event_type, is_weekend, COUNT(*) AS unique_users
+          SELECT event_date, event_type, is_weekend, COUNT(user_id) AS unique_users
           FROM (SELECT DISTINCT event_date, event_type, is_weekend, user_id FROM {view})
           GROUP BY event_date, event_type, is_weekend),
-        m AS (
+        v AS (SELECT *, IF(CAST(TRY_CAST(event_value AS DECIMAL(38,12)) AS DOUBLE) = event_value,
+                           TRY_CAST(event_value AS DECIMAL(38,12)), NULL) AS exact FROM {view}),
+        s AS (
           SELECT event_date, event_type, is_weekend,
-                 COUNT(*) AS event_count,
-                 CAST(SUM(CAST(event_value AS DECIMAL(18,2))) AS DOUBLE) AS total_value,
-                 try_divide(CAST(SUM(CAST(event_value AS DECIMAL(18,2))) AS DOUBLE),
-                            COUNT(event_value)) AS avg_value,
+                 COUNT(*) AS event_count, COUNT(event_value) AS n_values,
+                 COALESCE(IF(COUNT(exact) = COUNT(event_value), CAST(try_sum(exact) AS DOUBLE), NULL),
+                          SUM(event_value)) AS total_value,
                  percentile_approx(event_value, 0.95) AS p95_value
-          FROM {view} GROUP BY event_date, event_type, is_weekend)
+          FROM v GROUP BY event_date, event_type, is_weekend),
+        m AS (SELECT *, try_divide(total_value, n_values) AS avg_value FROM s)
         SELECT m.event_date, m.event_type, m.is_weekend, m.event_count,
                COALESCE(u.unique_users, 0) AS unique_users, m.total_value, m.avg_value,
                m.p95_value, TIMESTAMP_NTZ '2024-02-01 00:00:00' AS updated_at
@@ -70,7 +72,7 @@ def q_roles_gold_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     export_landing(employees, f"{root}/landing", "csv", header=True)
     landing, silver, gold, gold_v = (_name("emp_landing"), _name("emp_silver"),
                                      _name("gold_roles"), _name("gold_roles_v"))
-    spark.sql(f"""CREATE TEMPORARY VIEW {landing} (ID INT, FirstName STRING, Country STRING,
+    spark.sql(f"""CREATE TEMPORARY VIEW {landing} (ID BIGINT, FirstName STRING, Country STRING,
                   Role STRING) USING csv OPTIONS (path '{root}/landing', header 'true')""")
     spark.sql(f"""CREATE TABLE {silver} USING parquet LOCATION '{root}/silver' AS
                   SELECT ID, FirstName, Country, UPPER(Role) AS Role,

@@ -1,9 +1,10 @@
-"""Streaming query keys: each lands ``dirty_events`` as JSON lines, runs the
-flow with ``availableNow`` on a fresh checkpoint and reads the sink back."""
+"""Streaming query keys: each lands ``dirty_events`` as JSON lines, in one drop
+or in three, runs the flow with ``availableNow`` and reads the sink back."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.plans import events as ev
 from strata.plans.registry import query
@@ -42,30 +43,119 @@ def q_stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         "copy_no", "ingest_time")
 
 
-@query("stream_dedup", ev.BRONZE_CTES + """
-SELECT DISTINCT event_id, user_id, event_type FROM bronze
-""")
+# Three drops in a fixed order: first copies of even, then of odd ids, then the
+# late second copies, some of which fall on the next day.
+DROPS = ("copy_no = 0 AND coalesce(event_id, 0) % 2 = 0", "copy_no = 0 AND coalesce(event_id, 0) % 2 = 1",
+         "copy_no = 1")
+FIRST_SEEN_CTES = ev.SILVER_CTES.replace("ORDER BY event_timestamp DESC NULLS LAST, copy_no DESC",
+                                         "ORDER BY copy_no")
+SILVER_COLUMNS = ["event_id", "user_id", "event_type", "event_value", "event_timestamp", "source_ip", "copy_no",
+                  "event_date", "event_hour", "day_of_week", "is_weekend", "value_category", "ingest_time"]
+SILVER_ROWS_SQL = f"""
+SELECT event_id, user_id, event_type, event_value, event_timestamp, source_ip, copy_no, event_date,
+       event_hour, day_of_week, is_weekend, value_category, {ev.CHECK_CLOCK_SQL} AS ingest_time
+FROM silver
+"""
+
+
+def in_drops(spark: SparkSession, sf_dir: str, root: str, run) -> None:
+    """Land the drops one after the other and call ``run`` after each: every
+    drop is at least one micro-batch of its own."""
+    for k, drop in enumerate(DROPS):
+        export_landing(dirty_events(spark, sf_dir).filter(drop), f"{root}/landing/drop{k}", "json",
+                       timestampNTZFormat=flows.TS_FORMAT)
+        run()
+
+
+def bronze_source(spark: SparkSession, root: str) -> DataFrame:
+    return flows.bronze_stream(flows.read_landing(spark, f"{root}/landing/*"), ev.check_clock())
+
+
+@query("stream_dedup", FIRST_SEEN_CTES.replace("silver AS (SELECT * FROM derived WHERE event_timestamp IS NOT NULL)",
+                                               "silver AS (SELECT * FROM derived)")
+       + "SELECT event_id, user_id, event_type FROM silver")
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First-seen dedup in a stream; which copy survives depends on arrival,
-    so the checked output is the surviving key set (copy-independent columns)."""
+    """First-seen dedup in a stream before any rule: the surviving keys."""
     root = scratch_path(spark, "stream-dedup")
-    landing = land_events(spark, sf_dir, root)
-    bronze = flows.bronze_stream(flows.read_landing(spark, landing))
-    silver = flows.silver_stream(bronze, drop_rules=False)
-    q = flows.start(silver, f"{root}/_ckpt", f"{root}/silver")
-    q.awaitTermination()
+    in_drops(spark, sf_dir, root, lambda: flows.start(
+        flows.silver_stream(bronze_source(spark, root), drop_rules=False),
+        f"{root}/_ckpt", f"{root}/silver").awaitTermination())
     return spark.read.parquet(f"{root}/silver").select("event_id", "user_id", "event_type")
 
 
-@query("stream_gold_approx")
+@query("stream_silver_rows", FIRST_SEEN_CTES + SILVER_ROWS_SQL)
+def q_stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streaming Silver itself: first-seen rows with derivations and
+    rules, stored by date."""
+    root = scratch_path(spark, "stream-silver")
+    in_drops(spark, sf_dir, root, lambda: flows.start(
+        flows.silver_stream(bronze_source(spark, root)), f"{root}/_ckpt", f"{root}/silver",
+        partition_by=["event_date"]).awaitTermination())
+    return spark.read.parquet(f"{root}/silver").select(*SILVER_COLUMNS)
+
+
+@query("stream_dedup_watermark", FIRST_SEEN_CTES.replace("FROM bronze) WHERE rn = 1",
+                                                         "FROM bronze WHERE event_timestamp IS NOT NULL) WHERE rn = 1")
+       + SILVER_ROWS_SQL)
+def q_stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dedup with bounded state: a copy is dropped while its id is within the
+    watermark (here longer than the data, so every late copy is); rows
+    without an event time cannot enter and are dropped first."""
+    root = scratch_path(spark, "stream-watermark")
+    in_drops(spark, sf_dir, root, lambda: flows.start(
+        flows.silver_stream(bronze_source(spark, root).filter("event_timestamp IS NOT NULL"), watermark="4000 days"),
+        f"{root}/_ckpt", f"{root}/silver").awaitTermination())
+    return spark.read.parquet(f"{root}/silver").select(*SILVER_COLUMNS)
+
+
+@query("stream_gold_approx", FIRST_SEEN_CTES + """
+SELECT event_date, event_type, is_weekend, COUNT(*) AS event_count,
+       CAST(SUM(CAST(event_value AS DECIMAL(18,2))) AS DOUBLE) AS total_value,
+       CAST(SUM(CAST(event_value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(event_value) AS avg_value,
+       TRUE AS users_within_error, TRUE AS p95_within_error
+FROM silver GROUP BY event_date, event_type, is_weekend
+""")
 def q_stream_gold_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complete-mode gold of the stream. Its approximate columns are compared
+    with exact ones over the same Silver: distinct users within four standard
+    deviations (20 %) or two users, the percentile between the exact 94th and
+    96th."""
     root = scratch_path(spark, "stream-gold-approx")
-    landing = land_events(spark, sf_dir, root)
-    silver = flows.silver_stream(flows.bronze_stream(flows.read_landing(spark, landing)))
-    q = flows.start(flows.gold_approx_stream(silver), f"{root}/_ckpt", mode="complete",
-                    foreach_batch=flows.versioned_sink(f"{root}/gold"))
-    q.awaitTermination()
-    return flows.read_published(spark, f"{root}/gold")
+    silver_path = f"{root}/silver"
+
+    def run():
+        silver = flows.silver_stream(bronze_source(spark, root))
+        flows.start(silver, f"{root}/_ckpt_silver", silver_path).awaitTermination()
+        stored = spark.readStream.schema(spark.read.parquet(silver_path).schema).parquet(silver_path)
+        flows.start(flows.gold_approx_stream(stored), f"{root}/_ckpt", mode="complete",
+                    foreach_batch=flows.versioned_sink(f"{root}/gold")).awaitTermination()
+
+    in_drops(spark, sf_dir, root, run)
+    exact = spark.read.parquet(silver_path).groupBy(*ev.GOLD_KEYS).agg(
+        F.count_distinct("user_id").alias("users"), F.percentile("event_value", 0.94).alias("lo"),
+        F.percentile("event_value", 0.96).alias("hi"), F.min("event_value").alias("least"))
+    g = flows.read_published(spark, f"{root}/gold").join(exact, ev.GOLD_KEYS)
+    off = F.abs(F.col("unique_users") - F.col("users"))
+    return g.select(*ev.GOLD_KEYS, "event_count", "total_value", "avg_value",
+                    ((off <= 2) | (off <= 0.2 * F.col("users"))).alias("users_within_error"),
+                    F.coalesce((F.col("p95_value") >= F.floor("lo")) | (F.col("p95_value") <= F.ceil("hi")),
+                               F.col("least").isNull()).alias("p95_within_error"))
+
+
+def run_exact(spark: SparkSession, sf_dir: str, tag: str) -> str:
+    """Bronze stream, then a second stream over the Bronze table that keeps
+    the exact gold tables of the touched days up to date; drop by drop."""
+    root = scratch_path(spark, tag)
+    bronze = f"{root}/bronze"
+
+    def run():
+        flows.start(bronze_source(spark, root), f"{root}/_ckpt_bronze", bronze).awaitTermination()
+        src = spark.readStream.schema(spark.read.parquet(bronze).schema).parquet(bronze)
+        flows.start(src, f"{root}/_ckpt_gold",
+                    foreach_batch=flows.gold_exact_incremental(spark, f"{root}/exact")).awaitTermination()
+
+    in_drops(spark, sf_dir, root, run)
+    return f"{root}/exact"
 
 
 @query("stream_gold_exact", ev.SILVER_CTES + """
@@ -78,13 +168,20 @@ SELECT event_date, event_type, is_weekend,
 FROM silver GROUP BY event_date, event_type, is_weekend
 """)
 def q_stream_gold_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze stream, then a second stream over the Bronze table whose
-    foreachBatch recomputes exactly the touched dates."""
-    root = scratch_path(spark, "stream-gold-exact")
-    bronze_path = run_bronze(spark, sf_dir, root)
-    src = spark.readStream.schema(spark.read.parquet(bronze_path).schema).parquet(bronze_path)
-    gold_path = f"{root}/gold"
-    q = flows.start(src, f"{root}/_ckpt_gold",
-                    foreach_batch=flows.gold_exact_incremental(spark, bronze_path, gold_path))
-    q.awaitTermination()
-    return spark.read.parquet(gold_path)
+    return flows.read_generation(spark, run_exact(spark, sf_dir, "stream-gold-exact"), "gold_daily")
+
+
+@query("stream_user_activity_exact", ev.GOLD_USER_SQL)
+def q_stream_user_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flows.read_generation(spark, run_exact(spark, sf_dir, "stream-users-exact"), "gold_users")
+
+
+@query("replay_silver", ev.SILVER_CTES + SILVER_ROWS_SQL)
+def q_replay_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rebuilt in batch from the streamed Bronze history: the latest
+    copies replace the first-seen ones."""
+    root = scratch_path(spark, "stream-replay")
+    in_drops(spark, sf_dir, root, lambda: flows.start(
+        bronze_source(spark, root), f"{root}/_ckpt", f"{root}/bronze").awaitTermination())
+    flows.replay_silver(spark, f"{root}/bronze", f"{root}/silver")
+    return spark.read.parquet(f"{root}/silver").select(*SILVER_COLUMNS)

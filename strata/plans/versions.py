@@ -34,7 +34,7 @@ def build_customer_log(spark: SparkSession, sf_dir: str) -> ChangeLog:
     log.insert(cust.filter(F.col("c_mktsegment") == "MACHINERY"))
     log.update("c_acctbal > 9000", {"c_mktsegment": "concat('SENIOR ', c_mktsegment)"})
     log.delete("c_acctbal < 0")
-    return log
+    return ChangeLog(spark, log.path, ["c_custkey"], commit_clock)   # opened anew
 
 
 VERSIONS_SQL = """
@@ -154,4 +154,16 @@ def q_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
                F.concat("c_name", F.lit(" (new)")).alias("c_name"),
                "c_nationkey", "c_acctbal", "c_mktsegment")))
     log.merge(src)
-    return log.snapshot()
+    return ChangeLog(spark, log.path, ["c_custkey"]).snapshot()
+
+
+@query("history_non_writes", """
+SELECT 0 AS version, 'CREATE TABLE AS SELECT' AS operation
+UNION ALL SELECT 2, 'UPDATE' FROM customer HAVING COUNT(*) FILTER (WHERE c_acctbal > 9000) > 0
+UNION ALL SELECT 3, 'DELETE' FROM customer HAVING COUNT(*) FILTER (WHERE c_acctbal < 0) > 0
+""")
+def q_history_non_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A filter over the history as a subquery, read by a second instance."""
+    path = build_customer_log(spark, sf_dir).path
+    return ChangeLog(spark, path, ["c_custkey"]).history().filter("operation <> 'WRITE'").select(
+        "version", "operation")

@@ -2,8 +2,9 @@
 
 Everything the library writes (landing zones, stream checkpoints, change logs,
 staging tables) lives under the folder the cluster names in
-``spark.checkpoint.dir``; a private temporary folder is used only when that
-setting is absent (local tests).
+``spark.checkpoint.dir``. Without that setting a session on a cluster gets an
+error; only a single-process ``local[...]`` session (tests) falls back to a
+temporary folder, which all its threads share.
 """
 
 from __future__ import annotations
@@ -30,6 +31,11 @@ DEFAULT_CONF = {
 _LOCAL_ROOT: str | None = None
 
 
+def is_local(master: str) -> bool:
+    """One JVM: every task sees the driver's folders."""
+    return master == "local" or master.startswith("local[")
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "strata", extra: dict | None = None) -> SparkSession:
     """Local/test session. On a cluster the session comes from the launcher."""
@@ -40,7 +46,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     conf["spark.driver.memory"] = "16g"
     if extra:
         conf.update(extra)
-    if "spark.checkpoint.dir" not in conf:
+    if "spark.checkpoint.dir" not in conf and is_local(master):
         if _LOCAL_ROOT is None:
             _LOCAL_ROOT = tempfile.mkdtemp(prefix="strata-")
         conf["spark.checkpoint.dir"] = os.path.join(_LOCAL_ROOT, "checkpoints")
@@ -79,11 +85,13 @@ def cluster_conf(executors: int, cores_per_executor: int,
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Shared folder for library-owned data: ``spark.checkpoint.dir`` if set."""
+    """Shared folder for library-owned data: ``spark.checkpoint.dir``."""
     global _LOCAL_ROOT
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not is_local(spark.conf.get("spark.master")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _LOCAL_ROOT is None:
         _LOCAL_ROOT = tempfile.mkdtemp(prefix="strata-")
     return _LOCAL_ROOT

@@ -7,6 +7,8 @@ stored definition (``INSERT OVERWRITE`` keeps the schema, ``IF NOT EXISTS``).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -154,9 +156,46 @@ def export_landing(df: DataFrame, path: str, fmt: str = "json", **options) -> No
     w.save(path)
 
 
-def publish_checked(df: DataFrame, staging_path: str) -> DataFrame:
-    """Write ``df`` (with any fail rules in its plan) to a fresh staging path
-    and return the stored result. A failing rule aborts the write before
-    anything is published, so the previous output stays intact."""
-    df.write.mode("errorifexists").parquet(staging_path)
-    return df.sparkSession.read.parquet(staging_path)
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n[2:]) for n in names if n.startswith("v="))
+
+
+def publish(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
+    """Replace a stored table or materialized view as a whole. The new contents
+    (with any fail rules in their plan) are written beside the old ones and
+    published by one rename to ``path/v=<n>``; readers take the greatest ``n``.
+    A failing rule or write leaves the old contents in place. The last ``keep``
+    versions stay, so readers of the one before can finish."""
+    spark = df.sparkSession
+    staged = f"{path}/_staged-{uuid.uuid4().hex}"
+    fs, src = _fs(spark, staged)
+    try:
+        df.write.parquet(staged)
+    except Exception:
+        fs.delete(src, True)
+        raise
+    have = _versions(spark, path)
+    n = have[-1] + 1 if have else 0
+    _, dst = _fs(spark, f"{path}/v={n}")
+    if fs.exists(dst) or not fs.rename(src, dst):
+        raise RuntimeError(f"version {n} of {path} was published by someone else")
+    for old in [*have, n][:-keep]:
+        fs.delete(_fs(spark, f"{path}/v={old}")[1], True)
+    return read_current(spark, path)
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The published contents of ``path``."""
+    have = _versions(spark, path)
+    if not have:
+        raise FileNotFoundError(f"nothing published at {path}")
+    return spark.read.parquet(f"{path}/v={have[-1]}")

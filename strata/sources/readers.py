@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RESCUED = "_rescued_data"
+CORRUPT = "_corrupt_record"
 
 
 def read_csv(spark: SparkSession, path: str, header: bool = True, infer_schema: bool = True,
@@ -89,26 +90,76 @@ def file_inventory(spark: SparkSession, path: str, glob: str | None = None,
     return r.load(path).select("path", "length", "modificationTime")
 
 
-def rescue_typed(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast an all-string frame to ``schema``; values that fail the cast become
-    NULL in their column and are kept, as text, in ``_rescued_data``
-    (``map<string,string>`` of field -> original value; NULL when clean)."""
-    typed, checks = [], []
+def json_records(raw: DataFrame, multi_line: bool = False) -> DataFrame:
+    """``value`` (text) -> ``value``, ``rec``: field -> text of every JSON
+    record, null where unparsable. ``multi_line``: a value is a whole file that
+    holds one object or one array of objects; text after the end of the value
+    (a surplus bracket) is not part of it."""
+    one = F.from_json("value", "map<string,string>")
+    if multi_line:
+        many = F.from_json("value", "array<map<string,string>>")
+        one = F.explode_outer(F.when(F.ltrim("value").startswith("["), many).otherwise(F.array(one)))
+    return raw.where(F.length(F.trim("value")) > 0).select("value", one.alias("rec"))
+
+
+def csv_records(raw: DataFrame, sep: str = ",", header: bool = True,
+                names: list[str] | None = None) -> DataFrame:
+    """``value``, ``file``, ``start`` (offset of the split) -> ``value``,
+    ``rec``: column -> text of every line, by the header of its own file or, for
+    headerless files, by ``names``. Surplus columns are ``_extra_<n>``. Files
+    with one layout are parsed together: one plan branch per distinct header."""
+    lines = raw.select("value", "file", "start", F.monotonically_increasing_id().alias("at"))
+    width = F.max(F.length("value") - F.length(F.replace("value", F.lit(sep), F.lit("")))).alias("seps")
+    if header:
+        heads = lines.where("start = 0").groupBy("file").agg(F.min(F.struct("at", "value")).alias("h")).select(
+            "file", F.col("h.at").alias("head_at"), F.col("h.value").alias("head"))
+        rows = lines.join(heads, "file").where("at <> head_at")
+    else:
+        rows = lines.withColumn("head", F.lit(sep.join(names or [])))
+    rows = rows.where(F.length(F.trim("value")) > 0)
+    out = raw.select("value", F.lit(None).cast("map<string,string>").alias("rec")).where("false")
+    for r in rows.groupBy("head").agg(width).collect():       # one row per layout
+        cols: list[str] = []
+        for c in (r.head.split(sep) if r.head else []):
+            c = c.strip().strip('"')
+            cols.append(c if c not in cols else f"{c}_{len(cols)}")
+        cols += [f"_extra_{i}" for i in range(len(cols), max(len(cols), r.seps * len(sep) + 1))]
+        row = F.from_csv("value", ", ".join(f"c{i} string" for i in range(len(cols))), {"sep": sep})
+        part = rows.where(F.col("head") == r.head).withColumn("_row", row)
+        pairs = F.map_from_arrays(F.array(*[F.lit(c) for c in cols]),
+                                  F.array(*[F.col(f"_row.c{i}") for i in range(len(cols))]))
+        out = out.unionByName(part.select("value", F.map_filter(
+            pairs, lambda k, v: v.isNotNull() | ~k.startswith("_extra_")).alias("rec")))
+    return out
+
+
+def rescue_fields(records: DataFrame, schema: T.StructType, keep_unknown: bool = True) -> DataFrame:
+    """``rec`` (field -> text) to typed columns; what does not fit — failed
+    casts, fields outside the schema, unparsable records — stays, as text, in
+    ``_rescued_data`` (NULL when clean)."""
+    rec, typed, bad = F.col("rec"), [], []
     for f in schema.fields:
-        src = F.col(f.name)
-        val = src if isinstance(f.dataType, T.StringType) else src.try_cast(f.dataType)
+        src = F.element_at(rec, f.name)
+        if isinstance(f.dataType, T.StringType):
+            val = src
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            val = F.from_json(src, f.dataType)
+        else:
+            val = src.try_cast(f.dataType)
         typed.append(val.alias(f.name))
-        checks.append(F.struct(F.lit(f.name).alias("k"),
-                               F.when(src.isNotNull() & val.isNull(), src).alias("v")))
-    bad = F.filter(F.array(*checks), lambda e: e["v"].isNotNull())
-    rescued = F.when(F.size(bad) > 0, F.map_from_entries(bad))
-    return raw.select(*typed, rescued.alias(RESCUED))
+        bad.append(F.when(src.isNotNull() & val.isNull(), F.lit(f.name)))
+    failed = F.array_compact(F.array(*bad, F.lit(None).cast("string")))
+    unknown = lambda k, v: v.isNotNull() & ~k.isin(schema.names) if schema.names else v.isNotNull()
+    keep = F.map_filter(rec, lambda k, v: F.array_contains(failed, k) | (
+        unknown(k, v) if keep_unknown else k == CORRUPT))
+    return records.select(*typed, F.when(F.size(keep) > 0, keep).alias(RESCUED))
 
 
 def read_csv_rescued(spark: SparkSession, path: str, schema: T.StructType,
                      header: bool = True, sep: str = ",") -> DataFrame:
-    """Typed CSV load that never loses a value: read as strings, cast, and
-    park non-conforming values in ``_rescued_data``."""
-    as_text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = spark.read.option("header", header).option("sep", sep).schema(as_text).csv(path)
-    return rescue_typed(raw, schema)
+    """Typed CSV load that never loses a value: columns are matched by header
+    name (by position without a header); values that fail their cast and
+    surplus columns are kept in ``_rescued_data``."""
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                       F.col("_metadata.file_block_start").alias("start"))
+    return rescue_fields(csv_records(raw, sep, header, schema.names), schema)

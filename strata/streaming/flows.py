@@ -7,9 +7,8 @@
 * ``gold_approx_stream``: complete-mode aggregate with approximate distinct
   count and percentile (exact distinct is not supported on streams).
 * ``gold_exact_incremental``: ``foreachBatch`` that recomputes, in batch,
-  only the ``event_date`` partitions a micro-batch touches and replaces them
-  with dynamic partition overwrite. Replaying a batch rewrites the same
-  partitions with the same content, so it is idempotent.
+  only the days a micro-batch touches and publishes them by pointers.
+  Replaying a batch rewrites the same folders with the same content.
 
 Every sink writes to files under the shared root; nothing is collected.
 """
@@ -21,8 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.functions.events import event_derivations
-from strata.operators.rules import apply_rules
+from strata.operators.dedup import keep_latest
+from strata.operators.rules import apply_rules, rule_metrics
 from strata.plans import events as ev
+from strata.streaming.ingest import ANY_AGE
 
 LANDED_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -40,8 +41,10 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def read_landing(spark: SparkSession, landing: str, schema: T.StructType = LANDED_SCHEMA,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(schema).option("timestampNTZFormat", TS_FORMAT)
+                 max_files_per_trigger: int | None = None, multi_line: bool = False) -> DataFrame:
+    # files are taken whatever their age; ``multi_line``: one JSON array a file
+    r = (spark.readStream.schema(schema).option("timestampNTZFormat", TS_FORMAT)
+         .option("maxFileAge", ANY_AGE).option("multiLine", multi_line))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.json(landing)
@@ -103,28 +106,74 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/batch_id={latest}")
 
 
-def gold_exact_incremental(spark: SparkSession, bronze_path: str, gold_path: str):
-    """foreachBatch body: exact daily metrics for the dates a batch touches.
-
-    Touched dates are the batch's dates plus every date on which an id of the
-    batch already had a row (a late copy can move an event to another day).
-    Silver is recomputed from the stored Bronze for those ids' dates only,
-    and the gold partitions are replaced (dynamic partition overwrite)."""
-    def run(batch: DataFrame, _batch_id: int) -> None:
-        bronze = spark.read.parquet(bronze_path)
-        ids = batch.select("event_id").distinct()
-        dates = (bronze.join(ids, "event_id", "left_semi")
-                 .select(F.to_date("event_timestamp").alias("event_date"))
-                 .union(batch.select(F.to_date("event_timestamp").alias("event_date")))
-                 .filter(F.col("event_date").isNotNull()).distinct())
-        in_dates = (bronze.withColumn("event_date", F.to_date("event_timestamp"))
-                    .join(dates, "event_date", "left_semi").select("event_id").distinct())
-        affected = bronze.join(in_dates, "event_id", "left_semi")
-        silver = ev.silver_events(affected)
-        gold = (ev.gold_daily_base(silver).join(dates, "event_date", "left_semi"))
-        (gold.repartition("event_date").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("event_date").parquet(gold_path))
+# ------------------------------------------------------------ exact gold
+
+NO_DAY = "none"           # events whose timestamp is NULL
+ID_BUCKETS = 256
+
+
+def _day() -> Column:
+    return F.coalesce(F.to_date("event_timestamp").cast("string"), F.lit(NO_DAY)).alias("day")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_generation(spark: SparkSession, root: str, name: str, before: int | None = None) -> DataFrame | None:
+    """Current rows of a stored layer: for each day the folder of the last
+    batch that published it (None before the first batch). Folders are pruned
+    by (batch_id, day); a day that became empty has a pointer but no rows."""
+    if not _exists(spark, f"{root}/pointers"):
+        return None
+    ptr = spark.read.schema("day string, batch_id long").parquet(f"{root}/pointers")
+    if before is not None:
+        ptr = ptr.filter(F.col("batch_id") < before)
+    ptr = ptr.groupBy("day").agg(F.max("batch_id").alias("batch_id"))
+    data = spark.read.option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
+    data = data.withColumns({"day": F.col("day").cast("string"), "batch_id": F.col("batch_id").cast("long")})
+    return data.join(ptr, ["day", "batch_id"]).drop("day", "batch_id")
+
+
+def gold_exact_incremental(spark: SparkSession, root: str):
+    """foreachBatch body: exact daily metrics and user activity of the days a
+    batch touches, kept up to date under ``root``.
+
+    * ``ids``: (event_id, day) of every arrival, in ``ID_BUCKETS`` folders by
+      id; a batch looks its ids up in their folders only.
+    * ``current``: the latest copy of every event, by day. Only the days of the
+      batch and those on which its ids had a copy are read and written anew.
+    * ``gold_daily`` / ``gold_users``: recomputed for the same days.
+
+    Every batch writes folders of its own and then one pointer per touched day,
+    so a day that an event left is replaced even when nothing remains on it,
+    and a replayed batch writes the same rows to the same place."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        put = lambda df, name, *by: (
+            df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy(*by).parquet(f"{root}/{name}/batch_id={batch_id}"))
+        bucket = F.pmod(F.xxhash64("event_id"), F.lit(ID_BUCKETS)).alias("bucket")
+        arrivals = batch.select("event_id", _day()).distinct()
+        put(arrivals.select("*", bucket), "ids", "bucket")
+        ids = (spark.read.parquet(f"{root}/ids").where(F.col("batch_id") <= batch_id)
+               .join(arrivals.select("event_id", bucket).distinct(), ["event_id", "bucket"], "left_semi"))
+        days = ids.select(F.col("day").cast("string").alias("day")).distinct()
+        days.write.mode("overwrite").parquet(f"{root}/touched/batch_id={batch_id}")
+        days = spark.read.schema("day string").parquet(f"{root}/touched/batch_id={batch_id}")
+        rows = batch
+        have = read_generation(spark, root, "current", before=batch_id)
+        if have is not None:
+            rows = rows.unionByName(have.select("*", _day()).join(days, "day", "left_semi").drop("day"))
+        order = ["event_timestamp"] + (["copy_no"] if "copy_no" in batch.columns else [])
+        put(keep_latest(rows, ["event_id"], order).select("*", _day()), "current", "day")
+        now = spark.read.parquet(f"{root}/current/batch_id={batch_id}").drop("day")
+        silver = ev.silver_events(now)
+        day = F.col("event_date").cast("string").alias("day")
+        put(ev.gold_daily_base(silver).select("*", day), "gold_daily", "day")
+        put(ev.gold_user_activity_base(silver).select("*", day), "gold_users", "day")
+        days.select("day", F.lit(batch_id).cast("long").alias("batch_id")).write.mode("overwrite").parquet(
+            f"{root}/pointers/of_batch={batch_id}")
     return run
 
 
@@ -140,9 +189,16 @@ def replay_silver(spark: SparkSession, bronze_path: str, silver_path: str,
     w.parquet(silver_path)
 
 
-def stream_rule_metrics(query) -> dict:
-    """Observed per-rule counts of the last micro-batch (stream form of
-    ``Observation``); empty when the flow attached no observation."""
-    progress = query.lastProgress or {}
-    return {k: (v.asDict() if hasattr(v, "asDict") else v)
-            for k, v in (progress.get("observedMetrics") or {}).items()}
+def rule_metrics_sink(root: str, rules, dataset: str, write):
+    """foreachBatch body that appends one row per rule and batch (passed and
+    failed counts, in the batch's own pass) under ``root``, then calls
+    ``write(batch, batch_id)``; a replayed batch replaces its rows, so the sum
+    over batches is exact."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        rule_metrics(batch, rules, dataset).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+        write(batch, batch_id)
+    return run
+
+
+def read_rule_metrics(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.parquet(root)

@@ -101,12 +101,59 @@ def test_insert_with_partial_columns_gives_nulls(log, spark):
     assert row["Country"] is None and row["Role"] is None
 
 
-def test_compaction_keeps_every_version_readable(log, spark):
-    before = {v: sorted(map(tuple, log.snapshot(v).collect())) for v in range(4)}
-    assert log.compact(2) == 2
-    log.insert(spark.createDataFrame([(9, "Noor", "Oman", "Analyst")], SCHEMA))
-    for v in range(4):
-        assert sorted(map(tuple, log.snapshot(v).collect())) == before[v]
-    assert log.snapshot().count() == 6
-    feed = log.changes(3, 4).collect()
-    assert [(r["_change_type"], r["FirstName"]) for r in feed] == [("insert", "Noor")]
+def test_second_instance_reads_and_writes(log, spark):
+    other = ChangeLog(spark, log.path, ["ID"], clock)
+    assert other.snapshot().count() == 5 and other.snapshot(0).count() == 4
+    assert other.update("FirstName = 'Zebi'", {"Role": "'Lead'"}) == 4
+    assert roles(log.snapshot())["Zebi"] == "Lead"
+    assert other.diff(3, 4).count() == 1 and other.changes(3).count() == 2
+    assert other.merge(spark.createDataFrame(EMP[:1], SCHEMA)) == 5
+    assert ChangeLog(spark, log.path, ["ID"]).restore_rows(1)[1] == 6
+    with pytest.raises(ValueError):
+        other.create(spark.createDataFrame(EMP, SCHEMA))
+
+
+def test_failed_listing_is_raised_and_overwrites_nothing(log, spark, monkeypatch):
+    before = sorted(map(tuple, log.snapshot(0).collect()))
+
+    def broken(self, path):
+        raise OSError("injected read failure")
+    with monkeypatch.context() as m:
+        m.setattr(ChangeLog, "_fs", broken)
+        with pytest.raises(OSError):
+            log.insert(spark.createDataFrame(EMP[:1], SCHEMA))
+        with pytest.raises(OSError):
+            log.create(spark.createDataFrame(EMP[:1], SCHEMA))
+    assert sorted(map(tuple, log.snapshot(0).collect())) == before and log.latest_version() == 3
+
+
+def test_taken_version_is_never_overwritten(log, spark, monkeypatch):
+    monkeypatch.setattr(ChangeLog, "latest_version", lambda self: 2)
+    with pytest.raises(RuntimeError):
+        log.insert(spark.createDataFrame(EMP[:1], SCHEMA))
+    assert log.snapshot(3).count() == 5
+
+
+def test_merge_rejects_two_rows_for_a_key(log, spark):
+    src = spark.createDataFrame([(1, "A", "x", "y"), (1, "B", "x", "y")], SCHEMA)
+    with pytest.raises(Exception, match="several source rows"):
+        log.merge(src)
+    assert log.latest_version() == 3
+
+
+def test_feed_plan_does_not_grow_with_versions(spark, tmp):
+    import contextlib
+    import io
+
+    def shape(n):
+        t = ChangeLog(spark, f"{tmp}/t{n}", ["ID"], clock)
+        t.create(spark.createDataFrame(EMP, SCHEMA))
+        for i in range(n):
+            t.update("ID = 1", {"Role": f"'r{i}'"})
+        out = t.changes(0, n)
+        assert out.count() == 2 * n
+        with contextlib.redirect_stdout(io.StringIO()) as s:
+            out.explain()
+        text = s.getvalue().split("Initial Plan")[-1]
+        return text.count("FileScan"), text.count("Exchange")
+    assert shape(2) == shape(8) == (1, 2)

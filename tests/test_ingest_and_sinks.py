@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from strata.sinks import tables as tb
 from strata.sources import readers as rd
-from strata.streaming.ingest import copy_into, load_with_schema_evolution
+from strata.streaming.ingest import age_files, copy_into, load_with_schema_evolution, read_loaded
 
 EMP_SCHEMA = T.StructType([T.StructField("ID", T.IntegerType()),
                            T.StructField("FirstName", T.StringType()),
@@ -34,7 +34,7 @@ def test_copy_into_is_idempotent_by_path(spark, tmp):
     write_text(f"{land}/employees2.csv", "ID,FirstName,Country,Role\n5,Maria,Brazil,Data Engineer\n"
                "6,Aiden,Australia,Data Analyst\n")
     assert copy_into(*args).rows_loaded == 2                      # new file
-    assert spark.read.parquet(f"{tmp}/bronze").count() == 6
+    assert read_loaded(spark, f"{tmp}/bronze").count() == 6
 
 
 def test_schema_evolution_add_new_columns(spark, tmp):
@@ -49,6 +49,50 @@ def test_schema_evolution_add_new_columns(spark, tmp):
     assert out == {1: None, 2: None, 3: 7}
 
 
+def test_old_files_late_columns_and_type_changes_are_kept(spark, tmp):
+    land, args = f"{tmp}/land", (spark, f"{tmp}/land/*", f"{tmp}/t", f"{tmp}/state")
+    write_text(f"{land}/a/1.json", '{"a": 1}\n')
+    assert load_with_schema_evolution(*args).rows_loaded == 1
+    write_text(f"{land}/b/2.json", '{"a": "text", "late": "00123"}\n{"a": 3, "n": {"x": 1.5}}\nnot json\n')
+    age_files(spark, f"{land}/b", 400)
+    assert load_with_schema_evolution(*args).rows_loaded == 3
+    rows = sorted(read_loaded(spark, f"{tmp}/t").collect(), key=str)
+    assert {r.late for r in rows} == {None, "00123"} and {r.n for r in rows} == {None, '{"x":1.5}'}
+    kept = [r._rescued_data for r in rows if r._rescued_data]
+    assert sorted(kept, key=str) == [{"_corrupt_record": "not json"}, {"a": "text"}]
+
+
+def test_row_count_is_exact_beyond_the_retained_progress(spark, tmp):
+    for i in range(8):
+        write_text(f"{tmp}/land/{i}.csv", f"ID,FirstName,Country,Role\n{i},a,b,c\n")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        res = copy_into(spark, f"{tmp}/land", f"{tmp}/t", f"{tmp}/ck", "csv", EMP_SCHEMA,
+                        {"maxFilesPerTrigger": 1})
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert (res.rows_loaded, res.batches) == (8, 8) and read_loaded(spark, f"{tmp}/t").count() == 8
+
+
+def test_multi_line_array_with_surplus_bracket(spark, tmp):
+    write_text(f"{tmp}/land/e.json", '[\n {"id": 1, "t": "x"},\n {"id": 2,\n "t": "y"}\n]\n]\n')
+    write_text(f"{tmp}/land/f.json", '{"id": 3,\n "t": "z"}')
+    res = copy_into(spark, f"{tmp}/land", f"{tmp}/t", f"{tmp}/ck", "json", options={"multiLine": True})
+    rows = read_loaded(spark, f"{tmp}/t").collect()
+    assert res.rows_loaded == 3 and sorted((r.id, r.t) for r in rows) == [(1, "x"), (2, "y"), (3, "z")]
+
+
+def test_header_order_and_surplus_columns(spark, tmp):
+    write_text(f"{tmp}/c/a.csv", 'name,id,extra\n"Li, Jo",1,e1\nBo,x2,e2,more,most\n')
+    write_text(f"{tmp}/c/b.csv", "id,name\n3,Al\n")
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
+    rows = {r.name: r for r in rd.read_csv_rescued(spark, f"{tmp}/c", schema).collect()}
+    assert rows["Li, Jo"].id == 1 and rows["Li, Jo"]._rescued_data == {"extra": "e1"}
+    assert rows["Bo"].id is None and rows["Bo"]._rescued_data == {
+        "id": "x2", "extra": "e2", "_extra_3": "more", "_extra_4": "most"}
+    assert rows["Al"].id == 3 and rows["Al"]._rescued_data is None
+
+
 def test_rescued_data_and_type_check(spark, tmp):
     write_text(f"{tmp}/c.csv", "ID,Name,Age\n101,Alice,Thirty\n102,Bob,30\n")
     schema = T.StructType([T.StructField("ID", T.IntegerType()), T.StructField("Name", T.StringType()),
@@ -119,15 +163,21 @@ def test_partitioned_write_dynamic_overwrite(spark, tmp):
     assert got == {"2024-01-01": 1, "2024-01-02": 9}
 
 
-def test_publish_checked_keeps_previous_output(spark, tmp):
+def test_publish_keeps_old_contents_on_failure(spark, tmp):
     from strata.operators.rules import apply_rules, expect_or_fail
-    good = spark.createDataFrame([(1,)], "x int")
-    first = tb.publish_checked(good, f"{tmp}/v1")
+    path = f"{tmp}/view"
+    assert tb.publish(spark.createDataFrame([(1,)], "x int"), path).count() == 1
     bad = apply_rules(spark.createDataFrame([(None,)], "x int"),
                       [expect_or_fail("x_ok", "x IS NOT NULL")])
     with pytest.raises(Exception):
-        tb.publish_checked(bad, f"{tmp}/v2")
-    assert first.count() == 1
+        tb.publish(bad, path)
+    assert [r.x for r in tb.read_current(spark, path).collect()] == [1]
+    for i in range(2, 5):
+        tb.publish(spark.createDataFrame([(i,)], "x int"), path)
+    assert [r.x for r in tb.read_current(spark, path).collect()] == [4]
+    assert sorted(d for d in os.listdir(path) if not d.startswith(".")) == ["v=2", "v=3"]
+    with pytest.raises(FileNotFoundError):
+        tb.read_current(spark, f"{tmp}/none")
 
 
 def test_landing_export_roundtrip(spark, tmp):
@@ -145,8 +195,9 @@ def test_schema_evolution_mode_none_ignores_new_columns(spark, tmp):
     write_text(f"{land}/b/2.json", '{"id": 2, "extra": 7}\n')
     load_with_schema_evolution(spark, f"{land}/*", f"{tmp}/t", f"{tmp}/state", mode="none",
                                glob="*.json")
-    out = spark.read.parquet(f"{tmp}/t")
-    assert out.columns == ["id"] and out.count() == 2
+    out = read_loaded(spark, f"{tmp}/t")
+    assert out.columns == ["id", "_rescued_data"] and out.count() == 2
+    assert out.filter("_rescued_data IS NOT NULL").count() == 0
 
 
 def test_read_table_if_exists(spark):

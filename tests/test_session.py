@@ -14,3 +14,17 @@ def test_cluster_conf_scales_with_cores():
     assert conf["spark.sql.adaptive.enabled"] == "true"
     assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
     assert "RocksDB" in conf["spark.sql.streaming.stateStore.providerClass"]
+
+
+def test_cluster_session_without_shared_folder_is_an_error(spark):
+    import pytest
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(Session())
