@@ -9,10 +9,10 @@ from strata.llm.common import discard, store
 
 
 def _large_star(e: DataFrame) -> DataFrame:
-    both = e.union(e.select("v", "u")).distinct()
+    both = e.union(e.select("v", "u"))
     least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
     return (both.where("v > u").join(least, "u").where("v <> m")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+            .select(F.col("v").alias("u"), F.col("m").alias("v")))
 
 
 def _small_star(e: DataFrame) -> DataFrame:

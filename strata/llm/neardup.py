@@ -19,8 +19,16 @@
   largest component lead, smallest component first, 4 in the first round, 16
   in the next, and so on; each is verified against all members of
   other components, then leaves the bucket. It ends when each bucket is one
-  component, or all others have led. So every candidate pair is verified or
-  already connected; a group of n near copies costs about n pairs. No cap.
+  component, or all others have led.
+* **Exact bounds.** A pair is skipped where its similarity is known to be below
+  the threshold: the part two bags share is at most the lesser of their
+  shareable weights, and the rest of both counts against it. In buckets of
+  more than ``CROWD`` members only shingles that another member of such a bucket
+  has are shareable (their counts are exact, over all those bags); members
+  whose shareable part is under the threshold leave, and those with the least
+  weight of their own lead first, as they are nearest to what the group has in
+  common. So every candidate pair is verified, already connected or out of
+  reach, and a group of n near copies costs about n pairs. No cap.
 
 Texts with a common 64-bit bag hash are taken as equal (one chance pair in six
 billion texts). Defined results: texts without a word, null ones too, are
@@ -50,6 +58,7 @@ SLOTS = 1 << 14
 CHUNK = 2 << 20
 BASE = 0x9E3779B97F4A7C15
 LEADERS = 4
+CROWD = 32
 
 _TABLES: dict = {}
 
@@ -143,17 +152,18 @@ def idf_table(docs: DataFrame) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, idf) -> DataFrame:
-    """doc_id, t1, t2 (text key), node (bag hash, null without words), bands."""
+    """doc_id, t1, t2 (text key), node (bag hash, null without words), weight, bands."""
     def sign(batches):
         import pyarrow as pa
 
         table = idf.value
         for b in batches:
             buf, off = arrow_texts(b.column(3))
-            node, has, bands = [], [], []
+            node, has, weight, bands = [], [], [], []
             for i, j in doc_chunks(off, CHUNK):
                 for h, w in bags(buf[off[i]:off[j]], off[i:j + 1] - off[i], table):
                     has.append(len(h) > 0)
+                    weight.append(float(w.sum(dtype=float)))
                     if not len(h):
                         node.append(0)
                         bands.append(np.zeros(SAMPLES // ROWS, np.int64))
@@ -166,12 +176,13 @@ def signatures(docs: DataFrame, idf) -> DataFrame:
                 pa.array(np.arange(len(node) + 1) * (SAMPLES // ROWS), pa.int32()),
                 pa.array(np.concatenate(bands) if bands else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:3], pa.array(node, pa.int64(), mask=~np.array(has, bool)), lists],
-                ["doc_id", "t1", "t2", "node", "bands"])
+                [*b.columns[:3], pa.array(node, pa.int64(), mask=~np.array(has, bool)),
+                 pa.array(weight, pa.float64()), lists],
+                ["doc_id", "t1", "t2", "node", "weight", "bands"])
 
     t1, t2 = text_key(text_or_empty())
     return docs.select("doc_id", t1.alias("t1"), t2.alias("t2"), F.col("text").cast("string")).mapInArrow(
-        sign, "doc_id long, t1 long, t2 long, node long, bands array<long>")
+        sign, "doc_id long, t1 long, t2 long, node long, weight double, bands array<long>")
 
 
 def bag_table(docs: DataFrame, wanted: DataFrame, idf) -> DataFrame:
@@ -197,6 +208,34 @@ def bag_table(docs: DataFrame, wanted: DataFrame, idf) -> DataFrame:
     return wanted.join(texts, ["t1", "t2"]).select("node", "text").mapInArrow(make, "node long, h binary, w binary")
 
 
+def crowded(members: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
+    """``members`` (bucket, node, shared, alone) with exact shareable weights in
+    crowded buckets, less the members that no other can reach there."""
+    def weights(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for n, h, w in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+                h = np.frombuffer(h.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(h), n)), pa.array(h), pa.array(np.frombuffer(w.as_buffer(), np.float32))],
+                    ["node", "h", "w"])
+
+    full = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > CROWD).select(
+        "bucket", F.lit(True).alias("full"))
+    tagged = store(members.join(full, "bucket", "left").withColumn("full", F.coalesce("full", F.lit(False))),
+                   "neardup-crowds")
+    nodes = tagged.where("full").select("node").distinct()
+    each = bag.join(nodes, "node", "left_semi").mapInArrow(weights, "node long, h long, w float")
+    own = (each.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node"), F.min("w").alias("w"))
+           .where("c = 1").groupBy("node").agg(F.sum("w").alias("own")))
+    out = tagged.where("full").join(own, "node", "left")
+    out = out.withColumn("alone", F.coalesce("own", F.lit(0.0))).withColumn("shared", F.col("shared") - F.col("alone"))
+    out = out.where(F.col("shared") >= (threshold - 1e-6) * (F.col("shared") + F.col("alone")))
+    cols = ["bucket", "node", "shared", "alone"]
+    return store(tagged.where("not full").select(*cols).union(out.select(*cols)), "neardup-members")
+
+
 def verified(pairs: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) with weighted Jaccard >= threshold."""
     def jaccard(batches):
@@ -224,7 +263,7 @@ def verified(pairs: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
 
 def link(members: DataFrame, bag: DataFrame, threshold: float) -> DataFrame | None:
     """node, root of all nodes whose component has a lesser node; see above for
-    the rounds. ``members``: bucket, node."""
+    the rounds. ``members``: bucket, node, shared, alone (weights)."""
     spark = members.sparkSession
     edges = roots = led = None
     leaders = LEADERS
@@ -232,8 +271,8 @@ def link(members: DataFrame, bag: DataFrame, threshold: float) -> DataFrame | No
         if roots is None:
             state = members.withColumn("comp", F.col("node"))
         else:
-            state = members.join(roots, "node", "left").select(
-                "bucket", "node", F.coalesce("root", "node").alias("comp"))
+            state = members.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node"))
+        state = store(state.select("bucket", "node", "comp", "shared", "alone"), "neardup-state")
         sizes = state.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
         top = (sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("comps"),
                                            F.max(F.struct("size", "comp")).alias("top"))
@@ -241,12 +280,15 @@ def link(members: DataFrame, bag: DataFrame, threshold: float) -> DataFrame | No
         out = state.join(top, "bucket").where("comp <> top").join(sizes, ["bucket", "comp"])
         if led is not None:
             out = out.join(led, ["bucket", "node"], "left_anti")
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("size", "node"))
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("size", F.col("alone") / F.col("shared"), "node"))
         now = store(out.withColumn("rank", rank).where(F.col("rank") <= leaders)
-                    .select("bucket", F.col("node").alias("lead"), F.col("comp").alias("lead_comp")), "neardup-lead")
+                    .select("bucket", F.col("node").alias("lead"), F.col("comp").alias("lead_comp"),
+                            F.col("shared").alias("lead_shared"), F.col("alone").alias("lead_alone")), "neardup-lead")
         if now.isEmpty():
             return roots
-        pairs = (state.join(now, "bucket").where("comp <> lead_comp")
+        reach = F.least("shared", "lead_shared") >= (threshold - 1e-6) * (
+            F.greatest("shared", "lead_shared") + F.col("alone") + F.col("lead_alone"))
+        pairs = (state.join(now, "bucket").where((F.col("comp") != F.col("lead_comp")) & reach)
                  .select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct())
         good = store(verified(pairs, bag, threshold), "neardup-links")
         edges = good if edges is None else edges.union(good)
@@ -260,6 +302,7 @@ def link(members: DataFrame, bag: DataFrame, threshold: float) -> DataFrame | No
             roots = components(e)
             if old is not None:
                 discard(spark, old)
+        discard(spark, state)
         leaders *= 4
 
 
@@ -272,15 +315,17 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
     has = sig.where("node is not null")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t1", "t2")).alias("first")
     reps = store(has.groupBy("node").agg(first, F.count(F.lit(1)).alias("n"),
-                                         F.first("bands").alias("bands")), "neardup-bags")
-    band = reps.select("node", F.posexplode("bands").alias("no", "hash")).select(
-        "node", F.xxhash64("no", "hash").alias("bucket"))
+                                         F.max("weight").alias("weight"), F.first("bands").alias("bands")),
+                 "neardup-bags")
+    band = reps.select("node", "weight", F.posexplode("bands").alias("no", "hash")).select(
+        "node", "weight", F.xxhash64("no", "hash").alias("bucket"))
     shared = band.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
-    members = store(band.join(shared, "bucket").select("bucket", "node"), "neardup-buckets")
+    members = store(band.join(shared, "bucket").select(
+        "bucket", "node", F.col("weight").alias("shared"), F.lit(0.0).alias("alone")), "neardup-buckets")
     wanted = reps.join(members.select("node").distinct(), "node", "left_semi").select(
         "node", F.col("first.t1").alias("t1"), F.col("first.t2").alias("t2"))
     bag = store(bag_table(docs, wanted, idf), "neardup-texts")
-    roots = link(members, bag, threshold)
+    roots = link(crowded(members, bag, threshold), bag, threshold)
     of = reps.select("node", "first", "n")
     of = of.withColumn("root", F.col("node")) if roots is None else of.join(roots, "node", "left").select(
         "node", "first", "n", F.coalesce("root", "node").alias("root"))

@@ -233,10 +233,10 @@ def test_near_duplicate_stage(spark, docs, empty, rows, tmp):
 def test_weighted_samples_collide_like_the_similarity():
     import numpy as np
     rng = np.random.default_rng(0)
-    h = np.sort(rng.integers(0, 1 << 63, 400, np.uint64))
-    w = np.where(rng.random(400) < 0.3, 1.7, 1.0).astype(np.float32)
     same = []
-    for t in range(30):
+    for t in range(60):
+        h = np.sort(rng.integers(0, (1 << 64) - 1, 400, np.uint64))
+        w = np.where(rng.random(400) < 0.3, 1.7, 1.0).astype(np.float32)
         cut = rng.random(400) < 0.85
         g = np.sort(np.concatenate((h[cut], rng.integers(0, 1 << 63, int((~cut).sum()), np.uint64))))
         wg = np.ones(len(g), np.float32)
