@@ -113,7 +113,7 @@ def merges(m: Model) -> list[tuple[str, str]]:
 
 def build(m: Model):
     """A tokenizers.Tokenizer equal to the SentencePiece model."""
-    from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
+    from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers
 
     unk = next((i for i, p in enumerate(m.pieces) if p[2] == UNKNOWN), None)
     if m.kind == UNIGRAM:
@@ -128,10 +128,11 @@ def build(m: Model):
     steps = [normalizers.Precompiled(m.charsmap)] if m.charsmap else []
     if m.remove_extra_space:
         steps += [normalizers.Replace(Regex(" {2,}"), " "), normalizers.Strip()]
-    if steps:
-        tok.normalizer = normalizers.Sequence(steps)
-    tok.pre_tokenizer = pre_tokenizers.Metaspace(
-        replacement=MARK, prepend_scheme="first" if m.dummy_prefix else "never", split=m.kind == BPE)
+    # the metaspace marker, always put before a text that wants a prefix; the
+    # text stays whole, as runs of markers may form pieces of their own
+    steps += [normalizers.Prepend(MARK)] if m.dummy_prefix else []
+    steps.append(normalizers.Replace(" ", MARK))
+    tok.normalizer = normalizers.Sequence(steps)
     tok.add_special_tokens([AddedToken(p, special=True, normalized=False) for p, _, k in m.pieces if k == CONTROL])
     tok.encode_special_tokens = True          # their strings in a text are ordinary text
     tok.add_tokens([AddedToken(p, normalized=False) for p, _, k in m.pieces if k == USER])
