@@ -43,9 +43,8 @@ def op2(spark, sf_dir):
 OP3_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)),
-                     x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ln
+         [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w,
+         [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS ln
   FROM documents),
 win AS (
   SELECT r, i, w[i] || ' ' || w[i+1] || ' ' || w[i+2] || ' ' || w[i+3] || ' ' || w[i+4] AS g
@@ -227,11 +226,11 @@ hit AS (SELECT r, p, n, name, g, m,
                CASE WHEN m < 4 THEN 1 ELSE 8 END AS width, CASE WHEN m < 4 THEN 1 ELSE 4 END AS step
         FROM h JOIN ts USING (g) JOIN m USING (name)),
 core AS (SELECT DISTINCT r, name, unnest(range(CAST(greatest(0, ceil((p - width + 1) / step)) AS BIGINT),
-                                               CAST(floor(p / step) AS BIGINT) + 1)) * step AS at, width, m
+                                               CAST(floor(p / step) AS BIGINT) + 1)) * step AS pos, width, m
          FROM hit),
 found AS (SELECT DISTINCT core.r, core.name FROM core JOIN hit
-            ON hit.r = core.r AND hit.name = core.name AND hit.p >= at - core.m AND hit.p < at + core.width + core.m
-          GROUP BY core.r, core.name, at, core.m HAVING count(DISTINCT g) >= 0.8 * core.m)
+            ON hit.r = core.r AND hit.name = core.name AND hit.p >= pos - core.m AND hit.p < pos + core.width + core.m
+          GROUP BY core.r, core.name, pos, core.m HAVING count(DISTINCT g) >= 0.8 * core.m)
 SELECT doc_id, count(name) AS n_licenses, coalesce(string_agg(name, ',' ORDER BY name), '') AS licenses
 FROM d LEFT JOIN found USING (r) GROUP BY r, doc_id
 """
