@@ -59,8 +59,7 @@ def build_directory(entries: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """cell -> (depth, bucket) after doubling until no bucket is overfull."""
     cells = entries.groupBy(key_bits(F.col("key"), MAX_DEPTH).alias("cell")).agg(
         F.count(F.lit(1)).alias("n"))
-    cells = store(cells, "exhash-cells")
-    d = cells.withColumns({"depth": F.lit(0), "bucket": F.lit(0).cast("long")})
+    d = store(cells.withColumns({"depth": F.lit(0), "bucket": F.lit(0).cast("long")}), "exhash-cells")
     for depth in range(1, MAX_DEPTH + 1):
         over = (d.where(F.col("depth") == depth - 1).groupBy("bucket")
                 .agg(F.sum("n").alias("load")).where(F.col("load") > capacity)
