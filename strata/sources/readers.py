@@ -95,11 +95,13 @@ def json_records(raw: DataFrame, multi_line: bool = False) -> DataFrame:
     record, null where unparsable. ``multi_line``: a value is a whole file that
     holds one object or one array of objects; text after the end of the value
     (a surplus bracket) is not part of it."""
-    one = F.from_json("value", "map<string,string>")
+    raw = raw.where(F.length(F.trim("value")) > 0)
     if multi_line:
-        many = F.from_json("value", "array<map<string,string>>")
-        one = F.explode_outer(F.when(F.ltrim("value").startswith("["), many).otherwise(F.array(one)))
-    return raw.where(F.length(F.trim("value")) > 0).select("value", one.alias("rec"))
+        each = F.explode(F.transform(F.from_json("value", "array<variant>"), lambda v: F.to_json(v)))
+        array = F.coalesce(F.ltrim("value").startswith("["), F.lit(False)) & F.from_json(
+            "value", "array<variant>").isNotNull()
+        raw = raw.where(array).select(each.alias("value")).union(raw.where(~array).select("value"))
+    return raw.select("value", F.from_json("value", "map<string,string>").alias("rec"))
 
 
 def csv_records(raw: DataFrame, sep: str = ",", header: bool = True,

@@ -49,6 +49,15 @@ def test_query_matches_oracle(spark, con, key):
     assert canon(df.columns, rows) == canon(ocols, res.fetchall())
 
 
+@pytest.mark.parametrize("key, order", [
+    ("bronze_dq_summary", lambda r: r["event_type"]),
+    ("top_artists_by_year", lambda r: (-r["total_number_of_songs"], -r["year"])),
+    ("top20_products_europe_3y", lambda r: (-r["revenue"], r["p_partkey"]))])
+def test_result_order(spark, key, order):
+    rows = QUERIES[key](spark, SF_SMALL).collect()
+    assert [order(r) for r in rows] == sorted(order(r) for r in rows) and len(rows) > 1
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0

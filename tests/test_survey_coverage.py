@@ -27,5 +27,5 @@ def test_every_survey_key_is_registered():
     assert keys - set(E.queries()) == set()
 
 
-def test_oracle_sql_for_all_but_approximate_stream():
-    assert set(registry.QUERIES) - set(registry.ORACLE_SQL) == {"stream_gold_approx"}
+def test_every_key_has_oracle_sql():
+    assert set(registry.QUERIES) - set(registry.ORACLE_SQL) == set()
