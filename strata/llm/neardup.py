@@ -27,8 +27,11 @@
   has are shareable (their counts are exact, over all those bags); members
   whose shareable part is under the threshold leave, and those with the least
   weight of their own lead first, as they are nearest to what the group has in
-  common. So every candidate pair is verified, already connected or out of
-  reach, and a group of n near copies costs about n pairs. No cap.
+  common. A pair that shares several such buckets is taken in its first band
+  only, and only if at least ``AGREE`` of ``MARKS`` further samples, drawn for
+  such members, agree (at similarity 0.8 they fail to with probability 1e-4,
+  less than the bands' own). So every
+  candidate pair is verified, already connected or out of reach, and a group of n near copies costs about n pairs. No cap.
 
 Texts with a common 64-bit bag hash are taken as equal (one chance pair in six
 billion texts). Defined results: texts without a word, null ones too, are
@@ -54,24 +57,26 @@ THRESHOLD = 0.8
 SAMPLES, ROWS = 64, 4
 BUCKETS_DF = 1 << 18
 RARE, IDF_FLOOR = 0.01, 0.8
-SLOTS = 1 << 14
+SLOT_BITS = 13
+SLOTS = 1 << SLOT_BITS
 CHUNK = 2 << 20
 BASE = 0x9E3779B97F4A7C15
 LEADERS = 4
-CROWD = 32
+CROWD = 8
+MARKS, AGREE = 256, 180     # P(fewer than 180 of 256 agree | similarity 0.8) is about 1e-4
 
 _TABLES: dict = {}
 
 
-def variates() -> tuple[np.ndarray, ...]:
+def variates(n: int) -> tuple[np.ndarray, ...]:
     """ln c by slot; r and beta by slot; and ln a for weight 1, split in two."""
-    if not _TABLES:
-        rng = np.random.default_rng(20240229)
-        lnc = np.log(rng.gamma(2, 1, (SLOTS, SAMPLES))).astype(np.float32)
-        r = rng.gamma(2, 1, (SLOTS, SAMPLES)).astype(np.float32)
-        beta = rng.random((SLOTS, SAMPLES), np.float32)
-        _TABLES["v"] = lnc, r, beta, r * beta - r
-    return _TABLES["v"]
+    if n not in _TABLES:
+        rng = np.random.default_rng(20240229 + n)
+        lnc = np.log(rng.gamma(2, 1, (SLOTS, n))).astype(np.float32)
+        r = rng.gamma(2, 1, (SLOTS, n)).astype(np.float32)
+        beta = rng.random((SLOTS, n), np.float32)
+        _TABLES[n] = lnc, r, beta, r * beta - r
+    return _TABLES[n]
 
 
 def shingles(buf: np.ndarray, offsets: np.ndarray):
@@ -99,10 +104,10 @@ def bags(buf: np.ndarray, offsets: np.ndarray, idf: np.ndarray):
         yield h, w
 
 
-def sample(h: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """``SAMPLES`` hashes, each of the (shingle, t) with the least ln a."""
-    lnc, r, beta, at_one = variates()
-    s1 = (h >> U(50)).astype(np.int64)
+def sample(h: np.ndarray, w: np.ndarray, n: int = SAMPLES) -> np.ndarray:
+    """``n`` hashes, each of the (shingle, t) with the least ln a."""
+    lnc, r, beta, at_one = variates(n)
+    s1 = (h >> U(64 - SLOT_BITS)).astype(np.int64)
     s2 = ((h >> U(36)) & U(SLOTS - 1)).astype(np.int64)
     ln_a = lnc[s1] + at_one[s2]                      # t = 0 for weight 1
     other = np.flatnonzero(w != 1)
@@ -118,7 +123,7 @@ def sample(h: np.ndarray, w: np.ndarray) -> np.ndarray:
         place[other] = np.arange(len(other))
         k = np.flatnonzero(place[best] >= 0)
         out[k] = mix(out[k] ^ mix(t[place[best[k]], k].astype(np.int64).astype(U)))
-    return mix(out + np.arange(SAMPLES, dtype=U) * U(BASE))
+    return mix(out + np.arange(n, dtype=U) * U(BASE))
 
 
 def idf_table(docs: DataFrame) -> np.ndarray:
@@ -208,9 +213,10 @@ def bag_table(docs: DataFrame, wanted: DataFrame, idf) -> DataFrame:
     return wanted.join(texts, ["t1", "t2"]).select("node", "text").mapInArrow(make, "node long, h binary, w binary")
 
 
-def crowded(members: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
-    """``members`` (bucket, node, shared, alone) with exact shareable weights in
-    crowded buckets, less the members that no other can reach there."""
+def crowded(members: DataFrame, bag: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
+    """``members`` (bucket, no, node, shared, alone) with exact shareable weights
+    in crowded buckets, less the members that no other can reach there. Members
+    of crowded buckets carry all their bands and marks, others null."""
     def weights(batches):
         import pyarrow as pa
 
@@ -221,19 +227,35 @@ def crowded(members: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
                     [pa.array(np.full(len(h), n)), pa.array(h), pa.array(np.frombuffer(w.as_buffer(), np.float32))],
                     ["node", "h", "w"])
 
+    def mark(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            rows = [sample(np.frombuffer(h.as_buffer(), U), np.frombuffer(w.as_buffer(), np.float32), MARKS)
+                    for h, w in zip(b.column(1), b.column(2))]
+            flat = (np.concatenate(rows) if rows else np.zeros(0, U)) & U(255)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(
+                pa.array(np.arange(len(rows) + 1) * MARKS, pa.int32()),
+                pa.array(flat.astype(np.uint8).view(np.int8)))], ["node", "marks"])
+
     full = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > CROWD).select(
         "bucket", F.lit(True).alias("full"))
     tagged = store(members.join(full, "bucket", "left").withColumn("full", F.coalesce("full", F.lit(False))),
                    "neardup-crowds")
     nodes = tagged.where("full").select("node").distinct()
-    each = bag.join(nodes, "node", "left_semi").mapInArrow(weights, "node long, h long, w float")
+    their = bag.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    each = their.mapInArrow(weights, "node long, h long, w float")
+    marks = their.mapInArrow(mark, "node long, marks array<tinyint>")
     own = (each.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node"), F.min("w").alias("w"))
            .where("c = 1").groupBy("node").agg(F.sum("w").alias("own")))
     out = tagged.where("full").join(own, "node", "left")
     out = out.withColumn("alone", F.coalesce("own", F.lit(0.0))).withColumn("shared", F.col("shared") - F.col("alone"))
     out = out.where(F.col("shared") >= (threshold - 1e-6) * (F.col("shared") + F.col("alone")))
-    cols = ["bucket", "node", "shared", "alone"]
-    return store(tagged.where("not full").select(*cols).union(out.select(*cols)), "neardup-members")
+    out = out.join(reps.select("node", "bands"), "node").join(marks, "node")
+    cols = ["bucket", "no", "node", "shared", "alone"]
+    few = tagged.where("not full").select(*cols, F.lit(None).cast("array<long>").alias("bands"),
+                                            F.lit(None).cast("array<tinyint>").alias("marks"))
+    return store(few.union(out.select(*cols, "bands", "marks")), "neardup-members")
 
 
 def verified(pairs: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
@@ -263,16 +285,17 @@ def verified(pairs: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
 
 def link(members: DataFrame, bag: DataFrame, threshold: float) -> DataFrame | None:
     """node, root of all nodes whose component has a lesser node; see above for
-    the rounds. ``members``: bucket, node, shared, alone (weights)."""
+    the rounds. ``members``: as ``crowded`` returns them."""
     spark = members.sparkSession
-    edges = roots = led = None
+    roots = led = None
     leaders = LEADERS
     while True:
         if roots is None:
             state = members.withColumn("comp", F.col("node"))
         else:
             state = members.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node"))
-        state = store(state.select("bucket", "node", "comp", "shared", "alone"), "neardup-state")
+        state = store(state.select("bucket", "no", "node", "comp", "shared", "alone", "bands", "marks"),
+                      "neardup-state")
         sizes = state.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
         top = (sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("comps"),
                                            F.max(F.struct("size", "comp")).alias("top"))
@@ -283,15 +306,19 @@ def link(members: DataFrame, bag: DataFrame, threshold: float) -> DataFrame | No
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("size", F.col("alone") / F.col("shared"), "node"))
         now = store(out.withColumn("rank", rank).where(F.col("rank") <= leaders)
                     .select("bucket", F.col("node").alias("lead"), F.col("comp").alias("lead_comp"),
-                            F.col("shared").alias("lead_shared"), F.col("alone").alias("lead_alone")), "neardup-lead")
+                            F.col("shared").alias("lead_shared"), F.col("alone").alias("lead_alone"),
+                            F.col("bands").alias("lead_bands"), F.col("marks").alias("lead_marks")),
+                    "neardup-lead")
         if now.isEmpty():
             return roots
         reach = F.least("shared", "lead_shared") >= (threshold - 1e-6) * (
             F.greatest("shared", "lead_shared") + F.col("alone") + F.col("lead_alone"))
-        pairs = (state.join(now, "bucket").where((F.col("comp") != F.col("lead_comp")) & reach)
+        same = F.zip_with("bands", "lead_bands", lambda x, y: x == y)
+        agree = F.size(F.filter(F.zip_with("marks", "lead_marks", lambda x, y: x == y), lambda x: x))
+        first = F.col("bands").isNull() | ((F.array_position(same, True) == F.col("no") + 1) & (agree >= AGREE))
+        pairs = (state.join(now, "bucket").where((F.col("comp") != F.col("lead_comp")) & reach & first)
                  .select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct())
         good = store(verified(pairs, bag, threshold), "neardup-links")
-        edges = good if edges is None else edges.union(good)
         led = now.select("bucket", F.col("lead").alias("node")) if led is None else led.union(
             now.select("bucket", F.col("lead").alias("node")))
         if not good.isEmpty():
@@ -318,14 +345,14 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
                                          F.max("weight").alias("weight"), F.first("bands").alias("bands")),
                  "neardup-bags")
     band = reps.select("node", "weight", F.posexplode("bands").alias("no", "hash")).select(
-        "node", "weight", F.xxhash64("no", "hash").alias("bucket"))
+        "node", "weight", "no", F.xxhash64("no", "hash").alias("bucket"))
     shared = band.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("bucket")
     members = store(band.join(shared, "bucket").select(
-        "bucket", "node", F.col("weight").alias("shared"), F.lit(0.0).alias("alone")), "neardup-buckets")
+        "bucket", "no", "node", F.col("weight").alias("shared"), F.lit(0.0).alias("alone")), "neardup-buckets")
     wanted = reps.join(members.select("node").distinct(), "node", "left_semi").select(
         "node", F.col("first.t1").alias("t1"), F.col("first.t2").alias("t2"))
     bag = store(bag_table(docs, wanted, idf), "neardup-texts")
-    roots = link(crowded(members, bag, threshold), bag, threshold)
+    roots = link(crowded(members, bag, reps, threshold), bag, threshold)
     of = reps.select("node", "first", "n")
     of = of.withColumn("root", F.col("node")) if roots is None else of.join(roots, "node", "left").select(
         "node", "first", "n", F.coalesce("root", "node").alias("root"))
