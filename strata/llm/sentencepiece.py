@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 THREADS = 2
-BATCH_CHARS = 2_000_000
-CACHE_WORDS = 200_000
+BATCH_CHARS = 250_000
+CACHE_WORDS = 10_000
 MARK = "▁"
 
 # Field numbers and codes of the published model format.
@@ -156,17 +156,18 @@ def _load(raw: bytes):
     return _LOADED[key]
 
 
-def groups(texts: list[str], limit: int = BATCH_CHARS):
-    """Lists of texts of at most ``limit`` characters together, or one text."""
-    out, n = [], 0
-    for t in texts:
-        if out and n + len(t) > limit:
-            yield out
-            out, n = [], 0
-        out.append(t)
-        n += len(t)
-    if out:
-        yield out
+def groups(lengths: list[int], limit: int = BATCH_CHARS):
+    """Numbers of consecutive texts of at most ``limit`` characters together,
+    or one text; so few token lists are held at once."""
+    texts = chars = 0
+    for n in lengths:
+        if texts and chars + n > limit:
+            yield texts
+            texts = chars = 0
+        texts += 1
+        chars += n
+    if texts:
+        yield texts
 
 
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
@@ -176,19 +177,20 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         tok, ref = _load(raw.value)
         for b in batches:
-            ids, parity, decoded = [], [], []
-            for part in groups([t or "" for t in b.column(1).to_pylist()]):
-                mine = [e.ids for e in tok.encode_batch_fast(part, add_special_tokens=False)]
+            at = 0
+            for n in groups(pc.utf8_length(pc.fill_null(b.column(1), "")).to_pylist()):
+                part = [t or "" for t in b.column(1).slice(at, n).to_pylist()]
                 theirs = ref.encode(part, num_threads=THREADS)
-                parity += [x == y for x, y in zip(mine, theirs)]
-                ids += theirs
-                decoded += tok.decode_batch(theirs, skip_special_tokens=False)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(parity, pa.bool_()),
-                 pa.array(decoded, pa.string())], ["doc_id", "ids", "parity", "decoded"])
+                parity = [e.ids == y for e, y in zip(tok.encode_batch_fast(part, add_special_tokens=False), theirs)]
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(at, n), pa.array(theirs, pa.list_(pa.int32())), pa.array(parity, pa.bool_()),
+                     pa.array(tok.decode_batch(theirs, skip_special_tokens=False), pa.string())],
+                    ["doc_id", "ids", "parity", "decoded"])
+                at += n
 
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(
         run, "doc_id long, ids array<int>, parity boolean, decoded string")
