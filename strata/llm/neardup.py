@@ -122,7 +122,9 @@ def sample(h: np.ndarray, w: np.ndarray, n: int = SAMPLES) -> np.ndarray:
         place = np.full(len(h), -1)
         place[other] = np.arange(len(other))
         k = np.flatnonzero(place[best] >= 0)
-        out[k] = mix(out[k] ^ mix(t[place[best[k]], k].astype(np.int64).astype(U)))
+        t = t[place[best[k]], k].astype(np.int64)
+        k, t = k[t != 0], t[t != 0]                  # t = 0 has the bare hash, whatever the weight
+        out[k] = mix(out[k] ^ mix(t.astype(U)))
     return mix(out + np.arange(n, dtype=U) * U(BASE))
 
 

@@ -248,6 +248,21 @@ def test_weighted_samples_collide_like_the_similarity():
     assert abs(np.mean(same)) < 0.03
 
 
+def test_weighted_samples_collide_across_term_frequencies():
+    """A shingle once in one text and twice in the other: equal (shingle, t), equal hash."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    same = []
+    for doubled in (10, 20, 35):
+        for _ in range(60):
+            h = np.sort(rng.integers(0, (1 << 64) - 1, 100, np.uint64))
+            one, two = np.ones(100, np.float32), np.ones(100, np.float32)
+            two[rng.permutation(100)[:doubled]] = 1 + np.log(2)
+            j = one.sum() / two.sum()
+            same.append((neardup.sample(h, one) == neardup.sample(h, two)).mean() - j)
+    assert abs(np.mean(same)) < 0.03
+
+
 def test_components(spark):
     from strata.llm.components import components
     rnd = random.Random(1)
