@@ -28,10 +28,11 @@
   whose shareable part is under the threshold leave, and those with the least
   weight of their own lead first, as they are nearest to what the group has in
   common. A pair that shares several such buckets is taken in its first band
-  only, and only if at least ``AGREE`` of ``MARKS`` further samples, drawn for
-  such members, agree (at similarity 0.8 they fail to with probability 1e-4,
-  less than the bands' own). So every
-  candidate pair is verified, already connected or out of reach, and a group of n near copies costs about n pairs. No cap.
+  only, and only if bitmaps of the two bags' hashes leave it in reach: a slot
+  that one has and the other has not holds a shingle the pair does not share,
+  of weight 1 or ``IDF_FLOOR`` at least. So every candidate pair is verified,
+  already connected or out of reach, and a group of n near copies costs about
+  n pairs. No cap.
 
 Texts with a common 64-bit bag hash are taken as equal (one chance pair in six
 billion texts). Defined results: texts without a word, null ones too, are
@@ -45,7 +46,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import (U, arrow_texts, discard, doc_chunks, keep_rows, mix, store, text_key,
@@ -63,7 +64,7 @@ CHUNK = 2 << 20
 BASE = 0x9E3779B97F4A7C15
 LEADERS = 4
 CROWD = 8
-MARKS, AGREE = 256, 180     # P(fewer than 180 of 256 agree | similarity 0.8) is about 1e-4
+BITS = 1 << 11
 
 _TABLES: dict = {}
 
@@ -218,7 +219,8 @@ def bag_table(docs: DataFrame, wanted: DataFrame, idf) -> DataFrame:
 def crowded(members: DataFrame, bag: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     """``members`` (bucket, no, node, shared, alone) with exact shareable weights
     in crowded buckets, less the members that no other can reach there. Members
-    of crowded buckets carry all their bands and marks, others null."""
+    of crowded buckets carry all their bands and two bitmaps of their hashes,
+    those of weight 1 or more and all; others null."""
     def weights(batches):
         import pyarrow as pa
 
@@ -233,12 +235,15 @@ def crowded(members: DataFrame, bag: DataFrame, reps: DataFrame, threshold: floa
         import pyarrow as pa
 
         for b in batches:
-            rows = [sample(np.frombuffer(h.as_buffer(), U), np.frombuffer(w.as_buffer(), np.float32), MARKS)
-                    for h, w in zip(b.column(1), b.column(2))]
-            flat = (np.concatenate(rows) if rows else np.zeros(0, U)) & U(255)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(
-                pa.array(np.arange(len(rows) + 1) * MARKS, pa.int32()),
-                pa.array(flat.astype(np.uint8).view(np.int8)))], ["node", "marks"])
+            sets = np.zeros((2, b.num_rows, BITS), bool)
+            for i, (h, w) in enumerate(zip(b.column(1), b.column(2))):
+                slot = (np.frombuffer(h.as_buffer(), U) >> U(20) & U(BITS - 1)).astype(np.int64)
+                sets[0, i, slot[np.frombuffer(w.as_buffer(), np.float32) >= 1]] = True
+                sets[1, i, slot] = True
+            at = pa.array(np.arange(b.num_rows + 1) * (BITS // 64), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), *(pa.ListArray.from_arrays(at, pa.array(np.packbits(x, axis=1).view(np.int64).ravel()))
+                                for x in sets)], ["node", "ones", "all"])
 
     full = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > CROWD).select(
         "bucket", F.lit(True).alias("full"))
@@ -247,7 +252,7 @@ def crowded(members: DataFrame, bag: DataFrame, reps: DataFrame, threshold: floa
     nodes = tagged.where("full").select("node").distinct()
     their = bag.join(nodes, "node", "left_semi").dropDuplicates(["node"])
     each = their.mapInArrow(weights, "node long, h long, w float")
-    marks = their.mapInArrow(mark, "node long, marks array<tinyint>")
+    marks = their.mapInArrow(mark, "node long, ones array<long>, all array<long>")
     own = (each.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("node"), F.min("w").alias("w"))
            .where("c = 1").groupBy("node").agg(F.sum("w").alias("own")))
     out = tagged.where("full").join(own, "node", "left")
@@ -255,9 +260,16 @@ def crowded(members: DataFrame, bag: DataFrame, reps: DataFrame, threshold: floa
     out = out.where(F.col("shared") >= (threshold - 1e-6) * (F.col("shared") + F.col("alone")))
     out = out.join(reps.select("node", "bands"), "node").join(marks, "node")
     cols = ["bucket", "no", "node", "shared", "alone"]
-    few = tagged.where("not full").select(*cols, F.lit(None).cast("array<long>").alias("bands"),
-                                            F.lit(None).cast("array<tinyint>").alias("marks"))
-    return store(few.union(out.select(*cols, "bands", "marks")), "neardup-members")
+    few = tagged.where("not full").select(*cols, *(F.lit(None).cast("array<long>").alias(c)
+                                                   for c in ("bands", "ones", "all")))
+    return store(few.union(out.select(*cols, "bands", "ones", "all")), "neardup-members")
+
+
+def lost(ones: str, every: str, other: str) -> Column:
+    """At least so much weight of a bag is not in the other: by slot, at most one shingle counts."""
+    count = lambda a: F.aggregate(F.zip_with(a, other, lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y)))),
+                                  F.lit(0), lambda n, x: n + x)
+    return IDF_FLOOR * count(every) + (1 - IDF_FLOOR) * count(ones)
 
 
 def verified(pairs: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
@@ -296,7 +308,7 @@ def link(members: DataFrame, bag: DataFrame, threshold: float) -> DataFrame | No
             state = members.withColumn("comp", F.col("node"))
         else:
             state = members.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node"))
-        state = store(state.select("bucket", "no", "node", "comp", "shared", "alone", "bands", "marks"),
+        state = store(state.select("bucket", "no", "node", "comp", "shared", "alone", "bands", "ones", "all"),
                       "neardup-state")
         sizes = state.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("size"))
         top = (sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("comps"),
@@ -309,15 +321,17 @@ def link(members: DataFrame, bag: DataFrame, threshold: float) -> DataFrame | No
         now = store(out.withColumn("rank", rank).where(F.col("rank") <= leaders)
                     .select("bucket", F.col("node").alias("lead"), F.col("comp").alias("lead_comp"),
                             F.col("shared").alias("lead_shared"), F.col("alone").alias("lead_alone"),
-                            F.col("bands").alias("lead_bands"), F.col("marks").alias("lead_marks")),
+                            *(F.col(c).alias(f"lead_{c}") for c in ("bands", "ones", "all"))),
                     "neardup-lead")
         if now.isEmpty():
             return roots
         reach = F.least("shared", "lead_shared") >= (threshold - 1e-6) * (
             F.greatest("shared", "lead_shared") + F.col("alone") + F.col("lead_alone"))
         same = F.zip_with("bands", "lead_bands", lambda x, y: x == y)
-        agree = F.size(F.filter(F.zip_with("marks", "lead_marks", lambda x, y: x == y), lambda x: x))
-        first = F.col("bands").isNull() | ((F.array_position(same, True) == F.col("no") + 1) & (agree >= AGREE))
+        total, lead_total = F.col("shared") + F.col("alone"), F.col("lead_shared") + F.col("lead_alone")
+        most = F.least(total - lost("ones", "all", "lead_all"), lead_total - lost("lead_ones", "lead_all", "all"))
+        near = most >= (threshold - 2e-6) * (total + lead_total - most)
+        first = F.col("bands").isNull() | ((F.array_position(same, True) == F.col("no") + 1) & near)
         pairs = (state.join(now, "bucket").where((F.col("comp") != F.col("lead_comp")) & reach & first)
                  .select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct())
         good = store(verified(pairs, bag, threshold), "neardup-links")

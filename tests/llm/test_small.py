@@ -298,6 +298,24 @@ def test_hot_near_copies_without_pairs(spark):
     assert all(r.class_id == r.doc_id for r in got if r.doc_id >= 300)
 
 
+def test_crowded_buckets_lose_no_pair(spark):
+    """Twelve bags in one bucket, all pairs at 75 / 115, joined at 0.6 and not at 0.7."""
+    import numpy as np
+    rng = np.random.default_rng(6)
+    draw = lambda n: rng.integers(0, (1 << 64) - 1, n, np.uint64)
+    common, bags = draw(75), []
+    for n in range(12):
+        h = np.sort(np.concatenate((common, draw(20))))
+        bags.append((n, bytearray(h.tobytes()), bytearray(np.ones(95, np.float32).tobytes())))
+    bag = spark.createDataFrame(bags, "node long, h binary, w binary")
+    reps = spark.createDataFrame([(n, [5] + [100 * n + i for i in range(15)]) for n in range(12)], "node long, bands array<long>")
+    members = spark.createDataFrame([(5, 0, n, 95.0, 0.0) for n in range(12)],
+                                    "bucket long, no int, node long, shared double, alone double")
+    link = lambda x: neardup.link(neardup.crowded(members, bag, reps, x), bag, x)
+    assert {tuple(r) for r in link(0.6).collect()} == {(n, 0) for n in range(1, 12)}
+    assert link(0.7) is None
+
+
 def test_packing(docs, rows, empty):
     out = packing.best_fit(docs, capacity=256, source_quota=2, shard_rows=40).collect()
     bins = collections.defaultdict(list)
