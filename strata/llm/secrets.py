@@ -1,7 +1,11 @@
 """Operator 2: secret scan by rules and by a randomness test battery.
 
 Rules find assignments, access keys and long hexadecimal runs. The battery
-looks at every other run of 16 or more key characters. Its encoding is the
+looks at every other run of 16 or more key characters: what the rules' spans
+leave of a stretch of key characters, split at '=' (but one or two at the end
+are pads). Where no alphabet holds a run, its longest parts within each alphabet
+are tested in its place; found parts may overlap, and masking joins them. The
+encoding of a run is the
 smallest alphabet that holds all its characters; under "symbols are independent
 and uniform over that alphabet" three tests run: chi-squared uniformity (with
 the exact mean and variance for the length), runs above/below the middle of the
@@ -53,6 +57,8 @@ ENCODINGS = {
     "base62": UPPER + LOWER + DIGITS, "base64": UPPER + LOWER + DIGITS + "+/",
     "base64url": UPPER + LOWER + DIGITS + "-_",
 }
+VALUE = re.compile(rb"[^=]+(?:={1,2}\Z)?")
+WITHIN = [re.compile(b"[" + re.escape(a.encode()) + rb"]+(?:={1,2}\Z)?") for a in ENCODINGS.values()]
 KEY_CHARS = DIGITS + LOWER + UPPER + "+/-_="
 N_SYM = len(KEY_CHARS) + 1                    # the last: any other byte
 
@@ -146,6 +152,18 @@ def _runs(mask: np.ndarray, offsets: np.ndarray, least: int) -> tuple[np.ndarray
     return starts[long], ends[long]
 
 
+def parts(run: bytes):
+    """(start, end) of what is tested in a run of key characters."""
+    for m in VALUE.finditer(run):
+        if m.end() - m.start() < MIN_RUN:
+            continue
+        if any(w.fullmatch(m.group()) for w in WITHIN):
+            yield m.span()
+        else:
+            yield from sorted({(m.start() + x.start(), m.start() + x.end()) for w in WITHIN
+                               for x in w.finditer(m.group()) if x.end() - x.start() >= MIN_RUN})
+
+
 def scan(buf: np.ndarray, offsets: np.ndarray, logq: np.ndarray):
     """(document, start, end, kind, length class, p bin) of all spans of a chunk,
     in order; byte positions are already code points."""
@@ -176,17 +194,24 @@ def scan(buf: np.ndarray, offsets: np.ndarray, logq: np.ndarray):
         at = raw.find(b"AKIA", m.end() if m else at + 1)
     for s, e in zip(*_runs(_HEX[buf], offsets, MIN_HEX)):
         add(doc_of(s), int(s), int(e), 2, None, None)
+    rules = {d: sorted((a, b) for a, b, *_ in spans) for d, spans in found.items()}
     for s, e in zip(*_runs(_SYM[buf] < N_SYM - 1, offsets, MIN_RUN)):
         d = int(doc_of(s))
-        if any(a < e and s < b for a, b, k, *_ in found.get(d, ()) if k < 3):
-            continue                       # a rule has it
-        got = battery(buf[s:e])
-        if got is None or got[1] < RANDOM_LEVEL:
-            b = -1                         # counted among the tests, never found
-        else:
-            b = text_bin(buf[s:e], len(ENCODINGS[got[0]]), logq)
-        cls = int(np.searchsorted(LENGTH_CLASSES, e - s, "right")) - 1
-        add(d, int(s), int(e), 3, cls, b)
+        left, at = [], int(s)
+        for a, b in rules.get(d, ()):          # what no rule has
+            if a < e and s < b:
+                left.append((at, a))
+                at = max(at, b)
+        for lo, hi in [*left, (at, int(e))]:
+            for a, b in parts(raw[lo:hi]):
+                run = buf[lo + a:lo + b]
+                got = battery(run)
+                if got is None or got[1] < RANDOM_LEVEL:
+                    p = -1                     # counted among the tests, never found
+                else:
+                    p = text_bin(run, len(ENCODINGS[got[0]]), logq)
+                cls = int(np.searchsorted(LENGTH_CLASSES, b - a, "right")) - 1
+                add(d, lo + a, lo + b, 3, cls, p)
     for d in sorted(found):
         lo = int(offsets[d])
         point = np.concatenate(([0], np.cumsum((buf[lo:int(offsets[d + 1])] & 0xC0) != 0x80)))

@@ -189,6 +189,25 @@ def test_secrets(spark):
     assert sum(r.n_random for r in got.values()) == 1
 
 
+GLUED = [f"aws_secret_access_key={KEY}", f"AUTH={KEY}== x", f"?sig={KEY}&n=1", f"srv/a-b/{KEY}/x_y", f"https://h.io/d_e/{KEY}-z",
+         "0a" * 12 + KEY, f"{KEY}/token=abcdefgh", f"AUTH={KEY}==={KEY[::-1]}"]
+
+
+def test_secrets_glued_to_names_paths_and_rule_spans(spark, tmp):
+    rnd = random.Random(9)
+    word = lambda: "".join(rnd.choice("bcdfghjklmnpqrstvwxyz") + rnd.choice("aeiou") for _ in range(3)).title()
+    prose = [" ".join(word() if rnd.random() < 0.8 else str(rnd.randrange(10 ** 5)) for _ in range(80)) for _ in range(400)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(GLUED + prose)], "doc_id long, text string").repartition(2)
+    got = {r.doc_id: r for r in secrets.report(docs).collect()}
+    for i, t in enumerate(GLUED):
+        assert got[i].base_sha256 == sha(brute_secrets(t))
+    assert got[0].spans == f"random:22:{22 + len(KEY)}" and got[1].spans == f"random:5:{7 + len(KEY)}"
+    assert got[2].spans == f"random:5:{5 + len(KEY)}" and got[5].spans == f"hex:0:24,random:24:{24 + len(KEY)}"
+    assert got[7].n_random == 2 and sum(got[i].n_random for i in range(len(GLUED), len(got))) == 0
+    texts = {r.doc_id: r.text for r in secrets.stage(spark, docs, tmp).collect()}
+    assert not any(KEY[4:-4] in texts[i] or KEY[::-1][4:-4] in texts[i] for i in range(len(GLUED))), texts
+
+
 def test_secret_stage_masks_only_secrets(spark, docs, rows, tmp):
     extra = spark.createDataFrame([(900 + i, t, "en", "s", 0, 0, "", 0, "") for i, t in enumerate(SECRETS)], SCHEMA)
     out = secrets.stage(spark, docs.union(extra), tmp)
