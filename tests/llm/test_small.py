@@ -241,6 +241,47 @@ def test_near_duplicates(docs, rows):
     assert sum(kept) >= 40
 
 
+def brute_classes(rows, threshold=neardup.THRESHOLD):
+    """doc_id -> least id of its component of weighted Jaccard >= threshold."""
+    from math import log
+    bags = weighted(rows)
+    df = collections.Counter(h for b in bags for h in b)
+    least, n = neardup.IDF_FLOOR, len(rows)
+    idf = {h: 1 if c <= neardup.RARE * n else least + (1 - least) * log(n / c) / log(1 / neardup.RARE) for h, c in df.items()}
+    bags = [{h: (1 + log(c)) * idf[h] for h, c in b.items()} for b in bags]
+    of = list(range(n))
+    for i, a in enumerate(bags):
+        for j in range(i):
+            both = sum(min(w, bags[j][h]) for h, w in a.items() if h in bags[j])
+            if both and both >= threshold * (sum(a.values()) + sum(bags[j].values()) - both):
+                old, new = max(of[i], of[j]), min(of[i], of[j])
+                of = [new if x == old else x for x in of]
+    return {rows[i][0]: rows[x][0] for i, x in enumerate(of)}
+
+
+@pytest.mark.parametrize("copies", [2, 40])
+def test_near_duplicates_are_the_brute_force_classes(spark, copies):
+    """Texts that repeat passages of a common base, in buckets under and over CROWD.
+    Pairs within 0.01 of the threshold may fall on either side (hashed counters)."""
+    rnd = random.Random(copies)
+    text = lambda n: ["w%d" % rnd.randrange(10 ** 6) for _ in range(n)]
+    rows = [(1000 + i, " ".join(text(40))) for i in range(100)]
+    for g in range(120 // copies):
+        base = text(100)
+        for c in range(copies):
+            m, at = rnd.randrange(15, 45) if c % 2 else 0, rnd.randrange(50)
+            w = base[:at + m] + base[at:]
+            if copies > 2:
+                w[rnd.randrange(len(w))] = "e%d" % rnd.randrange(10 ** 6)
+            rows.append((g * copies + c, " ".join(w)))
+    rows.sort()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs).collect()}
+    must, may = (brute_classes(rows, neardup.THRESHOLD + x) for x in (0.01, -0.01))
+    assert 0 < sum(must[d] != d for d in must) and sum(may[d] != d for d in may) < 120
+    assert {d: got[must[d]] for d in got} == got and {d: may[got[d]] for d in got} == may
+
+
 def test_near_duplicate_stage(spark, docs, empty, rows, tmp):
     out = neardup.stage(spark, docs, tmp)
     ids = collections.Counter(r.doc_id for r in out.collect())
