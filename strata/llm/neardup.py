@@ -17,7 +17,7 @@
 * **No pairs of a group.** Texts with equal bags collapse first. Then rounds:
   in every bucket that still holds several components the members outside its
   largest component lead, smallest component first, 4 in the first round, 16
-  in the next, and so on; each is verified against all members of
+  in the next, and so on up to 1000; each is verified against all members of
   other components, then leaves the bucket. It ends when each bucket is one
   component, or all others have led.
 * **Exact bounds.** A pair is skipped where its similarity is known to be below
@@ -62,7 +62,7 @@ SLOT_BITS = 13
 SLOTS = 1 << SLOT_BITS
 CHUNK = 2 << 20
 BASE = 0x9E3779B97F4A7C15
-LEADERS = 4
+LEADERS, MOST_LEADERS = 4, 1000     # in one round; up to 1000 Spark cuts a window's rows before the sort
 CROWD = 8
 BITS = 1 << 11
 
@@ -297,6 +297,11 @@ def verified(pairs: DataFrame, bag: DataFrame, threshold: float) -> DataFrame:
             .mapInArrow(jaccard, "a long, b long"))
 
 
+def more(leaders: int) -> int:
+    """Leaders of the next round."""
+    return min(4 * leaders, MOST_LEADERS)
+
+
 def link(members: DataFrame, bag: DataFrame, threshold: float) -> DataFrame | None:
     """node, root of all nodes whose component has a lesser node; see above for
     the rounds. ``members``: as ``crowded`` returns them."""
@@ -346,7 +351,7 @@ def link(members: DataFrame, bag: DataFrame, threshold: float) -> DataFrame | No
             if old is not None:
                 discard(spark, old)
         discard(spark, state)
-        leaders *= 4
+        leaders = more(leaders)
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:

@@ -376,6 +376,13 @@ def test_crowded_buckets_lose_no_pair(spark):
     assert link(0.7) is None
 
 
+def test_rounds_stay_under_the_window_group_limit(spark):
+    n = neardup.LEADERS
+    for _ in range(12):
+        assert n <= int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+        n = neardup.more(n)
+
+
 def test_packing(docs, rows, empty):
     out = packing.best_fit(docs, capacity=256, source_quota=2, shard_rows=40).collect()
     bins = collections.defaultdict(list)
