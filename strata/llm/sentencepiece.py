@@ -5,15 +5,16 @@ rebuilt: normaliser (identity, with the dummy prefix and white-space switches),
 metaspace marker, pieces with their scores, byte fallback. A unigram model
 becomes a ``Unigram`` model with the scores; a BPE model becomes a ``BPE`` model
 whose merges are ranked by the score of the piece they make. Texts go through
-``encode_batch`` with ``THREADS`` threads per Python worker. Parity: every text
-is also encoded by the sentencepiece library; where the two differ its ids are
-the result, and ``parity`` tells. Decoding is the tokenizers decoder chain.
+``encode_batch`` with ``THREADS`` threads per Python worker. Every text is also
+encoded by the sentencepiece library, whose ids are always the result; the
+rebuilt encoder yields ``parity`` alone, whether its ids are the same. Decoding
+is the tokenizers decoder chain.
 
 The model's path is a parameter; its bytes (a fixed file, read on the driver)
 are broadcast. Defined results: a null text has no tokens and decodes to the
 empty text; repeated rows and null ids are encoded row by row; an empty table
 gives an empty result; other columns are ignored. A character U+2581 in a text
-decodes to a space, as in SentencePiece; ``round_trip`` is false there.
+decodes to a space, as in SentencePiece.
 """
 
 from __future__ import annotations
