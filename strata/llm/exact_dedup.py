@@ -11,6 +11,8 @@ space. Only DataFrame functions are used.
   ``capacity`` entries splits on the next key bit, until none is overfull or
   the cells are reached (``MAX_DEPTH``); beyond, a bucket grows by its chains.
   Cells are at most 65,536 rows whatever the input, which bounds the broadcast.
+  The aggregate decides the groups; the directory, buckets and chains are
+  written with the entries, and no result reads them.
 * **Index files.** Owner tasks each write a range of (bucket, key) in key
   order; entries that share a key but not the bytes get chain positions.
 
