@@ -2,7 +2,8 @@
 
 A window is ``WINDOW`` consecutive words; it goes when a document with a
 smaller doc_id has the same window. Windows are too many to shuffle, so the
-De Bruijn graph of the corpus is compacted first:
+De Bruijn graph of the corpus would be too; minimiser runs stand in for its
+compacted paths, and no edge between k-mers is ever joined:
 
 * **k-mers and paths.** Of the ``WINDOW - K + 1`` k-mers in a window the least
   hash stands for it. Consecutive windows with the same k-mer occurrence are one
