@@ -3,14 +3,24 @@ express the whole result."""
 
 from __future__ import annotations
 
+import importlib.util
 import os
 
-from strata.llm import (exact_dedup, licenses, linededup, neardup, packing, quality, secrets, sentencepiece,
-                        substrings, urlfilter)
+from strata.llm import (bytebpe, exact_dedup, licenses, linededup, neardup, packing, quality, repair, secrets,
+                        sentencepiece, substrings, urlfilter, whitening)
 
 #: Folder of the public tokenizers' files.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
+
+def public_tokenizers():
+    """The module that lies beside those files: ``path`` and ``PATTERN``."""
+    spec = importlib.util.spec_from_file_location("public_tokenizers", f"{TOKENIZERS}/__init__.py")
+    module = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(module)
+    return module
+
+
 QUERIES = {}
 ORACLE_SQL = {}
 
@@ -239,3 +249,19 @@ FROM d LEFT JOIN found USING (r) GROUP BY r, doc_id
 @_query("op10_license_scan", _op10_sql())
 def op10(spark, sf_dir):
     return licenses.report(_table(spark, sf_dir, "documents")).select("doc_id", "n_licenses", "licenses")
+
+
+@_query("op11_byte_bpe")
+def op11(spark, sf_dir):
+    files = public_tokenizers()
+    return bytebpe.report(_table(spark, sf_dir, "documents"), files.path("byte_bpe_multi_50k.tiktoken"), files.PATTERN)
+
+
+@_query("op12_embedding_whitening")
+def op12(spark, sf_dir):
+    return whitening.report(_table(spark, sf_dir, "embeddings"))
+
+
+@_query("op13_conversation_repair")
+def op13(spark, sf_dir):
+    return repair.report(_table(spark, sf_dir, "conversations"))
