@@ -109,8 +109,10 @@ class ChangeLog:
         return self._commit(aligned.withColumn("_change", F.lit(UPSERT)), "WRITE", columns)
 
     def update(self, where: str, assignments: dict[str, str | Column]) -> int | None:
-        """``UPDATE t SET c = expr WHERE pred``: only rows where pred is TRUE."""
-        sets = {c: (F.expr(e) if isinstance(e, str) else e) for c, e in assignments.items()}
+        """``UPDATE t SET c = expr WHERE pred``: only rows where pred is TRUE;
+        values take the columns' types."""
+        schema = self._log().schema
+        sets = {c: (F.expr(e) if isinstance(e, str) else e).cast(schema[c].dataType) for c, e in assignments.items()}
         changed = self._current_where(where).withColumns(sets)
         return self._commit(changed.withColumn("_change", F.lit(UPSERT)), "UPDATE", self.columns)
 
@@ -118,6 +120,11 @@ class ChangeLog:
         gone = self._current_where(where)
         return self._commit(gone.withColumn("_change", F.lit(DELETE)), "DELETE", self.columns)
 
+    def delete_keys(self, keys: DataFrame) -> int | None:
+        """Delete the rows whose keys are listed (``DELETE ... WHERE k IN``)."""
+        gone = self.snapshot().join(keys.select(*self.keys), self.keys, "left_semi")
+        return self._commit(gone.withColumn("_change", F.lit(DELETE)), "DELETE", self.columns)
+
     def merge(self, source: DataFrame, delete_not_matched_by_source: bool = False) -> int | None:
         """Upsert: matched keys take the source row, new keys are inserted.
         Every source row is one log entry, so no join is needed to write;
@@ -181,7 +188,7 @@ class ChangeLog:
         """``TIMESTAMP AS OF ts``."""
         return self.snapshot(self.version_at(ts))
 
-    def changes(self, start: int, end: int | None = None) -> DataFrame:
+    def changes(self, start: int, end: int | None = None, touched_only: bool = False) -> DataFrame:
         """Change feed for versions ``(start, end]``: insert, update_preimage,
         update_postimage and delete rows with their commit version and time.
 
@@ -189,11 +196,19 @@ class ChangeLog:
         ``start`` fold into one base entry per key while they are aggregated,
         later ones stay one per (key, version); then every entry looks at the
         one before it within its key. A key has at most one entry per version
-        of the range, so no window grows with the table's history."""
+        of the range, so no window grows with the table's history.
+
+        ``touched_only`` keeps, before the shuffles, the entries of keys that
+        the range touches (a semi join that AQE broadcasts when they are few):
+        for ranges that touch a small part of a large table."""
         columns = self.columns
         vals = [c for c in columns if c not in self.keys]
         slot = F.greatest(F.col("_version"), F.lit(start)).alias("_slot")
-        per = keep_latest(self._entries(end).select("*", slot), [*self.keys, "_slot"], ["_version"])
+        entries = self._entries(end)
+        if touched_only:
+            touched = entries.filter(F.col("_version") > start).select(*self.keys).distinct()
+            entries = entries.join(touched, self.keys, "left_semi")
+        per = keep_latest(entries.select("*", slot), [*self.keys, "_slot"], ["_version"])
         before = Window.partitionBy(*self.keys).orderBy("_slot")
         state = F.struct("_change", *vals)
         now = per.withColumn("_pre", F.lag(state).over(before)).filter(F.col("_slot") > start)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.operators.rules import Rule
+from strata.session import scratch_path
+from strata.sinks.tables import materialize
 
 
 def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -115,6 +117,94 @@ def json_field_drift(df: DataFrame, column: str, expected_fields: list[str]) ->
          .when(F.col("rows_present").isNull(), "missing").otherwise("ok").alias("status"))
 
 
+def nested_types(df: DataFrame, column: str) -> DataFrame:
+    """path, kind, nodes: every path of a JSON text column with the kinds of
+    value found there, at any depth. Objects add ``.name``, arrays ``[]``; text
+    that is no JSON is the kind ``unparsable`` of the root, NULL text is left
+    out. One round per level of nesting: containers are exploded into the rows
+    of the next level, which is stored; nothing but its emptiness reaches the
+    driver."""
+    spark = df.sparkSession
+    level = df.where(F.col(column).isNotNull()).select(
+        F.lit("$").alias("path"), F.try_parse_json(F.col(column)).alias("v"))
+    described = F.schema_of_variant("v")
+    kind = (F.when(F.col("v").isNull(), "unparsable").when(F.is_variant_null("v"), "null")
+            .when(described.startswith("OBJECT"), "object").when(described.startswith("ARRAY"), "array")
+            .when(described.startswith("DECIMAL"), "decimal").otherwise(F.lower(described)))
+    counts = None
+    while True:
+        level = materialize(level.withColumn("kind", kind), scratch_path(spark, "nested-level"))
+        found = level.groupBy("path", "kind").agg(F.count(F.lit(1)).alias("nodes"))
+        counts = found if counts is None else counts.unionByName(found)
+        inner = level.where("kind IN ('object', 'array')")
+        if inner.isEmpty():
+            return counts
+        step = F.when(F.col("key").isNull(), "[]").otherwise(F.concat(F.lit("."), F.col("key")))
+        level = inner.select("path", "v").lateralJoin(spark.tvf.variant_explode(F.col("v").outer())).select(
+            F.concat("path", step).alias("path"), F.col("value").alias("v"))
+
+
+def nested_drift(df: DataFrame, column: str, expected: dict[str, str]) -> DataFrame:
+    """``nested_types`` against the expected kind of each path: ``ok``,
+    ``type_mismatch``, ``unexpected`` path, or ``missing`` (never present; no
+    kind). A JSON null fits any kind."""
+    seen = nested_types(df, column)
+    exp = df.sparkSession.createDataFrame(sorted(expected.items()), "path string, expected string")
+    status = (F.when(F.col("expected").isNull(), "unexpected").when(F.col("kind").isNull(), "missing")
+              .when(F.col("kind").isin("null") | (F.col("kind") == F.col("expected")), "ok").otherwise("type_mismatch"))
+    return seen.join(exp, "path", "full_outer").select(
+        "path", "kind", F.coalesce("nodes", F.lit(0)).cast("bigint").alias("nodes"), status.alias("status"))
+
+
+def minimal_dependencies(df: DataFrame, columns: list[str], max_lhs: int = 3) -> list[tuple[tuple[str, ...], str]]:
+    """All minimal functional dependencies ``X -> a`` with at most ``max_lhs``
+    columns on the left (NULL counts as a value), by a level-wise search.
+
+    ``X -> a`` holds when X and X + a have as many distinct values. A level
+    counts the distinct values of all its column sets in one pass: every row
+    sends a 128-bit digest per set, repeated ones collapse before the shuffle.
+    Sets that contain a smaller dependency's left side for the same column are
+    pruned, and so is everything above a key. Each dependency found by digests
+    is then confirmed by grouping on its columns themselves."""
+    from itertools import combinations
+
+    size: dict[tuple[str, ...], int] = {}
+
+    def count(sets):
+        sets = [s for s in sets if s not in size]
+        if not sets:
+            return
+        # one row per set comes back
+        digest = lambda s: F.struct(F.xxhash64(*map(_cell, s)), F.xxhash64(F.lit(1), *map(_cell, s)))
+        each = F.array(*[F.struct(F.lit(i).alias("set"), digest(s).alias("d")) for i, s in enumerate(sets)])
+        for r in (df.select(F.explode(each).alias("x")).select("x.*").distinct()
+                  .groupBy("set").agg(F.count(F.lit(1)).alias("n")).collect()):
+            size[sets[r["set"]]] = r["n"]
+
+    found: list[tuple[tuple[str, ...], str]] = []
+    total, keys = df.count(), []
+    join = lambda s, a: tuple(c for c in columns if c in s or c == a)
+    for level in range(0, max_lhs + 1):
+        lefts = [s for s in combinations(columns, level) if not any(set(k) <= set(s) for k in keys)]
+        tests = [(s, a) for s in lefts for a in columns if a not in s
+                 and not any(b == a and set(x) <= set(s) for x, b in found)]
+        if not tests:
+            break
+        count([s for s in lefts if s] + [join(s, a) for s, a in tests])
+        of = lambda s: size.get(s, min(1, total)) if s else min(1, total)
+        for s, a in tests:
+            if of(s) == of(join(s, a)) and (not s or fd_violations(df, list(s), [a]).isEmpty()):
+                found.append((s, a))
+        # a set whose values are all distinct determines every column
+        keys += [s for s in lefts if s and size[s] == total]
+    return found
+
+
+def _cell(c: str):
+    """A value that tells NULL from every other value, as text."""
+    return F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null"))
+
+
 def fd_violations(df: DataFrame, lhs: list[str], rhs: list[str]) -> DataFrame:
     """Functional dependency ``lhs -> rhs`` violations: lhs values that map to
     more than one rhs value (NULL counts as a value)."""

@@ -17,6 +17,7 @@ from strata.functions.events import activity_tier, event_derivations, ip_rule_sq
 from strata.operators.dedup import keep_first_seen, keep_latest
 from strata.operators.rules import (apply_rules, expect, expect_or_drop, expect_or_fail,
                                     rule_metrics)
+from strata.operators.skew import join_hot
 from strata.plans.registry import query
 from strata.session import scratch_path
 from strata.sinks.tables import materialize
@@ -436,3 +437,29 @@ FROM silver s LEFT JOIN customer c ON s.user_id = c.c_custkey
 def q_events_with_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, silver = pipeline(spark, sf_dir)
     return events_with_profile(silver, read_table(spark, sf_dir, "customer"))
+
+
+# A third of the events go to one user, some others to a user without a profile.
+_HOT_SQL = """
+, hot AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 1 WHEN event_id % 50 = 7 THEN -1 ELSE user_id END AS user_id,
+                 event_type, event_value, event_date FROM silver)
+"""
+
+
+def hot_user_events(silver: DataFrame) -> DataFrame:
+    eid = F.col("event_id")
+    return silver.select("event_id", F.when(eid % 3 == 0, 1).when(eid % 50 == 7, -1).otherwise(F.col("user_id"))
+                         .cast("bigint").alias("user_id"), "event_type", "event_value", "event_date")
+
+
+@query("events_with_profile_hot", SILVER_CTES + _HOT_SQL + """
+SELECT s.event_id, s.user_id, s.event_type, s.event_value, s.event_date, c.c_name AS user_name, c.c_mktsegment AS segment
+FROM hot s LEFT JOIN customer c ON s.user_id = c.c_custkey
+""")
+def q_events_with_profile_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enrichment where one user has a third of the events: hot keys found by a
+    sketch, their events joined where they are."""
+    _, _, silver = pipeline(spark, sf_dir, materialize_silver=True)
+    dim = read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_name").alias("user_name"), F.col("c_mktsegment").alias("segment"))
+    return join_hot(hot_user_events(silver), dim, "user_id")

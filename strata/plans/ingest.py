@@ -124,6 +124,29 @@ def q_rescued_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         *CUSTOMER_SCHEMA.fieldNames(), F.to_json(RESCUED).alias("rescued"), (~bad).alias("type_valid"))
 
 
+@query("quoted_rows", """
+SELECT c_custkey, c_name || chr(10) || 'says "hi", twice' || chr(10) || CASE WHEN c_custkey % 3 = 0 THEN chr(10) || ',' ELSE '' END
+         AS c_name,
+       CASE WHEN c_custkey % 41 = 0 THEN NULL ELSE c_nationkey END AS c_nationkey, c_acctbal, c_mktsegment,
+       CASE WHEN c_custkey % 41 = 0 THEN '{"c_nationkey":"n' || chr(92) || 'n' || CAST(c_nationkey AS VARCHAR) || '"}' END AS rescued
+FROM customer
+""")
+def q_quoted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV fields with line breaks, quotes and separators, among them one that
+    does not fit its type, through the incremental load."""
+    root = scratch_path(spark, "quoted")
+    key = F.col("c_custkey")
+    name = F.concat("c_name", F.lit('\nsays "hi", twice\n'), F.when(key % 3 == 0, "\n,").otherwise(""))
+    nation = F.when(key % 41 == 0, F.concat(F.lit("n\n"), F.col("c_nationkey").cast("string"))).otherwise(
+        F.col("c_nationkey").cast("string"))
+    faulty = read_table(spark, sf_dir, "customer").select(
+        key, name.alias("c_name"), nation.alias("c_nationkey"), "c_acctbal", "c_mktsegment")
+    export_landing(faulty, f"{root}/landing", "csv", header=True, escape='"')
+    copy_into(spark, f"{root}/landing", f"{root}/table", f"{root}/_checkpoint", "csv", CUSTOMER_SCHEMA, {"multiLine": True})
+    return read_loaded(spark, f"{root}/table").select(
+        *CUSTOMER_SCHEMA.fieldNames(), F.to_json(RESCUED).alias("rescued"))
+
+
 @query("inferred_load", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, TRUE AS typed FROM customer
 """)

@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strata.operators.quantiles import exact_quantiles
 from strata.plans.registry import query
+from strata.session import scratch_path
+from strata.sinks.tables import materialize
 from strata.sources.tables import read_table
 
 # Fixed values of the KPI definitions.
@@ -331,3 +334,74 @@ def q_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("month", "active_customers", "retained_customers", "prev_active_customers",
                     (F.col("retained_customers").cast("double") / F.col("prev_active_customers"))
                     .alias("retention_rate")))
+
+
+@query("exact_percentiles", """
+SELECT l_returnflag, l_linestatus, COUNT(l_extendedprice) AS n,
+       quantile_disc(l_extendedprice, 0.05) AS p05, quantile_disc(l_extendedprice, 0.5) AS median,
+       quantile_disc(l_extendedprice, 0.95) AS p95, quantile_disc(l_extendedprice, 0.99) AS p99
+FROM lineitem GROUP BY l_returnflag, l_linestatus
+""")
+def q_exact_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact price percentiles of a few very large groups."""
+    return exact_quantiles(read_table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice",
+                           {"p05": "0.05", "median": "0.5", "p95": "0.95", "p99": "0.99"})
+
+
+def cohort_bitmaps(orders: DataFrame) -> DataFrame:
+    """cohort, month, bucket, customers: one bitmap of 32,768 customer numbers
+    per cohort (month of the first order), month and bucket. Customers are
+    distinct within a bitmap, so counts can be taken over any union of months."""
+    per = orders.select("o_custkey", F.trunc("o_orderdate", "month").alias("month")).where("o_custkey is not null").groupBy(
+        "o_custkey").agg(F.min("month").alias("cohort"), F.collect_set("month").alias("months"))
+    active = per.select("o_custkey", "cohort", F.explode("months").alias("month"))
+    return active.groupBy("cohort", "month", F.bitmap_bucket_number("o_custkey").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("o_custkey")).alias("customers"))
+
+
+def union_count(bitmaps: DataFrame, *keys: Column) -> DataFrame:
+    """Distinct customers per ``keys`` over the union of their bitmaps."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    merged = bitmaps.groupBy(*[k.alias(n) for k, n in zip(keys, names)], "bucket").agg(
+        F.bitmap_or_agg("customers").alias("customers"))
+    return merged.groupBy(*names).agg(F.sum(F.bitmap_count("customers")).alias("customers"))
+
+
+def stored_cohorts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(cohort_bitmaps(read_table(spark, sf_dir, "orders")), scratch_path(spark, "cohorts"))
+
+
+_COHORT_SQL = """
+WITH a AS (SELECT DISTINCT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders
+           WHERE o_custkey IS NOT NULL),
+f AS (SELECT o_custkey, min(month) AS cohort FROM a GROUP BY 1),
+x AS (SELECT a.o_custkey, cohort, month FROM a JOIN f USING (o_custkey))
+"""
+
+
+@query("cohort_retention", _COHORT_SQL + """
+SELECT cohort, CAST(date_diff('month', cohort, month) AS INTEGER) AS months_after, COUNT(DISTINCT o_custkey) AS customers,
+       COUNT(DISTINCT o_custkey) / CAST((SELECT COUNT(*) FROM f WHERE f.cohort = x.cohort) AS DOUBLE) AS retention
+FROM x GROUP BY cohort, month
+""")
+def q_cohort_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cohort x month matrix: customers of a cohort who ordered so many months
+    after their first order, and their share of the cohort."""
+    n = union_count(stored_cohorts(spark, sf_dir), F.col("cohort"), F.col("month")).select(
+        F.col("_k0").alias("cohort"), F.round(F.months_between("_k1", "_k0")).cast("int").alias("months_after"), "customers")
+    size = n.where("months_after = 0").select("cohort", F.col("customers").alias("size"))
+    return n.join(size, "cohort").select("cohort", "months_after", "customers",
+                                         (F.col("customers") / F.col("size").cast("double")).alias("retention"))
+
+
+@query("cohort_quarters", _COHORT_SQL + """
+SELECT CAST(year(cohort) AS INTEGER) AS cohort_year, CAST(date_trunc('quarter', month) AS DATE) AS quarter,
+       COUNT(DISTINCT o_custkey) AS customers
+FROM x GROUP BY ALL
+""")
+def q_cohort_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same bitmaps rolled up to cohort years and quarters: a customer who
+    ordered in several months of a quarter counts once, which sums of the
+    monthly counts could not give."""
+    return union_count(stored_cohorts(spark, sf_dir), F.year("cohort"), F.trunc("month", "quarter")).select(
+        F.col("_k0").alias("cohort_year"), F.col("_k1").alias("quarter"), "customers")

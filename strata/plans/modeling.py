@@ -3,8 +3,8 @@
 A flat order sheet (line x order x customer x part) is split into
 Customers / Orders / Products / OrderItems by projection + distinct, written
 to the shared folder, and joined back. Surrogate keys are ``xxhash64`` of
-the natural key: computed per row, no global ordering (a ``dense_rank``
-key would need a single-partition window over the whole dimension).
+the natural key, computed per row, or dense numbers (``dense_keys``); neither
+needs the single-partition window of a ``dense_rank``.
 """
 
 from __future__ import annotations
@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.quality import fd_violations
+from strata.operators.quality import fd_violations, minimal_dependencies
+from strata.operators.surrogates import dense_keys
 from strata.plans.kpi import geo, money, net_amount
 from strata.plans.registry import query
 from strata.session import scratch_path
+from strata.sinks.tables import materialize
 from strata.sources.tables import read_table
 
 ENTITIES = {
@@ -301,3 +303,78 @@ def q_star_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(dim_d.select(F.col("sk").alias("date_sk"), F.col("year").alias("sale_year")), "date_sk"))
     return star.groupBy("c_mktsegment", "p_brand", "sale_year").agg(
         money(F.sum("revenue")).alias("revenue"), F.count(F.lit(1)).alias("sales"))
+
+
+@query("dense_surrogate_keys", """
+WITH o AS (SELECT c.c_nationkey, c.c_mktsegment, o.o_orderpriority, o.o_orderkey,
+                  CASE WHEN o.o_orderdate < TIMESTAMP '1998-01-01' THEN 0 ELSE 1 END AS load_no
+           FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+k AS (SELECT c_nationkey, c_mktsegment, o_orderpriority, min(load_no) AS load_no FROM o GROUP BY ALL)
+SELECT load_no, COUNT(*) AS members, COUNT(*) AS numbers,
+       CASE WHEN load_no = 0 THEN 1 ELSE 1 + (SELECT COUNT(*) FROM k WHERE load_no = 0) END AS first_number,
+       CASE WHEN load_no = 0 THEN COUNT(*) ELSE (SELECT COUNT(*) FROM k) END AS last_number,
+       (SELECT COUNT(*) FROM o JOIN k USING (c_nationkey, c_mktsegment, o_orderpriority) WHERE k.load_no = x.load_no) AS facts
+FROM k x GROUP BY load_no
+""")
+def q_dense_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of a three-column natural key over two loads: dense, unique,
+    unchanged for the members of the first load; facts find them by lookup."""
+    key = ["c_nationkey", "c_mktsegment", "o_orderpriority"]
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    rows = o.join(c, F.col("o_custkey") == F.col("c_custkey"))
+    before = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    first = dense_keys(rows.where(before), key, "member")
+    every = dense_keys(rows.where(~before), key, "member", first)
+    load = F.when(F.col("old.member").isNotNull(), 0).otherwise(1).alias("load_no")
+    members = every.alias("e").join(first.alias("old"), (F.col("e.member") == F.col("old.member")) & _same_key(key, "e", "old"),
+                                    "left").select("e.*", load)
+    facts = rows.alias("r").join(members.alias("e"), _same_key(key, "r", "e")).groupBy("load_no").agg(
+        F.count(F.lit(1)).alias("facts"))
+    return members.groupBy("load_no").agg(
+        F.count(F.lit(1)).alias("members"), F.count_distinct("member").alias("numbers"), F.min("member").alias("first_number"),
+        F.max("member").alias("last_number")).join(facts, "load_no")
+
+
+def _same_key(key: list[str], a: str, b: str):
+    on = F.lit(True)
+    for k in key:
+        on = on & F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}"))
+    return on
+
+
+DEPENDENCY_COLUMNS = ["o_orderkey", "l_linenumber", "o_custkey", "o_orderdate", "o_orderpriority", "c_mktsegment"]
+
+
+def _dependency_sql() -> str:
+    """Every candidate with at most two columns on the left, by counting; minimal
+    ones are those without a smaller one."""
+    from itertools import combinations
+
+    cols, parts = DEPENDENCY_COLUMNS, []
+    text = lambda c: f"coalesce('=' || CAST({c} AS VARCHAR), 'null')"
+    for n in range(3):
+        for left in combinations(cols, n):
+            for a in cols:
+                if a not in left:
+                    group = "GROUP BY " + ", ".join(left) if left else ""
+                    parts.append(f"SELECT {list(left)}::VARCHAR[] AS lhs, '{a}' AS rhs WHERE NOT EXISTS (SELECT 1 FROM flat {group} "
+                                 f"HAVING count(DISTINCT {text(a)}) > 1)")
+    return ("WITH flat AS (SELECT o_orderkey, l_linenumber, o_custkey, o_orderdate, o_orderpriority, c_mktsegment "
+            "FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey), "
+            "fd AS (" + " UNION ALL ".join(parts) + ") "
+            "SELECT array_to_string(lhs, ',') AS lhs, rhs FROM fd x WHERE NOT EXISTS (SELECT 1 FROM fd y "
+            "WHERE y.rhs = x.rhs AND len(y.lhs) < len(x.lhs) AND list_has_all(x.lhs, y.lhs))")
+
+
+@query("find_dependencies", _dependency_sql())
+def q_find_dependencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All minimal dependencies with up to two columns on the left in the flat
+    order sheet, found by the level-wise search."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    flat = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey"))
+    flat = materialize(flat.select(*DEPENDENCY_COLUMNS), scratch_path(spark, "flat-orders"))
+    found = minimal_dependencies(flat, DEPENDENCY_COLUMNS, max_lhs=2)
+    return spark.createDataFrame([(",".join(lhs), rhs) for lhs, rhs in found], "lhs string, rhs string")

@@ -9,7 +9,7 @@ from strata.functions.clean import (age_in_years, cast_columns, clean_text, fill
                                     standardise_column_names)
 from strata.functions.events import ip_rule_sql
 from strata.operators.dedup import distinct_rows
-from strata.operators.quality import (duplicate_keys, json_field_drift, null_profile,
+from strata.operators.quality import (duplicate_keys, json_field_drift, nested_drift, null_profile,
                                       orphan_summary, quarantine, reconcile_counts)
 from strata.operators.rules import Rule
 from strata.plans.events import IP_OK_SQL
@@ -240,3 +240,36 @@ FROM seen s FULL OUTER JOIN exp e ON s.field = e.field
 def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drift of the semi-structured ``props`` payload against its contract."""
     return json_field_drift(read_table(spark, sf_dir, "events"), "props", EXPECTED_PROPS_FIELDS)
+
+
+# Nested variants of the events' JSON column: a plain object, one with an object
+# and an array of mixed kinds, one whose field has another kind.
+_NESTED_SQL = """
+WITH e AS (SELECT event_id % 4 AS v, COUNT(*) AS n FROM events GROUP BY 1),
+c AS (SELECT coalesce(sum(n) FILTER (v = 0), 0) AS a, coalesce(sum(n) FILTER (v = 1), 0) AS b,
+             coalesce(sum(n) FILTER (v = 2), 0) AS c, coalesce(sum(n) FILTER (v = 3), 0) AS d FROM e)
+SELECT path, kind, CAST(nodes AS BIGINT) AS nodes, status FROM (
+  SELECT '$' AS path, 'object' AS kind, a + b + c AS nodes, 'ok' AS status FROM c
+  UNION ALL SELECT '$', 'unparsable', d, 'type_mismatch' FROM c
+  UNION ALL SELECT '$.k', 'bigint', a + b, 'ok' FROM c
+  UNION ALL SELECT '$.k', 'string', c, 'type_mismatch' FROM c
+  UNION ALL SELECT '$.ctx', 'object', b, 'ok' FROM c
+  UNION ALL SELECT '$.ctx.tags', 'array', b, 'ok' FROM c
+  UNION ALL SELECT '$.ctx.tags[]', 'bigint', b, 'type_mismatch' FROM c
+  UNION ALL SELECT '$.ctx.tags[]', 'string', b, 'ok' FROM c
+  UNION ALL SELECT '$.ctx.tags[]', 'null', b, 'ok' FROM c
+  UNION ALL SELECT '$.ctx.tags[]', 'object', b, 'type_mismatch' FROM c
+  UNION ALL SELECT '$.ctx.tags[].x', 'decimal', b, 'unexpected' FROM c
+  UNION ALL SELECT '$.gone', NULL, 0, 'missing' FROM c)
+"""
+
+
+@query("nested_schema_drift", _NESTED_SQL)
+def q_nested_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read_table(spark, sf_dir, "events").select("event_id", "props")
+    kind = F.col("event_id") % 4
+    body = F.regexp_extract("props", r"^\{(.*)\}$", 1)
+    nested = F.concat(F.lit("{"), body, F.lit(', "ctx": {"tags": [1, "a", null, {"x": 1.5}]}}'))
+    text = F.when(kind == 0, F.col("props")).when(kind == 1, nested).when(kind == 2, '{"k": "nine"}').otherwise("{broken")
+    return nested_drift(e.select(text.alias("props")), "props", {
+        "$": "object", "$.k": "bigint", "$.ctx": "object", "$.ctx.tags": "array", "$.ctx.tags[]": "string", "$.gone": "string"})

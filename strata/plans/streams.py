@@ -108,17 +108,53 @@ def q_stream_dedup_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/silver").select(*SILVER_COLUMNS)
 
 
-@query("stream_gold_approx", FIRST_SEEN_CTES + """
+@query("stream_dedup_horizon", FIRST_SEEN_CTES.replace(
+    "silver AS (SELECT * FROM derived WHERE event_timestamp IS NOT NULL)", "silver AS (SELECT * FROM derived)")
+       + SILVER_ROWS_SQL)
+def q_stream_dedup_horizon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bounded first-seen dedup over all rows, also those without event time:
+    ids are kept for a week after their arrival, and all drops arrive within."""
+    root = scratch_path(spark, "stream-horizon")
+
+    def run():
+        landed = flows.read_landing(spark, f"{root}/landing/*", arrival=True)
+        flows.start(flows.silver_stream(flows.bronze_stream(landed, ev.check_clock()), drop_rules=False, horizon="7 days"),
+                    f"{root}/_ckpt", f"{root}/silver").awaitTermination()
+
+    in_drops(spark, sf_dir, root, run)
+    return spark.read.parquet(f"{root}/silver").select(*SILVER_COLUMNS)
+
+
+GOLD_WITHIN_ERROR_SQL = """
 SELECT event_date, event_type, is_weekend, COUNT(*) AS event_count,
        CAST(SUM(CAST(event_value AS DECIMAL(18,2))) AS DOUBLE) AS total_value,
        CAST(SUM(CAST(event_value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(event_value) AS avg_value,
        TRUE AS users_within_error, TRUE AS p95_within_error
 FROM silver GROUP BY event_date, event_type, is_weekend
-""")
+"""
+
+
+def within_error(g: DataFrame, silver: DataFrame, users: float) -> DataFrame:
+    """Approximate columns against exact ones over the same Silver: distinct
+    users within ``users`` (relative) or two users, the percentile's rank within
+    one percent."""
+    v, p95 = F.col("event_value"), F.col("p95_value")
+    n = F.greatest(F.count(v), F.lit(1))
+    seen = (silver.join(g.select(*ev.GOLD_KEYS, "p95_value"), ev.GOLD_KEYS)
+            .groupBy(*ev.GOLD_KEYS).agg(
+                F.count_distinct("user_id").alias("users"), F.count(v).alias("values"),
+                (F.count_if(v <= p95) / n).alias("upto"), (F.count_if(v < p95) / n).alias("below")))
+    off = F.abs(F.col("unique_users") - F.col("users"))
+    return g.join(seen, ev.GOLD_KEYS).select(
+        *ev.GOLD_KEYS, "event_count", "total_value", "avg_value",
+        ((off <= 2) | (off <= users * F.col("users"))).alias("users_within_error"),
+        ((F.col("values") == 0) | ((F.col("upto") >= 0.94) & (F.col("below") <= 0.96))).alias("p95_within_error"))
+
+
+@query("stream_gold_approx", FIRST_SEEN_CTES + GOLD_WITHIN_ERROR_SQL)
 def q_stream_gold_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Complete-mode gold of the stream. Its approximate columns are compared
-    with exact ones over the same Silver: distinct users within four standard
-    deviations (20 %) or two users, the percentile's rank within one percent."""
+    """Complete-mode gold of the stream; users within four standard deviations
+    of the sketch (20 %)."""
     root = scratch_path(spark, "stream-gold-approx")
     silver_path = f"{root}/silver"
 
@@ -130,31 +166,60 @@ def q_stream_gold_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
                     foreach_batch=flows.versioned_sink(f"{root}/gold")).awaitTermination()
 
     in_drops(spark, sf_dir, root, run)
-    g = flows.read_published(spark, f"{root}/gold")
-    v, p95 = F.col("event_value"), F.col("p95_value")
-    n = F.greatest(F.count(v), F.lit(1))
-    seen = (spark.read.parquet(silver_path).join(g.select(*ev.GOLD_KEYS, "p95_value"), ev.GOLD_KEYS)
-            .groupBy(*ev.GOLD_KEYS).agg(
-                F.count_distinct("user_id").alias("users"), F.count(v).alias("values"),
-                (F.count_if(v <= p95) / n).alias("upto"), (F.count_if(v < p95) / n).alias("below")))
+    return within_error(flows.read_published(spark, f"{root}/gold"), spark.read.parquet(silver_path), 0.2)
+
+
+def run_sketches(spark: SparkSession, sf_dir: str, tag: str) -> str:
+    """First-seen Silver stream, then a second stream over the stored Silver
+    that merges each batch into the stored sketches; drop by drop."""
+    root = scratch_path(spark, tag)
+    silver_path = f"{root}/silver"
+
+    def run():
+        flows.start(flows.silver_stream(bronze_source(spark, root)), f"{root}/_ckpt_silver",
+                    silver_path).awaitTermination()
+        stored = spark.readStream.schema(spark.read.parquet(silver_path).schema).parquet(silver_path)
+        flows.start(stored, f"{root}/_ckpt", foreach_batch=flows.gold_sketch_sink(spark, f"{root}/gold")).awaitTermination()
+
+    in_drops(spark, sf_dir, root, run)
+    return root
+
+
+@query("stream_gold_sketches", FIRST_SEEN_CTES + GOLD_WITHIN_ERROR_SQL)
+def q_stream_gold_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold from mergeable sketches: counts and sums exact, users within four
+    standard deviations (7 %), the percentile's rank within one percent."""
+    root = run_sketches(spark, sf_dir, "stream-sketches")
+    return within_error(flows.read_sketch_gold(spark, f"{root}/gold"), spark.read.parquet(f"{root}/silver"), 0.07)
+
+
+@query("stream_gold_sketch_rollup", FIRST_SEEN_CTES + """
+SELECT event_date, COUNT(*) AS event_count,
+       CAST(SUM(CAST(event_value AS DECIMAL(18,2))) AS DOUBLE) AS total_value, TRUE AS users_within_error
+FROM silver GROUP BY event_date
+""")
+def q_stream_sketch_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users of whole days by merging the stored sketches of their
+    types; distinct counts themselves could not be added."""
+    root = run_sketches(spark, sf_dir, "stream-rollup")
+    users = spark.read.parquet(f"{root}/silver").groupBy("event_date").agg(F.count_distinct("user_id").alias("users"))
     off = F.abs(F.col("unique_users") - F.col("users"))
-    return g.join(seen, ev.GOLD_KEYS).select(
-        *ev.GOLD_KEYS, "event_count", "total_value", "avg_value",
-        ((off <= 2) | (off <= 0.2 * F.col("users"))).alias("users_within_error"),
-        ((F.col("values") == 0) | ((F.col("upto") >= 0.94) & (F.col("below") <= 0.96))).alias("p95_within_error"))
+    return flows.read_sketch_gold(spark, f"{root}/gold", ["event_date"]).join(users, "event_date").select(
+        "event_date", "event_count", "total_value", ((off <= 2) | (off <= 0.07 * F.col("users"))).alias("users_within_error"))
 
 
 def run_exact(spark: SparkSession, sf_dir: str, tag: str) -> str:
-    """Bronze stream, then a second stream over the Bronze table that keeps
-    the exact gold tables of the touched days up to date; drop by drop."""
+    """Bronze stream, then a second stream over the Bronze table whose keyed
+    state finds the touched days and whose sink keeps their exact gold tables
+    up to date; drop by drop."""
     root = scratch_path(spark, tag)
     bronze = f"{root}/bronze"
 
     def run():
         flows.start(bronze_source(spark, root), f"{root}/_ckpt_bronze", bronze).awaitTermination()
         src = spark.readStream.schema(spark.read.parquet(bronze).schema).parquet(bronze)
-        flows.start(src, f"{root}/_ckpt_gold",
-                    foreach_batch=flows.gold_exact_incremental(spark, f"{root}/exact")).awaitTermination()
+        flows.start(flows.latest_with_days(src), f"{root}/_ckpt_gold", mode="update",
+                    foreach_batch=flows.gold_exact_sink(spark, f"{root}/exact")).awaitTermination()
 
     in_drops(spark, sf_dir, root, run)
     return f"{root}/exact"

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from strata.operators.changelog import ChangeLog
 from strata.plans.registry import query
 from strata.session import scratch_path
+from strata.sinks.tables import materialize
+from strata.sinks.views import AggregateView
 from strata.sources.tables import read_table
 
 BASE_TIME = dt.datetime(2024, 3, 1)
@@ -167,3 +169,53 @@ def q_history_non_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = build_customer_log(spark, sf_dir).path
     return ChangeLog(spark, path, ["c_custkey"]).history().filter("operation <> 'WRITE'").select(
         "version", "operation")
+
+
+# ---------------------------------------------------------------- views
+
+_VIEW_STEP = """
+SELECT {v} AS version, c_mktsegment, COUNT(*) AS n_rows, COUNT(balance) AS n_balance,
+       CAST(SUM(balance) AS DOUBLE) AS sum_balance, CAST(MIN(balance) AS DOUBLE) AS min_balance,
+       CAST(MAX(balance) AS DOUBLE) AS max_balance, CAST(SUM(balance) AS DOUBLE) / COUNT(balance) AS avg_balance
+FROM (SELECT *, CAST(c_acctbal AS DECIMAL(18,2)) AS balance FROM {t} WHERE c_nationkey < 20)
+GROUP BY c_mktsegment"""
+
+VIEW_STEPS_SQL = VERSIONS_SQL.rstrip() + """,
+v4 AS (SELECT * FROM v3 WHERE NOT (c_custkey IN (
+         SELECT c_custkey FROM v3 QUALIFY row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_acctbal DESC, c_custkey) = 1))),
+v5 AS (SELECT c_custkey, c_name, c_nationkey,
+              CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal, c_mktsegment FROM v4)
+"""
+
+
+@query("materialized_view_incremental", VIEW_STEPS_SQL + " UNION ALL ".join(
+    _VIEW_STEP.format(v=v, t=f"v{v}") for v in range(6)))
+def q_materialized_view_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An aggregate view refreshed from the change feed after every commit:
+    inserts, updates that move rows between groups, deletes, deletes of every
+    group's greatest row, and updates to NULL; equal to the recomputed view."""
+    cust = read_table(spark, sf_dir, "customer").select(*COLUMNS)
+    log = ChangeLog(spark, scratch_path(spark, "view-log"), ["c_custkey"], commit_clock)
+    view = AggregateView(log, scratch_path(spark, "aggregate-view"), ["c_mktsegment"],
+                         {"balance": "CAST(c_acctbal AS DECIMAL(18,2))"}, "c_nationkey < 20")
+    best = lambda: (log.snapshot().groupBy("c_mktsegment").agg(
+        F.max_by("c_custkey", F.struct("c_acctbal", -F.col("c_custkey"))).alias("c_custkey")).select("c_custkey"))
+    steps = [
+        lambda: log.create(cust.filter(F.col("c_mktsegment") != "MACHINERY")),
+        lambda: log.insert(cust.filter(F.col("c_mktsegment") == "MACHINERY")),
+        lambda: log.update("c_acctbal > 9000", {"c_mktsegment": "concat('SENIOR ', c_mktsegment)"}),
+        lambda: log.delete("c_acctbal < 0"),
+        lambda: log.delete_keys(best()),
+        lambda: log.update("c_custkey % 7 = 0", {"c_acctbal": F.lit(None).cast("double")}),
+    ]
+    seen = []
+    for v, step in enumerate(steps):
+        step()
+        view.refresh()
+        stored = materialize(view.read(), scratch_path(spark, "view-step"))
+        seen.append(stored.select(F.lit(v).alias("version"), "c_mktsegment", "n_rows", "n_balance", *[
+            F.col(f"{x}_balance").cast("double").alias(f"{x}_balance") for x in ("sum", "min", "max", "avg")]))
+    out = seen[0]
+    for df in seen[1:]:
+        out = out.unionByName(df)
+    return out

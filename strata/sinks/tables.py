@@ -161,7 +161,8 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
+def published_versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions that ``path`` holds, in order."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
@@ -169,12 +170,13 @@ def _versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n[2:]) for n in names if n.startswith("v="))
 
 
-def publish(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
+def publish(df: DataFrame, path: str, keep: int = 2, version: int | None = None) -> DataFrame:
     """Replace a stored table or materialized view as a whole. The new contents
     (with any fail rules in their plan) are written beside the old ones and
     published by one rename to ``path/v=<n>``; readers take the greatest ``n``.
     A failing rule or write leaves the old contents in place. The last ``keep``
-    versions stay, so readers of the one before can finish."""
+    versions stay, so readers of the one before can finish. ``version`` names
+    the new one (it must exceed those there); by default it is the next number."""
     spark = df.sparkSession
     staged = f"{path}/_staged-{uuid.uuid4().hex}"
     fs, src = _fs(spark, staged)
@@ -183,10 +185,10 @@ def publish(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
     except Exception:
         fs.delete(src, True)
         raise
-    have = _versions(spark, path)
-    n = have[-1] + 1 if have else 0
+    have = published_versions(spark, path)
+    n = version if version is not None else have[-1] + 1 if have else 0
     _, dst = _fs(spark, f"{path}/v={n}")
-    if fs.exists(dst) or not fs.rename(src, dst):
+    if (have and n <= have[-1]) or fs.exists(dst) or not fs.rename(src, dst):
         raise RuntimeError(f"version {n} of {path} was published by someone else")
     for old in [*have, n][:-keep]:
         fs.delete(_fs(spark, f"{path}/v={old}")[1], True)
@@ -195,7 +197,7 @@ def publish(df: DataFrame, path: str, keep: int = 2) -> DataFrame:
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
     """The published contents of ``path``."""
-    have = _versions(spark, path)
+    have = published_versions(spark, path)
     if not have:
         raise FileNotFoundError(f"nothing published at {path}")
     return spark.read.parquet(f"{path}/v={have[-1]}")

@@ -7,10 +7,13 @@ inference pass scans the data first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strata.session import scratch_path
+from strata.sinks.tables import materialize
+
 RESCUED = "_rescued_data"
 CORRUPT = "_corrupt_record"
 
@@ -104,13 +107,58 @@ def json_records(raw: DataFrame, multi_line: bool = False) -> DataFrame:
     return raw.select("value", F.from_json("value", "map<string,string>").alias("rec"))
 
 
+def quoted_records(raw: DataFrame, quote: str = '"', max_lines: int = 10_000) -> DataFrame:
+    """``value`` (a line), ``file``, ``start`` (offset of the split) -> the same
+    with whole records as values: lines between which a quote is open belong
+    together. Doubled quotes cancel out, so a line keeps a quote open if it has an
+    odd number of them.
+
+    No file is read in one task: every split counts its quotes, a prefix sum of
+    these parities over a file's splits (one row each) tells each split whether
+    it starts inside a field, and so its lines can be cut by themselves. Lines at
+    the start of a split that go on with a record join the last record begun in
+    the splits before. A record of more than ``max_lines`` lines, which a quote
+    that is never closed makes of the rest of a file, fails the read and names
+    the file."""
+    # numbered once: every pass below must see the same order
+    lines = materialize(raw.select("value", "file", "start", F.monotonically_increasing_id().alias("at")),
+                        scratch_path(raw.sparkSession, "csv-lines"))
+    lines = lines.withColumn("odd", F.pmod(F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit(""))), F.lit(2)))
+    before = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    splits = lines.groupBy("file", "start").agg(F.sum("odd").alias("odd"))
+    splits = splits.select("file", "start", before("odd", Window.partitionBy("file").orderBy("start")).alias("carried"))
+    # a split's lines: at most spark.sql.files.maxPartitionBytes of text
+    split = Window.partitionBy("file", "start").orderBy("at")
+    lines = lines.join(splits, ["file", "start"]).withColumn("open", F.pmod(F.col("carried") + before("odd", split), F.lit(2)))
+    place = F.struct("start", "at")
+    lines = lines.withColumn("begun", F.max(F.when(F.col("open") == 0, place)).over(
+        split.rowsBetween(Window.unboundedPreceding, 0)))
+    alone = lines.where("open = 0 AND odd = 0").select("value", "file", "start", "at")
+    parts = lines.where("NOT (open = 0 AND odd = 0) AND NOT (open = 1 AND value IS NULL)")
+    ends = parts.groupBy("file", "start").agg(F.max("begun").alias("last"))
+    ends = ends.select("file", "start", F.max("last").over(Window.partitionBy("file").orderBy("start").rowsBetween(
+        Window.unboundedPreceding, -1)).alias("from_before"))
+    parts = parts.join(ends, ["file", "start"]).withColumn("record", F.coalesce("begun", "from_before"))
+    long = parts.groupBy("file", "record").count().where(F.col("count") > max_lines).limit(1).collect()
+    if long:
+        raise ValueError(f"{long[0].file}: a quote opened in the split at {long[0].record.start} is not closed "
+                         f"within {max_lines} lines")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "at", "value"))), lambda x: x["value"]), "\n")
+    whole = parts.groupBy("file", "record").agg(text.alias("value")).select(
+        "value", "file", F.col("record.start").alias("start"), F.col("record.at").alias("at"))
+    return alone.unionByName(whole).withColumn("value", F.regexp_replace("value", "\r$", ""))
+
+
 def csv_records(raw: DataFrame, sep: str = ",", header: bool = True,
-                names: list[str] | None = None) -> DataFrame:
+                names: list[str] | None = None, multi_line: bool = False) -> DataFrame:
     """``value``, ``file``, ``start`` (offset of the split) -> ``value``,
     ``rec``: column -> text of every line, by the header of its own file or, for
     headerless files, by ``names``. Surplus columns are ``_extra_<n>``. Files
-    with one layout are parsed together: one plan branch per distinct header."""
-    lines = raw.select("value", "file", "start", F.monotonically_increasing_id().alias("at"))
+    with one layout are parsed together: one plan branch per distinct header.
+    ``multi_line``: quoted fields may hold line breaks; a quote inside a field is
+    doubled."""
+    lines = quoted_records(raw) if multi_line else raw.select(
+        "value", "file", "start", F.monotonically_increasing_id().alias("at"))
     width = F.max(F.length("value") - F.length(F.replace("value", F.lit(sep), F.lit("")))).alias("seps")
     if header:
         heads = lines.where("start = 0").groupBy("file").agg(F.min(F.struct("at", "value")).alias("h")).select(
@@ -126,7 +174,8 @@ def csv_records(raw: DataFrame, sep: str = ",", header: bool = True,
             c = c.strip().strip('"')
             cols.append(c if c not in cols else f"{c}_{len(cols)}")
         cols += [f"_extra_{i}" for i in range(len(cols), max(len(cols), r.seps * len(sep) + 1))]
-        row = F.from_csv("value", ", ".join(f"c{i} string" for i in range(len(cols))), {"sep": sep})
+        row = F.from_csv("value", ", ".join(f"c{i} string" for i in range(len(cols))),
+                         {"sep": sep} | ({"escape": '"', "multiLine": "true"} if multi_line else {}))
         part = rows.where(F.col("head") == r.head).withColumn("_row", row)
         pairs = F.map_from_arrays(F.array(*[F.lit(c) for c in cols]),
                                   F.array(*[F.col(f"_row.c{i}") for i in range(len(cols))]))
@@ -158,10 +207,10 @@ def rescue_fields(records: DataFrame, schema: T.StructType, keep_unknown: bool =
 
 
 def read_csv_rescued(spark: SparkSession, path: str, schema: T.StructType,
-                     header: bool = True, sep: str = ",") -> DataFrame:
+                     header: bool = True, sep: str = ",", multi_line: bool = False) -> DataFrame:
     """Typed CSV load that never loses a value: columns are matched by header
     name (by position without a header); values that fail their cast and
     surplus columns are kept in ``_rescued_data``."""
-    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+    raw = spark.read.text(path, lineSep="\n" if multi_line else None).select("value", F.col("_metadata.file_path").alias("file"),
                                        F.col("_metadata.file_block_start").alias("start"))
-    return rescue_fields(csv_records(raw, sep, header, schema.names), schema)
+    return rescue_fields(csv_records(raw, sep, header, schema.names, multi_line), schema)

@@ -4,11 +4,12 @@
 * ``silver_stream``: first-seen dedup by ``event_id`` (unbounded state, as the
   batch pipeline; ``watermark=`` bounds it with
   ``dropDuplicatesWithinWatermark``) -> derivations -> rules.
-* ``gold_approx_stream``: complete-mode aggregate with approximate distinct
-  count and percentile (exact distinct is not supported on streams).
-* ``gold_exact_incremental``: ``foreachBatch`` that recomputes, in batch,
-  only the days a micro-batch touches and publishes them by pointers.
-  Replaying a batch rewrites the same folders with the same content.
+* ``latest_with_days`` + ``gold_exact_sink``: keyed state finds the days on
+  which a micro-batch's ids ever had a copy; ``foreachBatch`` recomputes only
+  those days and publishes them. A replayed batch rewrites its own folders.
+* ``gold_sketch_sink``: approximate distinct users and percentile as stored
+  sketches that batches merge into, day by day; no complete mode.
+* ``gold_approx_stream``: the same in complete mode, for small group counts.
 
 Every sink writes to files under the shared root; nothing is collected.
 """
@@ -23,6 +24,7 @@ from strata.functions.events import event_derivations
 from strata.operators.dedup import keep_latest
 from strata.operators.rules import apply_rules, rule_metrics
 from strata.plans import events as ev
+from strata.streaming.days import NO_DAY, DayTables, day_of
 from strata.streaming.ingest import ANY_AGE
 
 LANDED_SCHEMA = T.StructType([
@@ -41,13 +43,16 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def read_landing(spark: SparkSession, landing: str, schema: T.StructType = LANDED_SCHEMA,
-                 max_files_per_trigger: int | None = None, multi_line: bool = False) -> DataFrame:
-    # files are taken whatever their age; ``multi_line``: one JSON array a file
+                 max_files_per_trigger: int | None = None, multi_line: bool = False,
+                 arrival: bool = False) -> DataFrame:
+    # files are taken whatever their age; ``multi_line``: one JSON array a file;
+    # ``arrival``: ``arrived_at``, when the row's file was landed
     r = (spark.readStream.schema(schema).option("timestampNTZFormat", TS_FORMAT)
          .option("maxFileAge", ANY_AGE).option("multiLine", multi_line))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.json(landing)
+    rows = r.json(landing)
+    return rows.withColumn("arrived_at", F.col("_metadata.file_modification_time")) if arrival else rows
 
 
 def bronze_stream(landed: DataFrame, clock: Column | None = None) -> DataFrame:
@@ -56,8 +61,16 @@ def bronze_stream(landed: DataFrame, clock: Column | None = None) -> DataFrame:
 
 
 def silver_stream(bronze: DataFrame, watermark: str | None = None,
-                  drop_rules: bool = True) -> DataFrame:
-    if watermark:
+                  drop_rules: bool = True, horizon: str | None = None) -> DataFrame:
+    """``horizon``: keep an id for so long after its first arrival (the column
+    ``arrived_at`` of ``read_landing``). Every row has an arrival, so rows
+    without event time take part; a copy that arrives within the horizon is
+    dropped whatever its event time, and ids expire, so the state's size follows
+    the arrivals of one horizon and not the history."""
+    if horizon:
+        deduped = (bronze.withWatermark("arrived_at", horizon)
+                   .dropDuplicatesWithinWatermark(["event_id"]))
+    elif watermark:
         # event-time watermarks need TIMESTAMP (session time zone, UTC here)
         deduped = (bronze.withColumn("_event_time", F.col("event_timestamp").cast("timestamp"))
                    .withWatermark("_event_time", watermark)
@@ -108,75 +121,145 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
 
 # ------------------------------------------------------------ exact gold
 
-NO_DAY = "none"           # events whose timestamp is NULL
 ID_BUCKETS = 256
+EXACT_LAYERS = ["current", "gold_daily", "gold_users"]
+SMALL_LAYERS = ("gold_daily", "gold_users", "sketches")
 
 
-def _day() -> Column:
-    return F.coalesce(F.to_date("event_timestamp").cast("string"), F.lit(NO_DAY)).alias("day")
+def read_generation(spark: SparkSession, root: str, name: str, before: int | None = None) -> DataFrame | None:
+    """Current rows of a stored layer (None before the first batch)."""
+    return DayTables(spark, root, SMALL_LAYERS).read(name, before=before)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+def latest_with_days(bronze: DataFrame) -> DataFrame:
+    """Keyed streaming aggregate (update mode): for every id of a micro-batch
+    its latest copy so far and ``days``, all days on which a copy ever was.
 
+    The state store is the index of ids: a micro-batch looks up and rewrites the
+    keys it holds and no others, whatever the number of ids seen before."""
+    order = ["event_timestamp"] + (["copy_no"] if "copy_no" in bronze.columns else [])
+    rest = [c for c in bronze.columns if c != "event_id" and c not in order]
+    return (bronze.groupBy("event_id")
+            .agg(F.max(F.struct(*order, *rest)).alias("_w"), F.collect_set(day_of()).alias("days"))
+            .select("event_id", *[F.col(f"_w.{c}").alias(c) for c in order + rest], "days"))
 
-def read_generation(spark: SparkSession, root: str, name: str, before: int | None = None) -> DataFrame | None:
-    """Current rows of a stored layer: for each day the folder of the last
-    batch that published it (None before the first batch). Folders are pruned
-    by (batch_id, day); a day that became empty has a pointer but no rows."""
-    if not _exists(spark, f"{root}/pointers"):
-        return None
-    ptr = spark.read.schema("day string, batch_id long").parquet(f"{root}/pointers")
-    if before is not None:
-        ptr = ptr.filter(F.col("batch_id") < before)
-    ptr = ptr.groupBy("day").agg(F.max("batch_id").alias("batch_id"))
-    data = spark.read.option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
-    data = data.withColumns({"day": F.col("day").cast("string"), "batch_id": F.col("batch_id").cast("long")})
-    return data.join(ptr, ["day", "batch_id"]).drop("day", "batch_id")
 
+def gold_exact_sink(spark: SparkSession, root: str):
+    """foreachBatch body over ``latest_with_days``: exact daily metrics and user
+    activity of the days a batch touches, kept up to date under ``root``.
+
+    ``current`` holds the latest copy of every event by day. Only the touched
+    days of it are read, merged with the batch and written anew, and the two
+    gold layers are recomputed for the same days (see ``DayTables``)."""
+    tables = DayTables(spark, root, SMALL_LAYERS)
 
-def gold_exact_incremental(spark: SparkSession, root: str):
-    """foreachBatch body: exact daily metrics and user activity of the days a
-    batch touches, kept up to date under ``root``.
-
-    * ``ids``: (event_id, day) of every arrival, in ``ID_BUCKETS`` folders by
-      id; a batch looks its ids up in their folders only.
-    * ``current``: the latest copy of every event, by day. Only the days of the
-      batch and those on which its ids had a copy are read and written anew.
-    * ``gold_daily`` / ``gold_users``: recomputed for the same days.
-
-    Every batch writes folders of its own and then one pointer per touched day,
-    so a day that an event left is replaced even when nothing remains on it,
-    and a replayed batch writes the same rows to the same place."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        put = lambda df, name, *by: (
-            df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-            .partitionBy(*by).parquet(f"{root}/{name}/batch_id={batch_id}"))
-        bucket = F.pmod(F.xxhash64("event_id"), F.lit(ID_BUCKETS)).alias("bucket")
-        arrivals = batch.select("event_id", _day()).distinct()
-        put(arrivals.select("*", bucket), "ids", "bucket")
-        ids = (spark.read.parquet(f"{root}/ids").where(F.col("batch_id") <= batch_id)
-               .join(arrivals.select("event_id", bucket).distinct(), ["event_id", "bucket"], "left_semi"))
-        days = ids.select(F.col("day").cast("string").alias("day")).distinct()
-        days.write.mode("overwrite").parquet(f"{root}/touched/batch_id={batch_id}")
-        days = spark.read.schema("day string").parquet(f"{root}/touched/batch_id={batch_id}")
-        rows = batch
-        have = read_generation(spark, root, "current", before=batch_id)
+        # the plan above reads and writes state: run it once
+        arrived = f"{root}/arrived/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(arrived)
+        rows = spark.read.schema(batch.schema).parquet(arrived)
+        days = sorted(r.day for r in rows.select(F.explode("days").alias("day")).distinct().collect())
+        if not days:
+            return
+        rows = rows.drop("days")
+        have = tables.read("current", days, before=batch_id)
         if have is not None:
-            rows = rows.unionByName(have.select("*", _day()).join(days, "day", "left_semi").drop("day"))
-        order = ["event_timestamp"] + (["copy_no"] if "copy_no" in batch.columns else [])
-        put(keep_latest(rows, ["event_id"], order).select("*", _day()), "current", "day")
-        now = spark.read.parquet(f"{root}/current/batch_id={batch_id}").drop("day")
+            rows = rows.unionByName(have)
+        order = ["event_timestamp"] + (["copy_no"] if "copy_no" in rows.columns else [])
+        now = tables.put(keep_latest(rows, ["event_id"], order).select("*", day_of()), "current", batch_id).drop("day")
         silver = ev.silver_events(now)
         day = F.col("event_date").cast("string").alias("day")
-        put(ev.gold_daily_base(silver).select("*", day), "gold_daily", "day")
-        put(ev.gold_user_activity_base(silver).select("*", day), "gold_users", "day")
-        days.select("day", F.lit(batch_id).cast("long").alias("batch_id")).write.mode("overwrite").parquet(
-            f"{root}/pointers/of_batch={batch_id}")
+        tables.put(ev.gold_daily_base(silver).select("*", day), "gold_daily", batch_id)
+        tables.put(ev.gold_user_activity_base(silver).select("*", day), "gold_users", batch_id)
+        tables.publish(batch_id, days, EXACT_LAYERS)
+        tables._delete(arrived)
+    return run
+
+
+def gold_exact_incremental(spark: SparkSession, root: str):
+    """The same for batches that come without keyed state (a backfill by hand):
+    the days of an id are looked up in a stored table of (id, day) of all
+    arrivals, in ``ID_BUCKETS`` folders by id. A stream uses
+    ``latest_with_days`` instead, whose lookups do not grow with the history."""
+    sink = gold_exact_sink(spark, root)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        bucket = F.pmod(F.xxhash64("event_id"), F.lit(ID_BUCKETS)).alias("bucket")
+        arrivals = batch.select("event_id", day_of(), bucket).distinct()
+        (arrivals.write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("bucket").parquet(f"{root}/ids/batch_id={batch_id}"))
+        ids = (spark.read.parquet(f"{root}/ids").where(F.col("batch_id") <= batch_id)
+               .join(arrivals.select("event_id", "bucket").distinct(), ["event_id", "bucket"], "left_semi"))
+        days = ids.groupBy("event_id").agg(F.collect_set(F.col("day").cast("string")).alias("days"))
+        sink(batch.join(days, "event_id"), batch_id)
+    return run
+
+
+# ------------------------------------------------------------ mergeable gold
+
+HLL_LG, KLL_K = 12, 400     # about 1.6 % error of distinct counts, 0.7 % of ranks
+SKETCH_LAYERS = ["sketches"]
+
+
+def _measures(value: Column) -> list[Column]:
+    exact = value.try_cast("decimal(38,12)")
+    return [F.count(F.lit(1)).alias("event_count"), F.count(value).alias("values"),
+            F.sum(exact).alias("exact_sum"), F.hll_sketch_agg("user_id", HLL_LG).alias("users"),
+            F.kll_sketch_agg_double(value, KLL_K).alias("quantiles")]
+
+
+def sketch_rows(silver: DataFrame) -> DataFrame:
+    """Mergeable row per (date, type, weekend): counts, exact sum, a sketch of
+    the users and one of the values."""
+    return silver.groupBy(*ev.GOLD_KEYS).agg(*_measures(F.col("event_value")))
+
+
+def merge_sketches(rows: DataFrame) -> DataFrame:
+    """Union of mergeable rows of the same group."""
+    return rows.groupBy(*ev.GOLD_KEYS).agg(
+        F.sum("event_count").alias("event_count"), F.sum("values").alias("values"),
+        F.sum("exact_sum").cast("decimal(38,12)").alias("exact_sum"),
+        F.hll_union_agg("users").alias("users"), F.kll_merge_agg_double("quantiles").alias("quantiles"))
+
+
+def gold_sketch_sink(spark: SparkSession, root: str):
+    """foreachBatch body over Silver rows: adds a batch's sketches to the stored
+    ones. A group's row has a fixed size, only the days of the batch are read
+    and written anew, and no state is kept in the stream; in complete mode every
+    group ever seen would be written for every batch."""
+    tables = DayTables(spark, root, SMALL_LAYERS)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        day = F.coalesce(F.col("event_date").cast("string"), F.lit(NO_DAY)).alias("day")
+        fresh = f"{root}/arrived/batch_id={batch_id}"
+        sketch_rows(batch).select("*", day).write.mode("overwrite").parquet(fresh)
+        rows = spark.read.parquet(fresh)
+        days = sorted(r.day for r in rows.select("day").distinct().collect())
+        if not days:
+            return
+        have = tables.read("sketches", days, before=batch_id)
+        rows = rows.drop("day")
+        merged = merge_sketches(rows if have is None else rows.unionByName(have))
+        tables.put(merged.select("*", day), "sketches", batch_id)
+        tables.publish(batch_id, days, SKETCH_LAYERS)
+        tables._delete(fresh)
     return run
 
 
+def read_sketch_gold(spark: SparkSession, root: str, keys: list[str] | None = None) -> DataFrame:
+    """Daily metrics from the stored sketches; with ``keys`` (some of the
+    group's) rolled up to them by merging, for example to all types of a day."""
+    keys = ev.GOLD_KEYS if keys is None else keys
+    rows = DayTables(spark, root, SMALL_LAYERS).read("sketches")
+    total = F.sum("exact_sum").cast("double")
+    p95 = F.kll_sketch_get_quantile_double(F.kll_merge_agg_double("quantiles"), F.lit(0.95))
+    return rows.groupBy(*keys).agg(
+        F.sum("event_count").alias("event_count"),
+        F.hll_sketch_estimate(F.hll_union_agg("users")).alias("unique_users"), total.alias("total_value"),
+        F.try_divide(total, F.sum("values")).alias("avg_value"),
+        F.when(F.sum("values") > 0, p95).alias("p95_value"))
+
+
 def replay_silver(spark: SparkSession, bronze_path: str, silver_path: str,
                   partition_by: list[str] | None = ("event_date",)) -> None:
     """Rebuild Silver from the full Bronze history after a rule change (batch

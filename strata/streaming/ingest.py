@@ -114,14 +114,15 @@ def copy_into(spark: SparkSession, source: str, target: str, checkpoint: str, fm
 
     ``schema``: the table's columns; inferred from the first batch when absent.
     ``mode``: what happens to fields outside the schema — ``rescue`` (kept in
-    ``_rescued_data``), ``addNewColumns`` or ``none`` (dropped).
+    ``_rescued_data``), ``addNewColumns`` or ``none`` (dropped). The option
+    ``multiLine`` reads a JSON file as one value, and CSV fields with line breaks.
     """
     options = dict(options or {})
     multi_line = str(options.pop("multiLine", False)).lower() == "true"
     sep = options.pop("sep", ",")
     header = str(options.pop("header", True)).lower() == "true"
     if multi_line:
-        options["wholetext"] = True
+        options |= {"wholetext": True} if fmt == "json" else {"lineSep": "\n"}
     if glob:
         options["pathGlobFilter"] = glob
     raw = stream_files(spark, source, "text", T.StructType([T.StructField("value", T.StringType())]), options)
@@ -133,7 +134,7 @@ def copy_into(spark: SparkSession, source: str, target: str, checkpoint: str, fm
     def one(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         recs = json_records(batch, multi_line) if fmt == "json" else csv_records(
-            batch, sep, header, schema.names if schema is not None else None)
+            batch, sep, header, schema.names if schema is not None else None, multi_line)
         have = load_schema(session, state) or schema
         now = have
         if now is None or mode == "addNewColumns":
