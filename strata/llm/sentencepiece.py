@@ -4,23 +4,31 @@ The model file is a protobuf; its fields are read here, and the pipeline is
 rebuilt: normaliser (identity, with the dummy prefix and white-space switches),
 metaspace marker, pieces with their scores, byte fallback. A unigram model
 becomes a ``Unigram`` model with the scores; a BPE model becomes a ``BPE`` model
-whose merges are ranked by the score of the piece they make. Texts go through
-``encode_batch`` with ``THREADS`` threads per Python worker. Every text is also
-encoded by the sentencepiece library, whose ids are always the result; the
-rebuilt encoder yields ``parity`` alone, whether its ids are the same. Decoding
-is the tokenizers decoder chain.
+whose merges are ranked by the score of the piece they make. The ids are those
+of the rebuilt encoder, by ``encode_batch`` with ``THREADS`` threads per Python
+worker; ``parity`` says for every text whether the sentencepiece library gives
+the same ids. Decoding is the tokenizers decoder chain.
+
+Where no piece holds the marker after another character (``separable`` reads
+that off the vocabulary), no merge crosses the place before a run of markers:
+a text's ids are those of its parts cut there, one after the other, and its
+parity is that of all its parts. Equal parts are then encoded, checked and
+decoded once, and the ids of short parts are remembered. Other models, and unigram
+models, whose sums of scores run over the text, encode whole texts.
 
 The model's path is a parameter; its bytes (a fixed file, read on the driver)
 are broadcast. Defined results: a null text has no tokens and decodes to the
 empty text; repeated rows and null ids are encoded row by row; an empty table
-gives an empty result; other columns are ignored. A character U+2581 in a text
-decodes to a space, as in SentencePiece.
+gives an empty result; other columns are ignored. Texts of any length are encoded
+whole, in groups of ``BATCH_CHARS`` characters or one text. A character U+2581
+in a text decodes to a space, as in SentencePiece.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 from dataclasses import dataclass, field
 
@@ -30,6 +38,8 @@ from pyspark.sql import functions as F
 THREADS = 2
 BATCH_CHARS = 250_000
 CACHE_WORDS = 10_000
+KEPT, KEPT_CHARS = 400_000, 64     # parts remembered per worker, and the longest of them
+JOINED = 20_000                    # characters of parts that are encoded as one text
 MARK = "▁"
 
 # Field numbers and codes of the published model format.
@@ -142,18 +152,111 @@ def build(m: Model):
     return tok
 
 
-_LOADED: dict[str, tuple] = {}
+def separable(m: Model) -> bool:
+    """Whether texts may be cut before each run of markers: every such part
+    starts with a marker that is a piece, and no piece reaches over the cut."""
+    plain = not m.charsmap and not m.remove_extra_space and m.dummy_prefix and m.escape_space
+    return (m.kind == BPE and plain and any(p == MARK and k == NORMAL for p, _, k in m.pieces)
+            and not any(k == USER or MARK in p.lstrip(MARK) for p, _, k in m.pieces))
 
 
-def _load(raw: bytes):
-    """(tokenizer, sentencepiece processor), once per Python worker."""
+class Coder:
+    """The rebuilt tokenizer beside the sentencepiece library."""
+
+    def __init__(self, raw: bytes):
+        import numpy as np
+        import sentencepiece
+
+        model = parse(raw)
+        self.tok, self.ref = build(model), sentencepiece.SentencePieceProcessor(model_proto=raw)
+        self.cut = separable(model)
+        self.begins = np.array([p.startswith(MARK) for p, _, _ in model.pieces])
+        self.marks = np.array([p.strip(MARK) == "" for p, _, _ in model.pieces])
+        self.ids: dict[str, bytes] = {}        # of parts, packed
+        self.texts: dict[str, str] = {}        # what those ids decode to
+        self.bad: set[str] = set()             # parts without parity
+
+    def whole(self, texts: list[str]) -> list[tuple]:
+        """(packed ids, parity, decoded) of each text, encoded as it is."""
+        ids = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        same = [x == y for x, y in zip(ids, self.ref.encode(texts, num_threads=THREADS))]
+        back = self.tok.decode_batch(ids, skip_special_tokens=False)
+        return [(struct.pack(f"<{len(i)}i", *i), s, d) for i, s, d in zip(ids, same, back)]
+
+    def _keep(self, part: str, ids: bytes, same: bool, text: str) -> None:
+        self.ids[part], self.texts[part] = ids, text
+        if not same:
+            self.bad.add(part)
+
+    def _learn(self, parts: list[str]) -> None:
+        """Encode, check and decode parts, many joined to one text. A token
+        begins a part if it starts with a marker and the one before it is not of
+        markers alone; where the count of such tokens, the library's ids or the
+        decoded text differ from what is due, parts go one by one."""
+        import numpy as np
+
+        alone = [p for p in parts if p.endswith(MARK)]
+        runs, size = [], JOINED
+        for p in parts:
+            if not p.endswith(MARK):
+                if size >= JOINED:
+                    runs.append([])
+                    size = 0
+                runs[-1].append(p)
+                size += len(p)
+        raws = [[p[1:].replace(MARK, " ") for p in run] for run in runs]
+        joined = [" ".join(r) for r in raws]
+        codes = [np.array(e.ids, "<i4") for e in self.tok.encode_batch_fast(joined, add_special_tokens=False)]
+        theirs = self.ref.encode(joined, num_threads=THREADS)
+        back = self.tok.decode_batch([c.tolist() for c in codes], skip_special_tokens=False)
+        for run, raw, text, ids, ref, decoded in zip(runs, raws, joined, codes, theirs, back):
+            first = self.begins[ids]
+            first[1:] &= ~self.marks[ids[:-1]]
+            at = np.flatnonzero(first).tolist()
+            if len(at) == len(run) and decoded == text and np.array_equal(ids, ref):
+                packed, pos = ids.tobytes(), 0
+                for p, r, i, j in zip(run, raw, at, [*at[1:], len(ids)]):
+                    self._keep(p, packed[4 * i:4 * j], True, decoded[pos:pos + len(r)])
+                    pos += len(r) + 1
+            else:
+                alone += run
+        for p, got in zip(alone, self.whole([p[1:].replace(MARK, " ") for p in alone])):
+            self._keep(p, *got)
+
+    def encode(self, texts: list[str]) -> list[tuple]:
+        """(packed ids, parity, decoded) of each text."""
+        if not self.cut:
+            return self.whole(texts)
+        # the first marker of a part is the one that both encoders put before a
+        # text, so a part is encoded as the text behind that marker
+        parts = [PART.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        if len(self.ids) > KEPT:
+            for kept in (self.ids, self.texts, self.bad):
+                kept.clear()
+        new = list(set().union(*parts).difference(self.ids))
+        self._learn(new)
+        ids, back = self.ids.__getitem__, self.texts.__getitem__
+        out = [(b"".join(map(ids, p)), self.bad.isdisjoint(p), " ".join(map(back, p))) for p in parts]
+        for p in new:
+            if len(p) > KEPT_CHARS:
+                del self.ids[p], self.texts[p]
+                self.bad.discard(p)
+        return out
+
+
+#: A run of markers and what follows; markers at the end of a text stay with the
+#: last part, since a lone marker is no text that could be encoded by itself.
+PART = re.compile(rf"{MARK}+[^{MARK}]+(?:{MARK}+\Z)?|{MARK}+")
+_LOADED: dict[str, Coder] = {}
+
+
+def _load(raw: bytes) -> Coder:
+    """Once per Python worker."""
     key = hashlib.sha256(raw).hexdigest()
     if key not in _LOADED:
         os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
-        import sentencepiece
-
-        _LOADED[key] = build(parse(raw)), sentencepiece.SentencePieceProcessor(model_proto=raw)
+        _LOADED[key] = Coder(raw)
     return _LOADED[key]
 
 
@@ -177,19 +280,20 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
         raw = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        tok, ref = _load(raw.value)
+        coder = _load(raw.value)
         for b in batches:
             at = 0
             for n in groups(pc.utf8_length(pc.fill_null(b.column(1), "")).to_pylist()):
-                part = [t or "" for t in b.column(1).slice(at, n).to_pylist()]
-                theirs = ref.encode(part, num_threads=THREADS)
-                parity = [e.ids == y for e, y in zip(tok.encode_batch_fast(part, add_special_tokens=False), theirs)]
+                rows = coder.encode([t or "" for t in b.column(1).slice(at, n).to_pylist()])
+                flat = np.frombuffer(b"".join(r[0] for r in rows), "<i4")
+                ends = np.cumsum([0, *(len(r[0]) // 4 for r in rows)])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, n), pa.array(theirs, pa.list_(pa.int32())), pa.array(parity, pa.bool_()),
-                     pa.array(tok.decode_batch(theirs, skip_special_tokens=False), pa.string())],
+                    [b.column(0).slice(at, n), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                     pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.string())],
                     ["doc_id", "ids", "parity", "decoded"])
                 at += n
 
@@ -205,7 +309,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        tok, _ = _load(raw.value)
+        tok = _load(raw.value).tok
         for b in batches:
             texts = tok.decode_batch([x or [] for x in b.column(1).to_pylist()], skip_special_tokens=False)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
