@@ -11,16 +11,23 @@ and uniform over that alphabet" three tests run: chi-squared uniformity (with
 the exact mean and variance for the length), runs above/below the middle of the
 alphabet, and lag-1 serial correlation. A run that any test rejects at
 ``RANDOM_LEVEL`` (divided by three tests) is not random and is no candidate for
-a key. What is left is tested against "ordinary text": the likelihood ratio of
-the uniform alphabet to the corpus's own character transitions, counted over
-all documents; 1 / ratio is a valid p-value, and it shrinks with the length of
-the run. Benjamini-Hochberg at ``FDR`` then holds over all runs of the corpus
-within each length class, so that many short runs do not spend the budget of
-long ones. Transitions and the histogram of p-values have fixed sizes.
+a key. Nor is a run of one class of characters (letters of one case, a capital
+and small letters, or digits, whatever symbols stand between them): words of any
+language and plain numbers are such runs, also words whose letter pairs the
+corpus does not hold. What is left is tested against "ordinary text": the
+likelihood ratio of the uniform alphabet to the corpus's own character
+transitions, counted over all documents but outside of every run that is long
+enough to be tested. The counts do not depend on the runs under test, so
+1 / ratio is a valid p-value, a key that was copied a thousand times is found a
+thousand times, and the p-value shrinks with the length of the run.
+Benjamini-Hochberg at ``FDR`` then holds over all runs of the corpus within each
+length class, so that many short runs do not spend the budget of long ones.
+Transitions and the histogram of p-values have fixed sizes.
 
 Spans count in code points, end exclusive. Defined results: a null text counts
 as empty; rows are judged one by one, so repeated rows, null ids, ties and
-further columns need no rule; an empty table gives an empty result.
+further columns need no rule; texts of any length are scanned whole, one text or
+``CHUNK`` bytes of texts at a time; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -77,18 +84,34 @@ for _name, _alphabet in ENCODINGS.items():
     _RANK[_name][np.frombuffer(_alphabet.encode(), np.uint8)] = np.arange(len(_alphabet))
 
 
+def ordinary_pairs(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Numbers of the transitions of a chunk that lie outside of every run of
+    ``MIN_RUN`` or more key characters, and within one document."""
+    s = _SYM[buf]
+    open_ = np.zeros(len(buf) + 1, np.int8)
+    starts, ends = _runs(s < N_SYM - 1, offsets, MIN_RUN)
+    open_[starts] += 1
+    open_[ends] -= 1
+    within = np.cumsum(open_[:-1], dtype=np.int8) > 0
+    keep = ~(within[:-1] & within[1:])
+    cut = offsets[(offsets > 0) & (offsets < len(buf))]
+    keep[cut - 1] = False
+    return (s[:-1] * N_SYM + s[1:])[keep]
+
+
 def transitions(docs: DataFrame) -> np.ndarray:
-    """Log probability of each key character after each, over all documents:
-    a table of ``N_SYM`` squared numbers whatever the corpus."""
+    """Log probability of each key character after each in ordinary text, over
+    all documents: a table of ``N_SYM`` squared numbers whatever the corpus."""
     def count(batches):
         import pyarrow as pa
 
         total = np.zeros(N_SYM * N_SYM, np.int64)
         for b in batches:
-            buf, _ = arrow_texts(b.column(0))
-            for i in range(0, len(buf), CHUNK):
-                s = _SYM[buf[i:i + CHUNK + 1]]
-                total += np.bincount(s[:-1] * N_SYM + s[1:], minlength=N_SYM * N_SYM)
+            buf, off = arrow_texts(b.column(0))
+            for i, j in doc_chunks(off, CHUNK):
+                if off[j] > off[i]:
+                    total += np.bincount(ordinary_pairs(buf[off[i]:off[j]], off[i:j + 1] - off[i]),
+                                         minlength=N_SYM * N_SYM)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["pair", "n"])
 
@@ -133,6 +156,11 @@ def battery(run: np.ndarray) -> tuple[str, float] | None:
     return name, min(1.0, 3 * min(p1, p2, p3))
 
 
+_WORD = rb"(?:[A-Z]?[a-z]+|[A-Z]+)"
+_SYMBOL = rb"[^A-Za-z0-9]"
+ONE_CLASS = re.compile(rb"%s*(?:%s(?:%s+%s)*|[0-9]+(?:%s+[0-9]+)*)?%s*" % (_SYMBOL, _WORD, _SYMBOL, _WORD, _SYMBOL, _SYMBOL))
+
+
 def text_bin(run: np.ndarray, alphabet: int, logq: np.ndarray) -> int:
     """-log10 of the p-value under ordinary text, in steps, rounded down."""
     s = _SYM[run]
@@ -206,7 +234,7 @@ def scan(buf: np.ndarray, offsets: np.ndarray, logq: np.ndarray):
             for a, b in parts(raw[lo:hi]):
                 run = buf[lo + a:lo + b]
                 got = battery(run)
-                if got is None or got[1] < RANDOM_LEVEL:
+                if got is None or got[1] < RANDOM_LEVEL or ONE_CLASS.fullmatch(raw, lo + a, lo + b):
                     p = -1                     # counted among the tests, never found
                 else:
                     p = text_bin(run, len(ENCODINGS[got[0]]), logq)
