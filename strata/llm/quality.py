@@ -2,18 +2,30 @@
 
 Each text gets counts (words, symbols, repeated lines, words in repeated
 five-word windows) and from them ``FEATURES`` in steps of one percent. Labelled
-documents are the holdout. Per stratum (language) and feature a cutoff is
-tested from the loosest downward: with n good labelled documents in the
-stratum, of which k reach the cutoff, the exact binomial test rejects "more
-than ``alpha`` of good documents are lost" if P(Bin(n, alpha/F) <= k) is at most
-delta / (F * strata). Dividing by features F and strata is the correction for
-multiple tests; within one feature k only grows, so testing in order needs no
-more. Cutoffs that pass are safe; of these the one that removes the most bad
-documents, less ``good_cost`` times the good ones, is taken, or none. With
-probability 1 - delta no stratum loses more than ``alpha`` of its good documents.
+documents are the holdout. The rules that may be chosen for a stratum (language)
+form one chain, each rejecting all that the one before rejects and more; the
+loss of a rule, the share of good documents that the union of its cutoffs
+rejects, only grows along the chain. With n good labels, of which k are lost,
+the exact binomial test rejects "more than ``alpha`` of good documents are lost"
+if P(Bin(n, alpha) <= k) is at most delta / strata. Rules are tested in the
+chain's order up to the first that fails, so one level serves the whole chain
+(fixed-sequence testing), and dividing delta by the strata corrects for those.
+With probability 1 - delta no stratum loses more than ``alpha`` of its good
+documents. A chain must not depend on the labels that test it:
+
+* A stratum with enough good labels is split in two halves by a digest of the
+  id. The one half picks for each feature the cutoff that removes the most bad
+  documents, less ``good_cost`` times the good ones (and at most a tenth of what
+  may be lost), and orders the features by that gain; the chain adds one
+  feature's cutoff after the other, and the other half tests it.
+* A stratum with fewer good labels (the half would be too small to pass with no
+  loss) has a chain that is fixed beforehand: all features are cut at the same
+  level, which falls from 100; all its labels test it, and of the levels that
+  pass the one with the greatest gain is taken.
 
 Defined results: a null text has no words; texts under 10 words fail the base
-rule. Null languages are one stratum. A stratum with too few labels, or none,
+rule; texts of any length are counted whole. Null and empty languages are one
+stratum. A stratum with too few labels, or none,
 gets no cutoff, so only the base rule holds there. Labels of ids without a
 document, and null labels, do not count; a document row joined by several
 labels counts once per label. Repeated rows are judged alike. Empty tables give
@@ -22,6 +34,8 @@ empty results. Other columns pass through ``stage`` untouched.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,8 +112,6 @@ def levels(n: dict[str, str]) -> dict[str, Column]:
 def most_lost(n: Column, alpha: float, level: Column) -> Column:
     """Largest k with P(Bin(n, alpha) <= k) <= level, or -1: an exact sum of
     binomial terms, in logarithms while the terms are tiny."""
-    import math
-
     odds = math.log(alpha) - math.log1p(-alpha)
     start = F.struct(n.cast("double").alias("n"), (n * math.log1p(-alpha)).alias("lp"),
                      F.lit(0.0).alias("cdf"), F.lit(-1).cast("long").alias("k"))
@@ -115,6 +127,11 @@ def most_lost(n: Column, alpha: float, level: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0).cast("long"), up_to), start, step, lambda a: a["k"])
 
 
+def learning(doc_id: Column) -> Column:
+    """Which labels pick the chain; the others test it."""
+    return F.substring(F.md5(doc_id.cast("string").cast("binary")), 1, 1) < "8"
+
+
 def cutoffs(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA,
             good_cost: float = GOOD_COST) -> DataFrame:
     """stratum, feature, cutoff: one row per stratum and feature with a cutoff.
@@ -123,24 +140,51 @@ def cutoffs(counted: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
     (documents the base rule rejects anyway are no holdout)."""
     y = labels.select(F.col("doc_id").alias("l_id"), F.col("quality").alias("good")).where(
         "l_id is not null and good in (0, 1)")
-    held = counted.where(~F.col("failed")).join(y, F.col("doc_id") == F.col("l_id")).select(
-        "stratum", "good", F.explode(F.array(*[
-            F.struct(F.lit(f).alias("feature"), F.col(f).alias("level")) for f in FEATURES])).alias("x"))
-    hist = store(held.select("stratum", "x.feature", "x.level", "good").groupBy(
-        "stratum", "feature", "level").agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad")),
-        "quality-levels")
-    per = hist.groupBy("stratum").agg((F.sum("good") / len(FEATURES)).cast("long").alias("n"))
-    strata = hist.select("stratum").distinct().count()
-    risk = per.withColumn("most", most_lost(
-        F.col("n"), alpha / len(FEATURES), F.lit(delta / (len(FEATURES) * max(1, strata)))))
-    # at most 101 levels in a window
-    down = Window.partitionBy("stratum", "feature").orderBy(F.col("level").desc())
-    tail = hist.withColumns({"lost": F.sum("good").over(down), "caught": F.sum("bad").over(down)})
+    held = store(counted.where(~F.col("failed")).join(y, F.col("doc_id") == F.col("l_id")).select(
+        "stratum", "good", learning(F.col("doc_id")).alias("learn"), *FEATURES), "quality-holdout")
+    good = F.col("good")
+    # one row per stratum: good labels, level of the tests, which chain
+    per = held.groupBy("stratum").agg(
+        F.sum("good").alias("n"), F.sum(F.when(F.col("learn"), good).otherwise(0)).alias("n_learn"),
+        F.sum(F.when(~F.col("learn"), good).otherwise(0)).alias("n_test"))
+    per = store(per, "quality-strata")
+    level = F.lit(delta / max(1, per.count()))
+    per = per.withColumn("split", F.col("n_test") * math.log1p(-alpha) <= F.log(level)).withColumn(
+        "most", most_lost(F.when(F.col("split"), F.col("n_test")).otherwise(F.col("n")), alpha, level))
     gain = F.col("caught") - good_cost * F.col("lost")
-    return (tail.join(risk, "stratum").where((F.col("lost") <= F.col("most")) & (gain > 0))
-            .groupBy("stratum", "feature")
-            .agg(F.max(F.struct(gain.alias("gain"), F.col("level").alias("cutoff"))).alias("best"))
-            .select("stratum", "feature", F.col("best.cutoff").alias("cutoff")))
+    sums = [F.sum("good").alias("lost"), F.sum(1 - good).alias("caught")]
+
+    # chain picked by the one half: at most 101 levels in a window
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("cutoff")) for f in FEATURES])).alias("x")
+    down = Window.partitionBy("stratum", "feature").orderBy(F.col("cutoff").desc())
+    hist = held.where("learn").select("stratum", "good", each).select("stratum", "good", "x.*").groupBy(
+        "stratum", "feature", "cutoff").agg(*sums)
+    tail = hist.withColumns({"lost": F.sum("lost").over(down), "caught": F.sum("caught").over(down)})
+    picked = (tail.join(per.where("split"), "stratum")
+              .where((gain > 0) & (10 * F.col("lost") <= alpha * F.col("n_learn")))
+              .groupBy("stratum", "feature").agg(F.max(F.struct(gain.alias("gain"), F.col("cutoff"))).alias("b"))
+              .withColumn("step", F.row_number().over(
+                  Window.partitionBy("stratum").orderBy(F.col("b.gain").desc(), "feature")))
+              .select("stratum", "feature", "b.cutoff", "step"))
+    picked = store(picked, "quality-chain")
+    wide = picked.groupBy("stratum").agg(*[
+        F.max(F.when(F.col("feature") == f, F.struct("cutoff", "step"))).alias(f"c_{f}") for f in FEATURES])
+    first = F.least(*[F.when(F.col(f) >= F.col(f"c_{f}.cutoff"), F.col(f"c_{f}.step")) for f in FEATURES])
+    lost = (held.where("NOT learn").join(wide, "stratum").select("stratum", "good", first.alias("step"))
+            .where("step is not null").groupBy("stratum", "step").agg(F.sum("good").alias("lost")))
+    steps = picked.select("stratum", "step").join(lost, ["stratum", "step"], "left").withColumn(
+        "lost", F.sum(F.coalesce("lost", F.lit(0))).over(Window.partitionBy("stratum").orderBy("step")))
+    passed = steps.join(per, "stratum").where(F.col("lost") <= F.col("most")).select("stratum", "step")
+    learned = picked.join(passed, ["stratum", "step"], "left_semi").select("stratum", "feature", "cutoff")
+
+    # the fixed chain
+    worst = held.withColumn("cutoff", F.greatest(*FEATURES)).groupBy("stratum", "cutoff").agg(*sums)
+    down = Window.partitionBy("stratum").orderBy(F.col("cutoff").desc())
+    worst = worst.withColumns({"lost": F.sum("lost").over(down), "caught": F.sum("caught").over(down)})
+    fixed = (worst.join(per.where("NOT split"), "stratum").where((F.col("lost") <= F.col("most")) & (gain > 0))
+             .groupBy("stratum").agg(F.max(F.struct(gain.alias("gain"), F.col("cutoff"))).alias("b"))
+             .select("stratum", F.explode(F.array(*map(F.lit, FEATURES))).alias("feature"), "b.cutoff"))
+    return learned.unionByName(fixed)
 
 
 def judge(docs: DataFrame, labels: DataFrame, names: dict[str, str] | None = None,

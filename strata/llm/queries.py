@@ -79,23 +79,47 @@ f AS (
          ] AS lv
   FROM c),
 held AS (
-  SELECT stratum, k, lv[k] AS level, quality AS good
-  FROM f JOIN labels USING (doc_id), (SELECT unnest(range(1, 6)) AS k) ks
-  WHERE NOT base_failed AND quality IN (0, 1)),
+  SELECT row_number() OVER () AS h, stratum, lv, quality AS good, substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) < '8' AS learn
+  FROM f JOIN labels USING (doc_id) WHERE NOT base_failed AND quality IN (0, 1)),
+per AS (
+  SELECT *, 0.05 / count(*) OVER () AS q, n_test * ln(0.98) <= ln(0.05 / count(*) OVER ()) AS split
+  FROM (SELECT stratum, sum(good) AS n, sum(good) FILTER (WHERE learn) AS n_learn,
+               coalesce(sum(good) FILTER (WHERE NOT learn), 0) AS n_test FROM held GROUP BY stratum)),
+risk AS (
+  SELECT stratum, split, n_learn, (
+    SELECT max(k) FROM (
+      SELECT k, sum(exp(lgamma(m + 1) - lgamma(k + 1) - lgamma(m - k + 1) + k * ln(0.02) + (m - k) * ln(0.98)))
+                  OVER (ORDER BY k) AS p
+      FROM (SELECT unnest(range(0, CAST(least(m, ceil(m * 0.02)) AS BIGINT) + 1)) AS k)) WHERE p <= q) AS most
+  FROM (SELECT *, CASE WHEN split THEN n_test ELSE n END AS m FROM per)),
+k AS (SELECT * FROM (VALUES (1, 'symbol_rate'), (2, 'repeat_rate'), (3, 'dup_line_rate'), (4, 'long_words'),
+                            (5, 'short_words')) x(k, feature)),
 tail AS (
-  SELECT a.stratum, a.k, a.level, sum(b.good) AS lost, sum(1 - b.good) AS caught
-  FROM (SELECT DISTINCT stratum, k, level FROM held) a
-  JOIN held b ON a.stratum = b.stratum AND a.k = b.k AND b.level >= a.level GROUP BY ALL),
-n AS (SELECT stratum, sum(good) AS n, (SELECT count(DISTINCT stratum) FROM held) AS m
-      FROM held WHERE k = 1 GROUP BY stratum),
-safe AS (
-  SELECT tail.*, caught - 5.0 * lost AS gain FROM tail JOIN n USING (stratum)
-  WHERE caught - 5.0 * lost > 0 AND
-    (SELECT sum(exp(lgamma(n.n + 1) - lgamma(i + 1) - lgamma(n.n - i + 1)
-                    + i * ln(0.004) + (n.n - i) * ln(0.996)))
-     FROM range(0, CAST(lost AS BIGINT) + 1) x(i)) <= 0.05 / (5 * n.m)),
-cut AS (SELECT stratum, k, level AS cutoff FROM safe
-        QUALIFY row_number() OVER (PARTITION BY stratum, k ORDER BY gain DESC, level DESC) = 1)
+  SELECT stratum, k, feature, c, sum(lost) OVER d AS lost, sum(caught) OVER d AS caught
+  FROM (SELECT stratum, k, feature, lv[k] AS c, sum(good) AS lost, sum(1 - good) AS caught
+        FROM held, k WHERE learn GROUP BY ALL) WINDOW d AS (PARTITION BY stratum, k ORDER BY c DESC)),
+picked AS (
+  SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY gain DESC, feature) AS step FROM (
+    SELECT stratum, k, feature, c, caught - 5.0 * lost AS gain FROM tail JOIN risk USING (stratum)
+    WHERE split AND caught - 5.0 * lost > 0 AND 10 * lost <= 0.02 * n_learn
+    QUALIFY row_number() OVER (PARTITION BY stratum, k ORDER BY gain DESC, c DESC) = 1)),
+gone AS (
+  SELECT h, held.stratum, good, min(step) AS step FROM held JOIN picked ON held.stratum = picked.stratum AND lv[picked.k] >= c
+  WHERE NOT learn GROUP BY ALL),
+passed AS (
+  SELECT p.stratum, p.k, p.c FROM picked p JOIN risk USING (stratum)
+  WHERE (SELECT coalesce(sum(good), 0) FROM gone WHERE gone.stratum = p.stratum AND gone.step <= p.step) <= most),
+worst AS (
+  SELECT stratum, c, sum(lost) OVER d AS lost, sum(caught) OVER d AS caught
+  FROM (SELECT stratum, list_max(lv) AS c, sum(good) AS lost, sum(1 - good) AS caught FROM held GROUP BY ALL)
+  WINDOW d AS (PARTITION BY stratum ORDER BY c DESC)),
+cut AS (
+  SELECT stratum, k, c AS cutoff FROM passed
+  UNION ALL
+  SELECT stratum, k.k, c FROM (
+    SELECT stratum, c, caught - 5.0 * lost AS gain FROM worst JOIN risk USING (stratum)
+    WHERE NOT split AND lost <= most AND caught - 5.0 * lost > 0
+    QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY gain DESC, c DESC) = 1), k)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT EXISTS (
          SELECT 1 FROM cut WHERE cut.stratum = f.stratum AND f.lv[cut.k] >= cut.cutoff) AS kept
