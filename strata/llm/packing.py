@@ -1,9 +1,10 @@
 """Operator 5: conflict-constrained best-fit packing of documents into bins.
 
 A document becomes pieces of at most ``capacity`` words (whole texts: a longer
-one fills bins alone and leaves a rest). Pieces are dealt to shards of about
-``SHARD_ROWS`` by a hash over all their columns and a copy number, so neither a
-hot source nor a large group of copies lands in one task. A shard packs
+one fills bins alone and leaves a rest). Pieces are stored, counted and dealt to
+shards of about ``SHARD_ROWS`` pieces by a hash over all their columns, piece
+and copy number included, so neither a hot source, a large group of copies nor
+a few very long documents land in one task. A shard packs
 longest first. Its open bins stand in order of residual room, and each carries
 two bitmaps: the sources that used up their quota and the duplicate clusters
 it holds. The search starts at the tightest bin with enough room and goes on
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.common import spread, text_key, text_or_empty, word_array
+from strata.llm.common import spread, store, text_key, text_or_empty, word_array
 
 CAPACITY = 2048      # words of a bin
 SOURCE_QUOTA = 4     # documents of one source in a bin
@@ -84,8 +85,8 @@ def best_fit(docs: DataFrame, cluster: Column | None = None, capacity: int = CAP
 
     ``cluster``: a duplicate-cluster id; by default texts with equal words are
     one cluster. Two documents of a cluster never share a bin."""
-    it = items(docs, cluster, capacity)
-    shards = max(1, -(-docs.count() // shard_rows))
+    it = store(items(docs, cluster, capacity), "pieces")
+    shards = max(1, -(-it.count() // shard_rows))
     it = it.withColumn("shard", F.pmod(F.xxhash64("doc_id", "source", "cluster", "copy_no", "piece"),
                                        F.lit(shards)))
 

@@ -58,7 +58,7 @@ def test_run_and_registration(spark, tmp):
     write(spark, corpus()[:30], tmp)
     out = E.queries()["pipeline"](spark, tmp)
     assert out.count() == 30 and "pipeline" not in E.oracle_sql()
-    assert len([k for k in E.queries() if re.match(r"op\d+_", k)]) == 10
+    assert len([k for k in E.queries() if re.match(r"op\d+_", k)]) == 13
 
 
 def test_empty_tables(spark, tmp):

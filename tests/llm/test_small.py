@@ -414,6 +414,40 @@ def test_best_fit_takes_the_tightest_compatible_bin():
     assert packing.pack([60, 30], ["a", "b"], [1, 1], 100, 9)[1] == (1, 0)          # one cluster, two bins
 
 
+def brute_best_fit(lengths, sources, clusters, capacity, quota):
+    """Every bin is looked at for every item: least room that fits, oldest first."""
+    bins, out = [], []
+    for n, s, c in zip(lengths, sources, clusters):
+        fits = [(b["room"], k) for k, b in enumerate(bins)
+                if b["room"] >= n and c not in b["clusters"] and b["sources"].count(s) < quota]
+        if not fits:
+            bins.append({"room": capacity, "clusters": set(), "sources": []})
+            fits = [(capacity, len(bins) - 1)]
+        k = min(fits)[1]
+        out.append((k, capacity - bins[k]["room"]))
+        bins[k]["room"] -= n
+        bins[k]["clusters"].add(c)
+        bins[k]["sources"].append(s)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_best_fit_equals_brute_force(seed):
+    rnd = random.Random(seed)
+    capacity, quota = rnd.choice([8, 40, 64]), rnd.randint(1, 4)
+    lengths = sorted((rnd.randint(1, capacity) for _ in range(400)), reverse=True)
+    sources = [rnd.choice(["s", "s", "t", None, "u"]) for _ in lengths]
+    clusters = [rnd.randrange(60) if rnd.random() < 0.5 else 1000 + k for k in range(len(lengths))]
+    assert packing.pack(lengths, sources, clusters, capacity, quota) == brute_best_fit(lengths, sources, clusters, capacity, quota)
+
+
+def test_shards_are_of_pieces(spark):
+    docs = spark.createDataFrame([(i, "w " * 6400, "s", None) for i in range(20)], "doc_id long, text string, source string, lang string")
+    out = packing.best_fit(docs, capacity=64, shard_rows=100)
+    sizes = [r["count"] for r in out.groupBy(F.split("bin_id", "-")[0].alias("shard")).count().collect()]
+    assert sum(sizes) == 2000 and len(sizes) >= 15 and max(sizes) <= 200
+
+
 def brute_windows(rows, n):
     least = {}
     for r in rows:
