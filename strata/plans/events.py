@@ -23,6 +23,7 @@ from strata.session import scratch_path
 from strata.sinks.tables import materialize
 from strata.sources.tables import DIRTY_EVENTS_SQL, dirty_events, read_table
 
+# Names, policies and predicates of the datasets' rules.
 BRONZE_RULES = [
     expect_or_drop("valid_event_id", "event_id IS NOT NULL"),
     expect_or_drop("valid_user_id", "user_id IS NOT NULL"),
@@ -80,12 +81,20 @@ def silver_events(bronze: DataFrame, dedup: str = "latest",
 GOLD_KEYS = ["event_date", "event_type", "is_weekend"]
 
 
+def exact_total(c: str) -> Column:
+    """Sum that does not depend on the order of rows: over decimals where every
+    value of the group is one of at most 12 places and the sum fits, else over
+    the doubles."""
+    value = F.col(c)
+    exact = value.try_cast("decimal(38,12)")
+    exact = F.when(exact.cast("double") == value, exact)
+    return F.coalesce(F.when(F.count(exact) == F.count(value), F.try_sum(exact).cast("double")), F.sum(value))
+
+
 def gold_daily_base(silver: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """Daily metrics per (date, type, weekend).
 
-    The total is an exact decimal sum where every value of the group is a
-    decimal of at most 12 places and it fits, else the sum of the doubles; the
-    mean is that total over the non-NULL count.
+    The mean is the exact total over the non-NULL count.
 
     The exact distinct count is planned apart from the other measures: mixed
     in one aggregate, Spark's distinct rewrite would keep a percentile sketch
@@ -95,11 +104,7 @@ def gold_daily_base(silver: DataFrame, approx_distinct: bool = False) -> DataFra
     per-group results are joined on the group keys; the Silver exchange
     feeding both is shared.
     """
-    value = F.col("event_value")
-    exact = value.try_cast("decimal(38,12)")
-    exact = F.when(exact.cast("double") == value, exact)
-    total = F.coalesce(F.when(F.count(exact) == F.count(value), F.try_sum(exact).cast("double")),
-                       F.sum(value))
+    value, total = F.col("event_value"), exact_total("event_value")
     measures = [F.count(F.lit(1)).alias("event_count"), total.alias("total_value"),
                 F.try_divide(total, F.count(value)).alias("avg_value"),
                 F.percentile_approx("event_value", 0.95).alias("p95_value")]
@@ -127,7 +132,7 @@ def gold_user_activity_base(silver: DataFrame) -> DataFrame:
     return (silver.groupBy("event_date", "user_id")
             .agg(F.count(F.lit(1)).alias("daily_event_count"),
                  F.count_distinct("event_type").alias("event_type_variety"),
-                 F.round(F.sum("event_value"), 2).alias("daily_total_value"),
+                 F.round(exact_total("event_value"), 2).alias("daily_total_value"),
                  F.max("event_timestamp").alias("last_activity"))
             .withColumn("activity_tier", activity_tier(F.col("daily_event_count"))))
 

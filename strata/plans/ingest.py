@@ -1,15 +1,21 @@
-"""Ingestion queries: idempotent loads, schema evolution, rescued values."""
+"""Ingestion queries: idempotent loads, schema evolution, rescued values, plain
+readers, tables made by queries, clustered files."""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.plans.registry import query
 from strata.session import scratch_path
-from strata.sinks.tables import export_landing
-from strata.sources.readers import RESCUED
+from strata.sinks.layout import files_for, write_clustered
+from strata.sinks.tables import (create_table_as_select, drop_table, export_landing, materialize,
+                                 read_table_if_exists)
+from strata.sources.readers import RESCUED, read_csv, read_tsv
 from strata.sources.tables import read_table
 from strata.streaming.ingest import (age_files, copy_into, load_with_schema_evolution,
                                      read_loaded)
@@ -141,7 +147,7 @@ def q_quoted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_nationkey").cast("string"))
     faulty = read_table(spark, sf_dir, "customer").select(
         key, name.alias("c_name"), nation.alias("c_nationkey"), "c_acctbal", "c_mktsegment")
-    export_landing(faulty, f"{root}/landing", "csv", header=True, escape='"')
+    export_landing(faulty, f"{root}/landing", "csv", header=True, escape='"', ignoreTrailingWhiteSpace=False)
     copy_into(spark, f"{root}/landing", f"{root}/table", f"{root}/_checkpoint", "csv", CUSTOMER_SCHEMA, {"multiLine": True})
     return read_loaded(spark, f"{root}/table").select(
         *CUSTOMER_SCHEMA.fieldNames(), F.to_json(RESCUED).alias("rescued"))
@@ -161,3 +167,85 @@ def q_inferred_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok = [typed[c] for c in CUSTOMER_SCHEMA.fieldNames()] == ["bigint", "string", "bigint", "double", "string"]
     return out.select("c_custkey", "c_name", F.col("c_nationkey").cast("int").alias("c_nationkey"), "c_acctbal",
                       "c_mktsegment", F.lit(ok).alias("typed"))
+
+
+# ---------------------------------------------------------------- plain readers
+
+@query("csv_inferred_read", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, TRUE AS typed FROM customer")
+def q_csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV with a header and inferred types."""
+    root = scratch_path(spark, "csv")
+    export_landing(read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal"),
+                   root, "csv", header=True)
+    df = read_csv(spark, root)
+    typed = [t for _, t in df.dtypes][1:] == ["string", "int", "double"]
+    return df.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name",
+                     F.col("c_nationkey").cast("int").alias("c_nationkey"), "c_acctbal", F.lit(typed).alias("typed"))
+
+
+@query("tsv_untyped_preview", """
+SELECT CAST(c_custkey AS VARCHAR) AS _c0, c_name AS _c1, c_mktsegment AS _c2 FROM customer
+""")
+def q_tsv_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A headerless tab-separated file without a schema: every column is text."""
+    root = scratch_path(spark, "tsv")
+    export_landing(read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment"), root, "csv", sep="\t")
+    return read_tsv(spark, root)
+
+
+@query("ctas_and_probe", """
+SELECT 'absent' AS step, CAST(NULL AS VARCHAR) AS c_mktsegment, CAST(NULL AS BIGINT) AS customers
+UNION ALL SELECT 'created', c_mktsegment, COUNT(*) FROM customer WHERE c_nationkey < 12 GROUP BY 2
+UNION ALL SELECT 'kept', c_mktsegment, COUNT(*) FROM customer WHERE c_nationkey < 12 GROUP BY 2
+UNION ALL SELECT 'failed', c_mktsegment, COUNT(*) FROM customer WHERE c_nationkey < 12 GROUP BY 2
+UNION ALL SELECT 'replaced', c_mktsegment, COUNT(*) FROM customer GROUP BY 2
+""")
+def q_ctas_and_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A probe for an absent table; CREATE TABLE AS SELECT, which skips a table
+    that is there; a replacement that fails and leaves it; one that succeeds."""
+    name, cust = f"segments_{uuid.uuid4().hex[:8]}", read_table(spark, sf_dir, "customer")
+    per = lambda df: df.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"))
+    root, steps = scratch_path(spark, "ctas"), []
+
+    def seen(step):
+        df = read_table_if_exists(spark, name)
+        df = spark.range(1).select(F.lit(None).cast("string").alias("c_mktsegment"),
+                                   F.lit(None).cast("bigint").alias("customers")) if df is None else df
+        steps.append(materialize(df.select(F.lit(step).alias("step"), "c_mktsegment", "customers"), f"{root}/{step}"))
+
+    seen("absent")
+    create_table_as_select(spark, name, per(cust.where("c_nationkey < 12")))
+    seen("created")
+    create_table_as_select(spark, name, per(cust))
+    seen("kept")
+    try:
+        create_table_as_select(spark, name, per(cust).withColumn("customers", F.raise_error(F.lit("no")).cast("bigint")), replace=True)
+        raise AssertionError("the replacement must fail")
+    except PySparkException:
+        seen("failed")
+    create_table_as_select(spark, name, per(cust), replace=True)
+    seen("replaced")
+    drop_table(spark, name)
+    out = steps[0]
+    for s in steps[1:]:
+        out = out.unionByName(s)
+    return out
+
+
+@query("clustered_scan", """
+SELECT 'part' AS filter, COUNT(*) AS lines, TRUE AS few_files FROM lineitem WHERE l_partkey BETWEEN 20 AND 40
+UNION ALL
+SELECT 'price', COUNT(*), TRUE FROM lineitem WHERE l_extendedprice BETWEEN 30000 AND 32000
+""")
+def q_clustered_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines clustered on two columns: a narrow filter on either one finds its
+    rows in at most half of the files."""
+    path, cols = scratch_path(spark, "clustered"), ["l_partkey", "l_extendedprice"]
+    write_clustered(read_table(spark, sf_dir, "lineitem"), path, cols, 64)
+    out = None
+    for name, c, lo, hi in (("part", "l_partkey", 20, 40), ("price", "l_extendedprice", 30_000, 32_000)):
+        read, files = files_for(spark.read.parquet(path), f"max_{c} >= {lo} AND min_{c} <= {hi}", cols)
+        one = spark.read.parquet(path).where(F.col(c).between(lo, hi)).agg(F.count(F.lit(1)).alias("lines")).select(
+            F.lit(name).alias("filter"), "lines", F.lit(read * 2 <= files).alias("few_files"))
+        out = one if out is None else out.unionByName(one)
+    return out

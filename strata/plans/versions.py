@@ -171,6 +171,26 @@ def q_history_non_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "version", "operation")
 
 
+@query("empty_dml_commits", VERSIONS_SQL + """
+SELECT step, 3 AS version, (SELECT COUNT(*) FROM v3) AS n_rows
+FROM (VALUES ('before'), ('update'), ('delete'), ('insert'), ('restore')) x(step)
+""")
+def q_empty_dml(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statements that change no row leave no version."""
+    log = build_customer_log(spark, sf_dir)
+    none = read_table(spark, sf_dir, "customer").select(*COLUMNS).where("false")
+    steps = [("before", lambda: None), ("update", lambda: log.update("c_custkey < 0", {"c_name": "'x'"})),
+             ("delete", lambda: log.delete("c_custkey < 0")), ("insert", lambda: log.insert(none)),
+             ("restore", lambda: log.restore_rows(log.latest_version()))]
+    out = None
+    for name, run in steps:
+        run()
+        one = log.snapshot().agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("step"), F.lit(log.latest_version()).alias("version"), "n_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # ---------------------------------------------------------------- views
 
 _VIEW_STEP = """

@@ -58,13 +58,20 @@ def create_table_as_select(spark: SparkSession, name: str, df: DataFrame,
                            replace: bool = False, location: str | None = None,
                            comment: str | None = None, properties: dict | None = None) -> None:
     """``CREATE TABLE IF NOT EXISTS ... AS SELECT`` (``replace=False``: skip
-    if it exists) or ``CREATE OR REPLACE TABLE ... AS SELECT``."""
-    if not replace and spark.catalog.tableExists(name):
+    if it exists) or ``CREATE OR REPLACE TABLE ... AS SELECT``, which leaves the
+    old table as it is if the query or the write fails."""
+    exists = spark.catalog.tableExists(name)
+    if not replace and exists:
         return
-    w = df.write.mode("overwrite").format("parquet")
+    # a new table beside the old one, which goes only when the write is done
+    fresh = f"{name}__{uuid.uuid4().hex[:8]}" if exists else name
+    w = df.write.format("parquet")
     if location:
-        w = w.option("path", location)
-    w.saveAsTable(name)
+        w = w.option("path", f"{location}/r-{uuid.uuid4().hex[:8]}" if exists else location)
+    w.mode("errorifexists").saveAsTable(fresh) if exists else w.mode("overwrite").saveAsTable(fresh)
+    if exists:
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
     set_table_metadata(spark, name, comment, properties)
 
 

@@ -3,10 +3,10 @@
 A large layer keeps its rows under ``<root>/<layer>/batch_id=<n>/day=<d>``; a
 ``small`` one, such as an aggregate, in one folder ``<root>/<layer>/batch_id=<n>``
 with the columns ``day`` and ``batch``. ``<root>/pointers/v=<n>`` says for each
-day which batch wrote it last. A batch writes the days it touches beside the old ones and then publishes the whole
-pointer table by one rename, so readers see all of a batch or nothing of it, a
-day that became empty loses its rows, and a replayed batch replaces its own
-folders. Reads name the folders they need: neither files nor folders of other
+day which batch wrote it last. A batch writes the days it touches beside the old
+ones and then publishes the whole pointer table by one rename, so readers see
+all of a batch or nothing of it, a day that became empty loses its rows, and a
+replayed batch replaces its own folders. Reads name the folders they need: neither files nor folders of other
 days are opened or listed, so a batch reads no more as the history grows. What
 grows is the pointer table, by one short row per calendar day. Folders that two
 publications have superseded are deleted; readers of the publication before can
@@ -21,6 +21,7 @@ from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 NO_DAY = "none"           # rows whose timestamp is NULL
 
@@ -60,9 +61,10 @@ class DayTables:
     def folder(self, layer: str, batch_id: int, day: str) -> str:
         return f"{self.root}/{layer}/batch_id={batch_id}/day={quote(day, safe='')}"
 
-    def read(self, layer: str, days: list[str] | None = None, before: int | None = None) -> DataFrame | None:
+    def read(self, layer: str, days: list[str] | None = None, before: int | None = None,
+             schema: T.StructType | None = None) -> DataFrame | None:
         """Current rows of a layer, or of the given days of it; None where
-        there are none."""
+        there are none. ``schema`` saves looking it up in the files."""
         have = [v for v in self.published() if before is None or v < before]
         if not have:
             return None
@@ -71,7 +73,8 @@ class DayTables:
         if not wanted:
             return None
         if layer not in self.small:
-            return self.spark.read.parquet(*[self.folder(layer, b, d) for d, b in wanted.items()])
+            r = self.spark.read.schema(schema) if schema is not None else self.spark.read
+            return r.parquet(*[self.folder(layer, b, d) for d, b in wanted.items()])
         rows = self.spark.read.parquet(*[f"{self.root}/{layer}/batch_id={b}" for b in sorted(set(wanted.values()))])
         current = self.spark.createDataFrame(sorted(wanted.items()), "day string, batch long")   # a row per day
         return rows.join(F.broadcast(current), ["day", "batch"], "left_semi").drop("day", "batch")

@@ -30,8 +30,8 @@ def test_fifty_batches_read_no_more_than_the_first_ones(spark, tmp, monkeypatch)
     read = []
     inner = DayTables.read
 
-    def counted(self, layer, days=None, before=None):
-        df = inner(self, layer, days, before)
+    def counted(self, layer, days=None, before=None, schema=None):
+        df = inner(self, layer, days, before, schema)
         if before is not None:
             read.append(size(df.inputFiles()) if df is not None else 0)
         return df
