@@ -5,8 +5,8 @@ A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 return the columns of ``documents``. ``run`` writes every stage's rows to the
 shared folder and reads them back for the next. SQL cannot express the weighted
 sampling and packing stages, so ``ORACLE_SQL`` is None; tests compare each
-stage with a brute-force version. Empty tables, null texts and repeated rows
-have the results that the operators' docstrings state.
+stage with a brute-force version. Empty tables, null and very long texts and
+repeated rows have the results that the operators' docstrings state.
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ space. Only DataFrame functions are used.
   order; entries that share a key but not the bytes get chain positions.
 
 Defined results: a null text counts as empty; empty texts are equal to each
-other. A null ``doc_id`` sorts after every number; a text with only null ids
+other; texts of any length are compared whole. A null ``doc_id`` sorts after every number; a text with only null ids
 has a null ``keep_id``. Of rows repeated with the same id and text one is kept.
 An empty table gives an empty result; other columns are ignored.
 """

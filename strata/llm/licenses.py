@@ -14,8 +14,8 @@ least ``CONTAINMENT`` of its distinct shingles must stand within the window
 widened by the template's length on both sides.
 
 The template list is a parameter of at most ``MAX_TEMPLATES`` texts, which bounds
-the constants in the plan. Defined results: a null text has no words; texts or
-templates under five words never match. Rows are judged one by one, so repeated
+the constants in the plan. Defined results: a null text has no words; texts of
+any length are scanned whole; texts or templates under five words never match. Rows are judged one by one, so repeated
 rows, null ids and further columns need no rule; an empty table gives an empty
 result.
 """

@@ -36,7 +36,7 @@
 
 Texts with a common 64-bit bag hash are taken as equal (one chance pair in six
 billion texts). Defined results: texts without a word, null ones too, are
-classes of their own. The class id is the least doc_id of the class; null ids
+classes of their own; texts of any length are compared by their whole bags. The class id is the least doc_id of the class; null ids
 count as greater than all, and a class of null ids only has a null id. Repeated
 rows are one class. Other columns are ignored. Empty tables give empty results.
 """

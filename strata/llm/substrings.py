@@ -25,7 +25,8 @@ A passage in a third of all documents is one edge or one window group, which is
 aggregated before it is shuffled; joins on it may be split. No pairs of
 documents are ever formed and nothing is capped.
 
-Defined results: a null text has no words. Null ids count as greater than
+Defined results: a null text has no words; texts of any length are cut into
+windows whole. Null ids count as greater than
 all: such a row is never a source, not even for other null ids. Rows repeated
 with the same id are judged alike and are no source for each other. Texts under
 ``WINDOW`` words keep all. Empty tables give empty results; other columns are
