@@ -11,7 +11,8 @@ least ``threshold`` sites go from every text; blank lines stay.
 Positions to remove are found per distinct text, so copies cost once, and a
 line common to all documents meets its decision in a join that Spark may split.
 
-Defined results: a null text counts as empty and has one blank line. A null
+Defined results: a null text counts as empty and has one blank line; texts and
+lines of any length are taken whole. A null
 source is one site. Repeated rows get equal results; null ids pass through. An
 empty table gives an empty result. Other columns are ignored.
 """
@@ -72,6 +73,9 @@ def clean(docs: DataFrame, threshold: int = MIN_SITES, margin: float = MARGIN) -
     places = (_lines(src, "t1", "t2").join(bad, ["l1", "l2"], "left_semi")
               .select("t1", "t2", "pos").groupBy("t1", "t2")
               .agg(F.array_sort(F.collect_set("pos")).alias("removed")))
+    # stored, so that both sides of the join are bare shuffles and Spark can split
+    # the copies of a hot text
+    places = store(places, "line-places")
     none = F.array().cast("array<int>")
     out = src.join(places, ["t1", "t2"], "left").withColumn("removed", F.coalesce("removed", none))
     lines = lines_of(F.col("text"))
