@@ -576,6 +576,18 @@ def test_url_filter(spark):
     assert urlfilter.judge(p.where("false"), y).count() == 0
 
 
+def test_tokens_that_always_stand_together_are_one_item(spark):
+    """25 tokens in the same 100 of 400 labelled urls: 2^25 frequent sets unmerged."""
+    word = lambda k: "w" + "abcdefghij"[k // 10] + "abcdefghij"[k % 10]
+    bad = "/".join(word(k) for k in range(25))
+    pages = [(i, f"http://site.io/{bad}/{i}" if i < 100 else f"http://other{i % 7}.io/{word(30 + i % 40)}/{i}") for i in range(400)]
+    pages += [(500, f"http://new.io/{word(24)}"), (501, f"http://new.io/{word(70)}")]
+    p = spark.createDataFrame(pages, "page_id long, url string")
+    y = spark.createDataFrame([(i, int(i >= 100), 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    got = {r.page_id: r.verdict for r in urlfilter.judge(p, y).collect()}
+    assert all((got[i] == "block") == (i < 100) for i in range(400)) and (got[500], got[501]) == ("block", "allow")
+
+
 def test_rules_match_by_subset(spark):
     rules = spark.createDataFrame([(["h:a", "p:x"],), (["p:y"],)], "tokens array<string>")
     urls = spark.createDataFrame([("http://a/x",), ("http://a/z",), ("http://b/y",), ("http://b/x",)], "url string")
