@@ -6,6 +6,7 @@ import glob
 import os
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from strata.plans import events as ev
@@ -22,6 +23,24 @@ def row(i, day, value, copy=0, days=None):
     return (i, i % 5, "ab"[i % 2], value, ts, "1.1.1.1", copy, sorted({name, *(days or [])}))
 
 
+def few_tasks(spark):
+    """Plans for tiny batches: one task a stage, no re-planning."""
+    for k, v in (("spark.sql.shuffle.partitions", "1"), ("spark.sql.adaptive.enabled", "false")):
+        RESTORE[k] = spark.conf.get(k)
+        spark.conf.set(k, v)
+
+
+RESTORE = {}
+
+
+@pytest.fixture(autouse=True)
+def restored(spark):
+    yield
+    for k, v in list(RESTORE.items()):
+        spark.conf.set(k, v)
+    RESTORE.clear()
+
+
 def size(files):
     return sum(os.path.getsize(f.removeprefix("file://").removeprefix("file:")) for f in files)
 
@@ -40,6 +59,7 @@ def test_fifty_batches_read_no_more_than_the_first_ones(spark, tmp, monkeypatch)
     monkeypatch.setattr(ev, "gold_user_activity_base", lambda s: s.select("event_date", "user_id").distinct())
     sink = flows.gold_exact_sink(spark, f"{tmp}/exact")
     latest = {}
+    few_tasks(spark)
     for b in range(50):
         # a new day, and three late copies of the day before
         rows = [row(100 * b + k, b, float(k)) for k in range(20)]
