@@ -159,6 +159,31 @@ def test_quality_cutoffs_limit_false_rejections(spark, tmp):
     assert kept.columns == [*docs.columns, "n_words"] and kept.count() == 2625
 
 
+def test_cutoffs_act_with_a_few_hundred_labels(spark):
+    """Three strata: one learns and tests its chain, one has the fixed chain, one
+    too few labels; and labels that cost good documents give no cutoff."""
+    rnd = random.Random(8)
+    rows, labels = [], []
+
+    def add(lang, good, bad, mark):
+        for k in range(good + bad):
+            i, is_bad = len(rows), k >= good
+            w = ["w%04d" % rnd.randrange(9000) for _ in range(40)]
+            rows.append((i, " ".join(x + "###" if mark(is_bad, k) else x for x in w), lang))
+            labels.append((i, int(not is_bad)))
+
+    only_bad = lambda is_bad, k: is_bad
+    add("learned", 600, 100, only_bad)
+    add("fixed", 300, 40, only_bad)
+    add("few", 60, 40, only_bad)
+    add("costly", 600, 100, lambda is_bad, k: is_bad or k % 20 == 0)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    y = spark.createDataFrame(labels, "doc_id long, quality int")
+    out = quality.judge(docs, y).collect()
+    gone = collections.Counter(r.lang for r in out if not r.kept)
+    assert gone == {"learned": 100, "fixed": 40}
+
+
 ASSIGN = re.compile(r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.A)
 
 
@@ -208,6 +233,38 @@ def test_secrets_glued_to_names_paths_and_rule_spans(spark, tmp):
     assert not any(KEY[4:-4] in texts[i] or KEY[::-1][4:-4] in texts[i] for i in range(len(GLUED))), texts
 
 
+@pytest.mark.parametrize("copies", [1, 20, 400])
+def test_a_key_is_found_however_often_it_leaked(spark, copies):
+    base = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    leaks = spark.createDataFrame([(10_000 + i, f"note {i} {KEY} end") for i in range(copies)], "doc_id long, text string")
+    before = {r.doc_id: r.spans for r in secrets.report(base).collect()}
+    got = {r.doc_id: r.spans for r in secrets.report(base.union(leaks)).collect()}
+    for i in range(copies):
+        at = len(f"note {i} ")
+        assert got[10_000 + i] == f"random:{at}:{at + len(KEY)}"
+    assert {k: v for k, v in got.items() if k < 10_000} == before
+
+
+@pytest.mark.parametrize("run,plain", [
+    (b"donaudampfschifffahrtsgesellschaft", True), (b"INTERNATIONALIZATION", True), (b"Internationalization", True),
+    (b"srv/local/share/documents", True), (b"well-Known_words-in/ONE/case==", True), (b"12345678901234567890", True),
+    (b"2024-11-05_12345678", True), (b"________________", True), (KEY.encode(), False), (b"qwZrTyplKjhGfdsaZx", False),
+    (b"abc123def456ghi789jkl", False)])
+def test_runs_of_one_class_are_no_candidates(run, plain):
+    assert bool(secrets.ONE_CLASS.fullmatch(run)) == plain
+
+
+def test_transitions_leave_out_the_runs_under_test():
+    import numpy as np
+    texts = ["ab cd", KEY, "", "x" * 30 + " ab"]
+    buf = np.frombuffer("".join(texts).encode(), np.uint8)
+    off = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    pairs = collections.Counter(secrets.ordinary_pairs(buf, off).tolist())
+    sym = lambda c: int(secrets._SYM[ord(c)])
+    want = collections.Counter(sym(t[i]) * secrets.N_SYM + sym(t[i + 1]) for t in ("ab cd", "x ab") for i in range(len(t) - 1))
+    assert pairs == want
+
+
 def test_secret_stage_masks_only_secrets(spark, docs, rows, tmp):
     extra = spark.createDataFrame([(900 + i, t, "en", "s", 0, 0, "", 0, "") for i, t in enumerate(SECRETS)], SCHEMA)
     out = secrets.stage(spark, docs.union(extra), tmp)
