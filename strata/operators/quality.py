@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -160,46 +162,69 @@ def minimal_dependencies(df: DataFrame, columns: list[str], max_lhs: int = 3) ->
     """All minimal functional dependencies ``X -> a`` with at most ``max_lhs``
     columns on the left (NULL counts as a value), by a level-wise search.
 
-    ``X -> a`` holds when X and X + a have as many distinct values. A level
-    counts the distinct values of all its column sets in one pass: every row
-    sends a 128-bit digest per set, repeated ones collapse before the shuffle.
-    Sets that contain a smaller dependency's left side for the same column are
-    pruned, and so is everything above a key. Each dependency found by digests
-    is then confirmed by grouping on its columns themselves."""
+    ``X -> a`` holds when no group of X has two values of a. A level groups by
+    each of its left sides once and judges all its columns a there: their 64-bit
+    digests differ within a group only if the values do, so the smallest and the
+    largest digest are compared, and one row per left side reaches the driver.
+    Left out are sets that contain a smaller dependency's left side for the same
+    column, and sets one of whose columns depends on the others, as they determine
+    no more than those do. Each dependency found by digests is then confirmed by
+    grouping on its columns themselves."""
     from itertools import combinations
 
-    size: dict[tuple[str, ...], int] = {}
-
-    def count(sets):
-        sets = [s for s in sets if s not in size]
-        if not sets:
-            return
-        # one row per set comes back
-        digest = lambda s: F.struct(F.xxhash64(*map(_cell, s)), F.xxhash64(F.lit(1), *map(_cell, s)))
-        each = F.array(*[F.struct(F.lit(i).alias("set"), digest(s).alias("d")) for i, s in enumerate(sets)])
-        for r in (df.select(F.explode(each).alias("x")).select("x.*").distinct()
-                  .groupBy("set").agg(F.count(F.lit(1)).alias("n")).collect()):
-            size[sets[r["set"]]] = r["n"]
-
     found: list[tuple[tuple[str, ...], str]] = []
-    total, keys = df.count(), []
-    join = lambda s, a: tuple(c for c in columns if c in s or c == a)
+    holds = lambda s, a: any(b == a and set(x) <= set(s) for x, b in found)
     for level in range(0, max_lhs + 1):
-        lefts = [s for s in combinations(columns, level) if not any(set(k) <= set(s) for k in keys)]
-        tests = [(s, a) for s in lefts for a in columns if a not in s
-                 and not any(b == a and set(x) <= set(s) for x, b in found)]
+        tests = {}
+        for s in combinations(columns, level):
+            if not any(holds(set(s) - {b}, b) for b in s):
+                tests[s] = [a for a in columns if a not in s and not holds(s, a)]
+        tests = {s: rhs for s, rhs in tests.items() if rhs}
         if not tests:
             break
-        count([s for s in lefts if s] + [join(s, a) for s, a in tests])
-        of = lambda s: size.get(s, min(1, total)) if s else min(1, total)
-        for s, a in tests:
-            if of(s) == of(join(s, a)) and (not s or fd_violations(df, list(s), [a]).isEmpty()):
-                found.append((s, a))
-        # a set whose values are all distinct determines every column
-        keys += [s for s in lefts if s and size[s] == total]
+        for s, rhs in _undisputed(df, tests).items():
+            # digests may collide
+            if rhs and not fd_violations(df, list(s), rhs).isEmpty():
+                rhs = [a for a in rhs if fd_violations(df, list(s), [a]).isEmpty()]
+            found += [(s, a) for a in rhs]
     return found
 
 
+def _undisputed(df: DataFrame, tests: dict[tuple[str, ...], list[str]]) -> dict[tuple[str, ...], list[str]]:
+    """For each left side those of its columns whose digests are the same
+    throughout every group; 16 left sides in a job."""
+    def part(i, s, rhs):
+        digests = [_digest(df, a) for a in rhs]
+        groups = df.groupBy(*[_told(df, c) for c in s]).agg(F.array(*[F.min(d) != F.max(d) for d in digests]).alias("_differ"))
+        # without rows there is no group, and nothing differs
+        differ = [F.coalesce(F.max(F.col("_differ")[k]), F.lit(False)) for k in range(len(rhs))]
+        return groups.agg(F.array(*differ).alias("differ")).select(F.lit(i).alias("i"), "differ")
+
+    parts, rows = [part(i, s, rhs) for i, (s, rhs) in enumerate(tests.items())], {}
+    for k in range(0, len(parts), 16):
+        rows |= {r["i"]: r["differ"] for r in reduce(DataFrame.unionAll, parts[k:k + 16]).collect()}
+    return {s: [a for a, differs in zip(rhs, rows[i], strict=True) if not differs]
+            for i, (s, rhs) in enumerate(tests.items())}
+
+
+def _told(df: DataFrame, c: str) -> Column:
+    """The column itself where different text means another value, else its
+    text (zeros of either sign are equal but not the same, also nested ones)."""
+    kind = df.select(c).schema[0].dataType
+    if isinstance(kind, T.StringType):
+        return F.col(c).cast("string")
+    plain = isinstance(kind, T.IntegralType | T.DecimalType | T.BooleanType | T.BinaryType | T.DateType
+                       | T.TimestampType | T.TimestampNTZType)
+    return F.col(c) if plain else _cell(c)
+
+
+def _digest(df: DataFrame, c: str) -> Column:
+    """64 bits, the same for the same value: whole numbers themselves, else a hash."""
+    if isinstance(df.select(c).schema[0].dataType, T.IntegralType):
+        return F.coalesce(F.col(c).cast("bigint"), F.xxhash64(F.lit("null")))
+    return F.xxhash64(_told(df, c))
+
+
 def _cell(c: str):
     """A value that tells NULL from every other value, as text."""
     return F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null"))

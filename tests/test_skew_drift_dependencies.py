@@ -3,6 +3,7 @@
 import itertools
 import json
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -98,3 +99,47 @@ def test_dependencies_equal_brute_force(spark, seed):
     df = spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], ", ".join(f"{c} int" for c in cols))
     assert set(minimal_dependencies(df, cols, 3)) == brute_dependencies(rows, cols, 3)
     assert minimal_dependencies(df, cols, 1) == [x for x in minimal_dependencies(df, cols, 3) if len(x[0]) <= 1]
+
+
+def test_dependency_levels_group_once_per_left_side(spark, monkeypatch):
+    """No row is multiplied by the sets of a level, and no left side is grouped
+    that has a column which depends on its others."""
+    rnd = random.Random(5)
+    rows = [(a, a % 7, rnd.randrange(9), rnd.randrange(9)) for a in (rnd.randrange(30) for _ in range(300))]
+    df = spark.createDataFrame(rows, "a int, b int, c int, d int")
+    plans, collect = [], type(df).collect
+
+    def collected(self):
+        plans.append(self._jdf.queryExecution().toString())
+        return collect(self)
+
+    monkeypatch.setattr(type(df), "collect", collected)
+    assert minimal_dependencies(df, list("abcd"), 2) == [(("a",), "b")]
+    assert plans and not any("Generate" in p for p in plans)
+    grouped = Counter(re.sub(r"#\d+", "", k) for p in plans for k in re.findall(
+        r"HashAggregate\(keys=\[([^]]*)\], functions=\[partial_min", p.partition("== Physical Plan ==")[2]))
+    assert grouped == Counter(["", "a", "b", "c", "d", "a, c", "a, d", "b, c", "b, d", "c, d"])
+
+
+def test_dependencies_of_many_left_sides_and_of_equal_digests(spark):
+    rnd = random.Random(8)
+    cols = list("abcdefg")
+    rows = [{c: rnd.choice([None, "x", "null", "=x", str(rnd.randrange(4))]) for c in cols} | {"g": rnd.randrange(40)} for _ in range(25)]
+    df = spark.createDataFrame([tuple(r[c] for c in cols) for r in rows], ", ".join(f"{c} {'long' if c == 'g' else 'string'}" for c in cols))
+    assert set(minimal_dependencies(df, cols, 2)) == brute_dependencies(rows, cols, 2)
+    # NULL has the digest of this number; k determines neither, l determines both
+    same = spark.sql("SELECT xxhash64('null')").first()[0]
+    df = spark.createDataFrame([(1, 1, None, 5), (1, 2, same, 5), (2, 3, 7, 5)], "k int, l int, v long, w long")
+    assert minimal_dependencies(df, list("klvw"), 1) == [((), "w"), (("l",), "k"), (("l",), "v"), (("v",), "k"), (("v",), "l")]
+
+
+def test_dependencies_by_type_and_without_rows(spark):
+    """Zeros of either sign, also nested, dates, times and decimals; a key and no rows."""
+    df = spark.sql("""SELECT * FROM VALUES (1, 0D, array(0D), DATE'2020-01-01', TIMESTAMP_NTZ'2020-01-01 00:00:00', 1.50),
+        (1, -0D, array(-0D), DATE'2020-01-01', TIMESTAMP_NTZ'2020-01-01 00:00:01', 1.50),
+        (2, 1D, array(1D), NULL, NULL, NULL) AS t(k, z, n, d, t, m)""")
+    assert set(minimal_dependencies(df, ["k", "z", "n", "d", "t", "m"], 1)) == {
+        *[((x,), y) for x in "kzndm" for y in "kdm" if x != y], *[(("t",), y) for y in "kdm"], (("z",), "n"), (("n",), "z"),
+        (("t",), "z"), (("t",), "n")}
+    assert minimal_dependencies(df.where("false"), ["k", "z"], 2) == [((), "k"), ((), "z")]
+    assert minimal_dependencies(df.limit(1), ["k", "z"], 2) == [((), "k"), ((), "z")]
