@@ -219,7 +219,8 @@ def run_exact(spark: SparkSession, sf_dir: str, tag: str) -> str:
         flows.start(bronze_source(spark, root), f"{root}/_ckpt_bronze", bronze).awaitTermination()
         src = spark.readStream.schema(spark.read.parquet(bronze).schema).parquet(bronze)
         flows.start(flows.latest_with_days(src), f"{root}/_ckpt_gold", mode="update",
-                    foreach_batch=flows.gold_exact_sink(spark, f"{root}/exact")).awaitTermination()
+                    foreach_batch=flows.gold_exact_sink(spark, f"{root}/exact"),
+                    conf=flows.ONE_BATCH_STATE).awaitTermination()
 
     in_drops(spark, sf_dir, root, run)
     return f"{root}/exact"

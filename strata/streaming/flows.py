@@ -17,6 +17,7 @@ Every sink writes to files under the shared root; nothing is collected.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,11 +86,29 @@ def silver_stream(bronze: DataFrame, watermark: str | None = None,
     return apply_rules(derived, rules, dataset="silver_events")
 
 
+@contextmanager
+def _settings(spark: SparkSession, conf: dict[str, str]):
+    """The settings that the session does not set itself, for a while."""
+    unset = [k for k in conf if spark.conf.get(k, None) is None]
+    for k in unset:
+        spark.conf.set(k, conf[k])
+    try:
+        yield
+    finally:
+        for k in unset:
+            spark.conf.unset(k)
+
+
 def start(df: DataFrame, checkpoint: str, path: str | None = None, fmt: str = "parquet",
           mode: str = "append", once: bool = True, interval: str = "10 seconds",
-          partition_by: list[str] | None = None, foreach_batch=None):
+          partition_by: list[str] | None = None, foreach_batch=None, conf: dict[str, str] | None = None):
     """Start a flow: ``once`` drains what is available and stops
-    (triggered pipeline); otherwise runs continuously every ``interval``."""
+    (triggered pipeline); otherwise runs continuously every ``interval``.
+    ``conf``: settings of this flow alone (a flow keeps those of the session as
+    they are when it starts); what the session sets itself goes first."""
+    if conf:
+        with _settings(df.sparkSession, conf):
+            return start(df, checkpoint, path, fmt, mode, once, interval, partition_by, foreach_batch)
     w = df.writeStream.option("checkpointLocation", checkpoint).outputMode(mode)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime=interval)
     if foreach_batch is not None:
@@ -124,6 +143,16 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
 # ------------------------------------------------------------ exact gold
 
 ID_BUCKETS = 256
+# The state of ``latest_with_days`` has a row for every id ever seen: it is kept in
+# files with a bounded cache, since the default store holds all of it in the heap.
+_ROCKSDB = "spark.sql.streaming.stateStore.rocksdb"
+ID_STATE = {"spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+            f"{_ROCKSDB}.boundedMemoryUsage": "true", f"{_ROCKSDB}.trackTotalNumberOfRows": "false"}
+# A run of one batch closes each store with its task: an open one takes disk (4 MB at
+# least) and memory on its executor until long after the run. Not for runs of many
+# batches, which would load the ids again for each.
+ONE_BATCH_STATE = {**ID_STATE, "spark.sql.streaming.stateStore.unloadOnCommit": "true"}
 EXACT_LAYERS = ["current", "gold_daily", "gold_users"]
 SMALL_LAYERS = ("gold_daily", "gold_users", "sketches")
 
@@ -169,7 +198,7 @@ def gold_exact_sink(spark: SparkSession, root: str):
             rows = rows.unionByName(have)
         order = ["event_timestamp"] + (["copy_no"] if "copy_no" in rows.columns else [])
         now = tables.put(keep_latest(rows, ["event_id"], order).select("*", day_of()), "current", batch_id).drop("day")
-        silver = ev.silver_events(now)
+        silver = ev.silver_events(now, dedup="stored")
         day = F.col("event_date").cast("string").alias("day")
         gold = {"gold_daily": ev.gold_daily_base(silver), "gold_users": ev.gold_user_activity_base(silver)}
         with ThreadPoolExecutor(len(gold)) as pool:          # two small jobs side by side

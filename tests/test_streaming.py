@@ -1,5 +1,8 @@
 """Streaming flows: availableNow runs, dedup, exact vs approximate gold."""
 
+import datetime as dt
+import glob
+
 from pyspark.sql import functions as F
 
 from strata.plans import events as ev
@@ -93,3 +96,57 @@ def test_stream_static_join_and_continuous_trigger(spark, tmp):
     q.stop()
     out = spark.read.parquet(f"{tmp}/joined")
     assert out.count() > 0 and out.filter("user_name IS NULL").count() == 0
+
+
+def events_table(spark, path):
+    """300 events of 20 users on three days, in the schema of the feed."""
+    spark.range(1, 301).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 22:00:00' + make_dt_interval(CAST(id % 3 AS INT), 0, CAST(id % 180 AS INT)) AS ts",
+        "id % 20 AS user_id", "element_at(array('a', 'b'), CAST(id % 2 + 1 AS INT)) AS event_type",
+        "CAST(id AS DOUBLE) / 4 AS value", "'{}' AS props").write.parquet(f"{path}/events.parquet")
+    return path
+
+
+def test_exact_flow_keeps_its_ids_out_of_the_heap(spark, tmp):
+    """The keyed state has a row per id ever seen, so it is not in the default store,
+    and the session's own settings stay as they were."""
+    before = {k: spark.conf.get(k, None) for k in flows.ONE_BATCH_STATE}
+    root = st.run_exact(spark, events_table(spark, f"{tmp}/in"), "test-exact").removesuffix("/exact")
+    assert glob.glob(f"{root}/_ckpt_gold/state/0/*/*.zip") and not glob.glob(f"{root}/_ckpt_gold/state/0/*/*.delta")
+    assert {k: spark.conf.get(k, None) for k in flows.ONE_BATCH_STATE} == before
+    _, _, silver = ev.pipeline(spark, f"{tmp}/in")
+    for name, want in (("gold_daily", ev.gold_daily_base(silver)), ("gold_users", ev.gold_user_activity_base(silver))):
+        got = flows.read_generation(spark, f"{root}/exact", name).select(*want.columns)
+        assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and want.count() > 0
+
+
+def test_a_session_that_names_its_state_store_keeps_it(spark, tmp):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(key, default)
+    try:
+        root = st.run_exact(spark, events_table(spark, f"{tmp}/in"), "test-exact").removesuffix("/exact")
+        assert spark.conf.get(key) == default and glob.glob(f"{root}/_ckpt_gold/state/0/*/*.delta")
+    finally:
+        spark.conf.unset(key)
+
+
+def test_exact_sink_dedups_a_batch_once(spark, tmp, monkeypatch):
+    """Gold is made from the stored latest copies without another dedup of them."""
+    plans, daily, users = [], ev.gold_daily_base, ev.gold_user_activity_base
+    seen = lambda silver: plans.append(silver._jdf.queryExecution().optimizedPlan().toString()) or silver
+    monkeypatch.setattr(ev, "gold_daily_base", lambda s: daily(seen(s)))
+    monkeypatch.setattr(ev, "gold_user_activity_base", lambda s: users(seen(s)))
+    schema = "event_id long, user_id long, event_type string, event_value double, event_timestamp timestamp_ntz, source_ip string, copy_no int, days array<string>"
+    at = lambda day: dt.datetime(2024, 1, day, 9)
+    batches = [[(1, 7, "a", 5.0, at(1), "1.1.1.1", 0, ["2024-01-01"]), (2, 7, "a", None, None, "1.1.1.1", 0, ["none"])],
+               [(1, 7, "a", 6.0, at(2), "1.1.1.1", 1, ["2024-01-01", "2024-01-02"]), (1, 7, "a", 4.0, at(1), "1.1.1.1", 0, ["2024-01-01"]),
+                (3, 7, "b", 1.0, at(2), "1.1.1.1", 0, ["2024-01-02"])]]
+    sink = flows.gold_exact_sink(spark, f"{tmp}/exact")
+    for n, rows in enumerate(batches):
+        sink(spark.createDataFrame(rows, schema), n)
+    assert len(plans) == 4 and not any("Aggregate" in p for p in plans), plans
+    got = {(str(r.event_date), r.event_type, r.event_count, r.total_value)
+           for r in flows.read_generation(spark, f"{tmp}/exact", "gold_daily").collect()}
+    assert got == {("2024-01-02", "a", 1, 6.0), ("2024-01-02", "b", 1, 1.0)}
+    assert flows.read_generation(spark, f"{tmp}/exact", "current").count() == 3
